@@ -38,7 +38,8 @@ BASIC_BASKET = (
 
 def basket_products(mart: Mart, basket: Iterable[str], column: str) -> Dimension:
     """The product dimension cut down to the basket before any fact row is joined."""
-    return Dimension(mart.products.frame.filter(F.col(column).isin(list(basket))), "producto_id")
+    wanted = F.col(column).isin(list(basket))
+    return Dimension(lambda: mart.products.frame.filter(wanted), mart.products.key)
 
 
 def _basket_states(mart, states, basket, column):

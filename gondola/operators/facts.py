@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -11,18 +12,23 @@ from gondola.functions import calendar, parsing
 from gondola.operators import scale
 
 
-@dataclass(frozen=True)
 class Dimension:
-    """A dimension with its key and, measured on first use, its size."""
+    """A dimension under its key. The frame is built and its size measured on first use,
+    so a metric pays only for the dimensions it touches."""
 
-    frame: DataFrame
-    key: str
+    def __init__(self, build: Callable[[], DataFrame], key: str) -> None:
+        self._build = build
+        self.key = key
 
     @cached_property
+    def frame(self) -> DataFrame:
+        return self._build()
+
+    @property
     def rows(self) -> int:
         return scale.measure(self.frame)[0]
 
-    @cached_property
+    @property
     def small(self) -> bool:
         return scale.measure(self.frame)[1] <= scale.BROADCAST_BYTES
 
@@ -45,16 +51,6 @@ class Mart:
     locations: Dimension
     price_scale: int | None = None
 
-    @classmethod
-    def of(cls, fact, products, stores, locations, price_scale=None) -> Mart:
-        return cls(
-            fact,
-            Dimension(products, "producto_id"),
-            Dimension(stores, "establecimiento_id"),
-            Dimension(locations, "establecimiento_id"),
-            price_scale,
-        )
-
 
 def fact_prices(
     prices: DataFrame,

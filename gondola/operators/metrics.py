@@ -6,6 +6,8 @@ by_product_day, so one aggregate serves average, extremes, dispersion and variat
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gondola.functions import calendar, measures
@@ -144,13 +146,8 @@ def by_category_chain_month(mart: Mart) -> DataFrame:
 def by_region_category_month(mart: Mart, first_year: int) -> DataFrame:
     """Average and count per region, category and calendar month from first_year on; the
     years are pooled. The year limit is put on the date, where it can prune partitions."""
-    recent = Mart(
-        mart.fact.filter(F.col("fecha") >= F.make_date(F.lit(first_year), F.lit(1), F.lit(1))),
-        mart.products,
-        mart.stores,
-        mart.locations,
-        mart.price_scale,
-    )
+    january = F.make_date(F.lit(first_year), F.lit(1), F.lit(1))
+    recent = replace(mart, fact=mart.fact.filter(F.col("fecha") >= january))
     states = cube.attach(
         cube.observations(recent), mart.products, ["mes", "establecimiento_id"], categoria="categoria"
     )

@@ -7,6 +7,7 @@ repeated alone with the same result.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -58,28 +59,27 @@ def build_dims(spark: SparkSession, base: str) -> None:
     lake.replace("refined", "dim_ubicacion", dimensions.dim_location(stores))
 
 
+def stored_dimensions(lake: Lake) -> list[facts.Dimension]:
+    """Products, stores and locations of the refined zone."""
+    keys = {"dim_producto": "producto_id", "dim_establecimiento": "establecimiento_id",
+            "dim_ubicacion": "establecimiento_id"}
+    return [facts.Dimension(partial(lake.read, "refined", t), k) for t, k in keys.items()]
+
+
 def build_fact(spark: SparkSession, base: str) -> DataFrame:
     """The fact table, partitioned by date."""
     lake = Lake(spark, base)
     fact = facts.fact_prices(
         raw_prices(spark, base),
-        facts.Dimension(lake.read("refined", "dim_producto"), "producto_id"),
-        facts.Dimension(lake.read("refined", "dim_establecimiento"), "establecimiento_id"),
-        facts.Dimension(lake.read("refined", "dim_ubicacion"), "establecimiento_id"),
-        facts.Dimension(lake.read("refined", "dim_tiempo").select("fecha"), "fecha"),
+        *stored_dimensions(lake),
+        facts.Dimension(lambda: lake.read("refined", "dim_tiempo").select("fecha"), "fecha"),
     )
     return lake.replace_partitions("refined", "fact_precios", fact, "fecha")
 
 
 def load_mart(spark: SparkSession, base: str, price_scale: int | None = None) -> facts.Mart:
     lake = Lake(spark, base)
-    return facts.Mart.of(
-        lake.read("refined", "fact_precios"),
-        lake.read("refined", "dim_producto"),
-        lake.read("refined", "dim_establecimiento"),
-        lake.read("refined", "dim_ubicacion"),
-        price_scale,
-    )
+    return facts.Mart(lake.read("refined", "fact_precios"), *stored_dimensions(lake), price_scale)
 
 
 def build_cube(spark: SparkSession, base: str, price_scale: int | None = None) -> DataFrame:

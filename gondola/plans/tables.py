@@ -6,10 +6,12 @@ their nation (city) and region. Prices have two decimals.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.operators import dimensions
-from gondola.operators.facts import Mart
+from gondola.operators.facts import Dimension, Mart
 
 PRICE_SCALE = 2
 
@@ -30,12 +32,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def prices(spark: SparkSession, folder: str) -> DataFrame:
     """Raw price observations."""
-    return table(spark, folder, "lineitem").select(
-        F.col("l_shipdate").cast("date").alias("fecha"),
-        F.col("l_partkey").cast("int").alias("producto_id"),
-        F.col("l_suppkey").cast("int").alias("establecimiento_id"),
-        F.col("l_extendedprice").alias("precio"),
-        F.when(F.col("l_discount") > 0, 1).otherwise(0).alias("oferta"),
+    return table(spark, folder, "lineitem").selectExpr(
+        "CAST(l_shipdate AS DATE) AS fecha",
+        "CAST(l_partkey AS INT) AS producto_id",
+        "CAST(l_suppkey AS INT) AS establecimiento_id",
+        "l_extendedprice AS precio",
+        "IF(l_discount > 0, 1, 0) AS oferta",
     )
 
 
@@ -44,63 +46,52 @@ def dim_time(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dim_product(spark: SparkSession, folder: str) -> DataFrame:
-    size = F.concat(F.lit("size "), F.col("p_size").cast("string"))
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").cast("int").alias("producto_id"),
-        F.concat_ws(" ", "p_name", "p_brand").alias("nombre_completo"),
-        F.col("p_name").alias("nombre"),
-        F.col("p_type").alias("categoria"),
-        size.alias("subcategoria"),
-        F.col("p_brand").alias("marca"),
-        size.alias("especificacion"),
+    return table(spark, folder, "part").selectExpr(
+        "CAST(p_partkey AS INT) AS producto_id",
+        "concat_ws(' ', p_name, p_brand) AS nombre_completo",
+        "p_name AS nombre",
+        "p_type AS categoria",
+        "concat('size ', p_size) AS subcategoria",
+        "p_brand AS marca",
+        "concat('size ', p_size) AS especificacion",
     )
 
 
-def _placed_suppliers(spark: SparkSession, folder: str) -> DataFrame:
-    """Suppliers with nation and region; these two have 25 and 5 rows at every scale."""
-    nation = table(spark, folder, "nation")
-    region = table(spark, folder, "region")
-    return (
-        table(spark, folder, "supplier")
-        .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
+def _suppliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers with their nation, a table of 25 rows at every scale."""
+    nation = F.broadcast(table(spark, folder, "nation"))
+    return table(spark, folder, "supplier").join(nation, F.expr("s_nationkey = n_nationkey"))
 
 
 def dim_store(spark: SparkSession, folder: str) -> DataFrame:
-    chain = F.when(F.col("s_suppkey") % 7 != 0, F.col("n_name"))
-    nation = table(spark, folder, "nation")
-    return (
-        table(spark, folder, "supplier")
-        .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").cast("int").alias("establecimiento_id"),
-            F.col("s_name").alias("nombre"),
-            F.col("s_name").alias("razon_social"),
-            chain.alias("cadena"),
-            F.coalesce(chain, F.lit("Sin Cadena")).alias("cadena_normalizada"),
-        )
+    return _suppliers(spark, folder).selectExpr(
+        "CAST(s_suppkey AS INT) AS establecimiento_id",
+        "s_name AS nombre",
+        "s_name AS razon_social",
+        "IF(s_suppkey % 7 = 0, NULL, n_name) AS cadena",
+        "IF(s_suppkey % 7 = 0, 'Sin Cadena', n_name) AS cadena_normalizada",
     )
 
 
 def dim_location(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    barrio = F.when(key % 5 != 0, F.concat(F.lit("Barrio "), (key % 3).cast("string")))
-    return _placed_suppliers(spark, folder).select(
-        key.cast("int").alias("establecimiento_id"),
-        F.col("r_name").alias("departamento"),
-        F.col("n_name").alias("ciudad"),
-        F.concat(F.lit("Dir "), key.cast("string")).alias("direccion"),
-        F.coalesce(barrio, F.lit("Sin Barrio")).alias("barrio"),
-        key.cast("int").alias("ubicacion_id"),
+    """Regions are a table of 5 rows at every scale."""
+    region = F.broadcast(table(spark, folder, "region"))
+    placed = _suppliers(spark, folder).join(region, F.expr("n_regionkey = r_regionkey"))
+    return placed.selectExpr(
+        "CAST(s_suppkey AS INT) AS establecimiento_id",
+        "r_name AS departamento",
+        "n_name AS ciudad",
+        "concat('Dir ', s_suppkey) AS direccion",
+        "IF(s_suppkey % 5 = 0, 'Sin Barrio', concat('Barrio ', s_suppkey % 3)) AS barrio",
+        "CAST(s_suppkey AS INT) AS ubicacion_id",
     )
 
 
 def mart(spark: SparkSession, folder: str) -> Mart:
-    return Mart.of(
+    return Mart(
         prices(spark, folder),
-        dim_product(spark, folder),
-        dim_store(spark, folder),
-        dim_location(spark, folder),
+        Dimension(partial(dim_product, spark, folder), "producto_id"),
+        Dimension(partial(dim_store, spark, folder), "establecimiento_id"),
+        Dimension(partial(dim_location, spark, folder), "establecimiento_id"),
         PRICE_SCALE,
     )
