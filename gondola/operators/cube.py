@@ -16,14 +16,15 @@ STATE = ("n", "total", "bajo", "alto")
 
 
 def observations(mart: Mart) -> DataFrame:
-    """The fact as states, with the calendar period taken from its date."""
+    """The fact as states. The calendar period is the stored partition's, or else the date's."""
     price = F.col("precio")
+    stored = "anio" in mart.fact.columns and "mes" in mart.fact.columns
     return mart.fact.select(
         "producto_id",
         "establecimiento_id",
         "fecha",
-        F.year("fecha").alias("anio"),
-        F.month("fecha").alias("mes"),
+        F.col("anio") if stored else F.year("fecha").alias("anio"),
+        F.col("mes") if stored else F.month("fecha").alias("mes"),
         F.lit(1).cast("bigint").alias("n"),
         measures.units(price, mart.price_scale).alias("total"),
         price.alias("bajo"),

@@ -168,7 +168,8 @@ def dispersion_bands(dispersion: DataFrame) -> DataFrame:
 
 
 def executive_summary(combined: DataFrame, basket: DataFrame) -> DataFrame:
-    """The headline figures of all metrics as one row."""
+    """The headline figures of all metrics as one row. The cheapest and dearest store are
+    those of the last month."""
     median = exact_quantiles(combined, "indice_dispersion", [0.5], [])
     of_products = combined.agg(
         F.count_distinct("producto").alias("productos_analizados"),
@@ -181,28 +182,31 @@ def executive_summary(combined: DataFrame, basket: DataFrame) -> DataFrame:
         F.avg("indice_dispersion").alias("dispersion_promedio"),
         F.count_if(F.col("indice_dispersion") > HIGH_DISPERSION).alias("registros_alta_dispersion"),
     )
-    of_baskets = basket.agg(
+    named = basket.filter(F.col("supermercado").isNotNull())
+    month = F.col("anio") * 12 + F.col("mes")
+    of_baskets = named.agg(
         F.count_distinct("supermercado").alias("supermercados_analizados"),
         F.avg("costo_canasta").alias("costo_promedio"),
         F.min("costo_canasta").alias("costo_minimo"),
         F.max("costo_canasta").alias("costo_maximo"),
-    ).withColumn("costo_diferencia", F.col("costo_maximo") - F.col("costo_minimo"))
-    order = F.struct("costo_canasta", "supermercado")
-    ends = (
-        latest(basket)
-        .filter(F.col("supermercado").isNotNull())
-        .agg(F.min(order).alias("barato"), F.max(order).alias("caro"))
+        F.min(F.struct(-month, "costo_canasta", "supermercado")).alias("barato"),
+        F.max(F.struct(month, "costo_canasta", "supermercado")).alias("caro"),
     )
-    cheap, dear = F.col("e.barato.costo_canasta"), F.col("e.caro.costo_canasta")
+    cheap, dear = F.col("b.barato.costo_canasta"), F.col("b.caro.costo_canasta")
     return of_products.select(
         "*",
         median.select(F.col("cuantiles")[0]).scalar().alias("dispersion_mediana"),
         of_baskets.select(F.struct("*")).scalar().alias("b"),
-        ends.select(F.struct("*")).scalar().alias("e"),
     ).select(
-        *of_products.columns, "dispersion_mediana", "b.*",
-        F.col("e.barato.supermercado").alias("mas_economico"),
-        F.col("e.caro.supermercado").alias("mas_caro"),
+        *of_products.columns,
+        "dispersion_mediana",
+        "b.supermercados_analizados",
+        "b.costo_promedio",
+        "b.costo_minimo",
+        "b.costo_maximo",
+        (F.col("b.costo_maximo") - F.col("b.costo_minimo")).alias("costo_diferencia"),
+        F.col("b.barato.supermercado").alias("mas_economico"),
+        F.col("b.caro.supermercado").alias("mas_caro"),
         (dear - cheap).alias("diferencia_precio"),
         ((dear / cheap - 1) * 100).alias("diferencia_pct"),
     )

@@ -24,13 +24,17 @@ class Dimension:
     def frame(self) -> DataFrame:
         return self._build()
 
+    @cached_property
+    def size(self) -> tuple[int, int]:
+        return scale.measure(self.frame)
+
     @property
     def rows(self) -> int:
-        return scale.measure(self.frame)[0]
+        return self.size[0]
 
     @property
     def small(self) -> bool:
-        return scale.measure(self.frame)[1] <= scale.BROADCAST_BYTES
+        return self.size[1] <= scale.BROADCAST_BYTES
 
     def side(self, *columns) -> DataFrame:
         """Key and chosen columns as a join side: broadcast when measured small enough,

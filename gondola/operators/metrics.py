@@ -145,9 +145,13 @@ def by_category_chain_month(mart: Mart) -> DataFrame:
 
 def by_region_category_month(mart: Mart, first_year: int) -> DataFrame:
     """Average and count per region, category and calendar month from first_year on; the
-    years are pooled. The year limit is put on the date, where it can prune partitions."""
+    years are pooled. The year limit is put on the date and on a stored year, where it prunes
+    row groups and partitions."""
     january = F.make_date(F.lit(first_year), F.lit(1), F.lit(1))
-    recent = replace(mart, fact=mart.fact.filter(F.col("fecha") >= january))
+    fact = mart.fact.filter(F.col("fecha") >= january)
+    if "anio" in fact.columns:
+        fact = fact.filter(F.col("anio") >= first_year)
+    recent = replace(mart, fact=fact)
     states = cube.attach(
         cube.observations(recent), mart.products, ["mes", "establecimiento_id"], categoria="categoria"
     )

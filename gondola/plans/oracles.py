@@ -191,12 +191,13 @@ oracle(
     "SELECT *, establecimiento_id AS ubicacion_id FROM lugar",
 )
 oracle(
-    "fact_prices", "crudo",
-    """SELECT CAST(strftime(fecha, '%Y%m%d') AS INT) AS fecha_id,
-    CAST(CAST(producto_id AS DOUBLE) AS INT) AS producto_id, CAST(establecimiento_id AS INT) AS establecimiento_id,
-    CAST(establecimiento_id AS INT) AS ubicacion_id, precio, oferta, fecha FROM crudo
-    WHERE fecha IS NOT NULL AND CAST(CAST(producto_id AS DOUBLE) AS INT) IN (SELECT p_partkey FROM part)
-    AND CAST(establecimiento_id AS INT) IN (SELECT s_suppkey FROM supplier)""",
+    "fact_prices", "obs",
+    """SELECT CAST(strftime(CAST(l_shipdate AS DATE), '%Y%m%d') AS INT) AS fecha_id,
+    CAST(l_partkey AS INT) AS producto_id, CAST(l_suppkey AS INT) AS establecimiento_id,
+    CAST(l_suppkey AS INT) AS ubicacion_id, l_extendedprice AS precio,
+    CASE WHEN l_discount > 0 THEN 1 ELSE 0 END AS oferta, CAST(l_shipdate AS DATE) AS fecha FROM lineitem
+    WHERE l_linenumber <> 2 AND l_partkey IN (SELECT p_partkey FROM part)
+    AND l_suppkey IN (SELECT s_suppkey FROM supplier)""",
 )
 oracle("fact_partitions", "obs", "SELECT fecha, count(*) AS filas FROM obs GROUP BY fecha")
 
@@ -287,10 +288,9 @@ oracle(
 # --- quality
 
 MODEL["hechos"] = """SELECT CAST(strftime(fecha, '%Y%m%d') AS INT) AS fecha_id, producto_id, establecimiento_id,
-    establecimiento_id AS ubicacion_id, precio, oferta, fecha FROM obs
-    WHERE producto_id IN (SELECT producto_id FROM prod) AND establecimiento_id IN (SELECT establecimiento_id FROM lugar)"""
+    establecimiento_id AS ubicacion_id, precio, oferta, fecha FROM obs"""
 MODEL["sitio"] = "SELECT *, establecimiento_id AS ubicacion_id FROM lugar"
-USES["hechos"] = ["obs", "prod", "lugar"]
+USES["hechos"] = ["obs"]
 USES["sitio"] = ["lugar"]
 STAR = "hechos tiempo prod tienda sitio"
 SOURCE = {
@@ -341,7 +341,11 @@ def union(parts: list[str]) -> str:
 
 
 oracle("dq_nulls", STAR, union(NULLS))
-oracle("dq_fk", STAR, union(KEYS))
+WRONG_PARENT = check(
+    "lineas -> dim_establecimiento", "referential_integrity", "l_partkey",
+    "NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_partkey)", "lineitem l",
+)
+oracle("dq_fk", STAR, union([*KEYS, WRONG_PARENT]))
 oracle("dq_duplicates", STAR, union([*COPIES, LINES]))
 oracle("dq_range", STAR, union([*RANGES, LATER]))
 oracle("dq_domain", STAR, union(DOMAINS))

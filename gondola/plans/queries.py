@@ -30,6 +30,7 @@ CHECKS = (
     *quality.STAR_CHECKS,
     quality.InRange("dim_tiempo", "anio", 1995, 2001),
     quality.Unique("lineas", ("l_orderkey", "l_linenumber")),
+    quality.ForeignKey("lineas", "l_partkey", "dim_establecimiento", "establecimiento_id"),
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -207,27 +208,30 @@ def dim_location(spark, folder):
     return dimensions.dim_location(cleaning.clean_stores(store_text(spark, folder)))
 
 
-def built_fact(spark: SparkSession, folder: str, observed: DataFrame) -> DataFrame:
-    mart = tables.mart(spark, folder)
-    return facts.fact_prices(observed, mart.products, mart.stores, mart.locations)
-
-
 @query
 def fact_prices(spark, folder):
-    """From cleaned price lines: text ids become keys, dateless rows drop out."""
-    return built_fact(spark, folder, raw_prices(spark, folder))
+    """From raw rows with text ids, of which line number 3 writes products like 12.0 and
+    line number 2 lacks the date."""
+    raw = tables.table(spark, folder, "lineitem").selectExpr(
+        "IF(l_linenumber = 2, NULL, CAST(l_shipdate AS DATE)) AS fecha",
+        "concat(l_partkey, IF(l_linenumber = 3, '.0', '')) AS producto_id",
+        "CAST(l_suppkey AS STRING) AS establecimiento_id",
+        "l_extendedprice AS precio",
+        "IF(l_discount > 0, 1, 0) AS oferta",
+    )
+    mart = tables.mart(spark, folder)
+    return facts.fact_prices(raw, mart.products, mart.stores, mart.locations)
 
 
 @query
 def fact_partitions(spark, folder):
-    """Rows per date partition of the fact."""
-    fact = built_fact(spark, folder, tables.prices(spark, folder))
-    return fact.groupBy("fecha").agg(F.count("*").alias("filas"))
+    """Rows per partition of the fact by date."""
+    return tables.fact(spark, folder).groupBy("fecha").agg(F.count("*").alias("filas"))
 
 
 def model(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {
-        "fact_precios": built_fact(spark, folder, tables.prices(spark, folder)),
+        "fact_precios": tables.fact(spark, folder),
         "dim_tiempo": tables.dim_time(spark, folder),
         "dim_producto": tables.dim_product(spark, folder),
         "dim_establecimiento": tables.dim_store(spark, folder),
@@ -365,8 +369,7 @@ def coverage_weekday(spark, folder):
 
 @query
 def coverage_date(spark, folder):
-    fact = built_fact(spark, folder, tables.prices(spark, folder))
-    return ranking.frequency(fact, ["fecha_id"])
+    return ranking.frequency(tables.fact(spark, folder), ["fecha_id"])
 
 
 @query

@@ -10,6 +10,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gondola.functions import calendar
 from gondola.operators import dimensions
 from gondola.operators.facts import Dimension, Mart
 
@@ -41,6 +42,20 @@ def prices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The observations with all keys. Foreign keys are not enforced, so that the quality
+    checks have something to find."""
+    return prices(spark, folder).select(
+        calendar.date_key(F.col("fecha")).alias("fecha_id"),
+        "producto_id",
+        "establecimiento_id",
+        F.col("establecimiento_id").alias("ubicacion_id"),
+        "precio",
+        "oferta",
+        "fecha",
+    )
+
+
 def dim_time(spark: SparkSession, folder: str) -> DataFrame:
     return dimensions.dim_time(prices(spark, folder))
 

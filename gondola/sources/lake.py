@@ -27,18 +27,24 @@ class Lake:
         return self.read(zone, table)
 
     def replace_partitions(
-        self, zone: str, table: str, rows: DataFrame, column: str, only_present: bool = False
+        self,
+        zone: str,
+        table: str,
+        rows: DataFrame,
+        columns: tuple[str, ...],
+        order: tuple[str, ...] = (),
+        only_present: bool = False,
     ) -> DataFrame:
-        """Write partitioned by a column. Rebalancing gathers each partition's rows into
-        few files and splits a partition that is larger than the advisory size, so neither
-        tiny files nor one huge task appear. With only_present, partitions without new
-        rows are left as they are."""
-        mode = "dynamic" if only_present else "static"
+        """Write partitioned by columns, each file ordered so that its row groups cover
+        narrow ranges. Rebalancing gathers a partition's rows into few files and splits a
+        partition larger than the advisory size, so neither tiny files nor one huge task
+        appear. With only_present, partitions without new rows are left as they are."""
         (
-            rows.hint("rebalance", column)
+            rows.hint("rebalance", *columns)
+            .sortWithinPartitions(*columns, *order)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
-            .partitionBy(column)
+            .option("partitionOverwriteMode", "dynamic" if only_present else "static")
+            .partitionBy(*columns)
             .parquet(self.path(zone, table))
         )
         return self.read(zone, table)

@@ -63,10 +63,10 @@ def test_ingest_refuses_incomplete_sources(spark, folder, tmp_path):  # noqa: F8
 def test_partition_replacement_leaves_other_partitions(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     old = spark.sql("SELECT * FROM VALUES (1, 'a'), (2, 'b') AS t(v, p)")
-    lake.replace_partitions("refined", "t", old, "p")
+    lake.replace_partitions("refined", "t", old, ("p",))
     new = spark.sql("SELECT 3 AS v, 'b' AS p")
-    assert rows(lake.replace_partitions("refined", "t", new, "p", only_present=True), "v", "p") == [(1, "a"), (3, "b")]
-    assert rows(lake.replace_partitions("refined", "t", new, "p"), "v", "p") == [(3, "b")]
+    assert rows(lake.replace_partitions("refined", "t", new, ("p",), only_present=True), "v", "p") == [(1, "a"), (3, "b")]
+    assert rows(lake.replace_partitions("refined", "t", new, ("p",)), "v", "p") == [(3, "b")]
 
 
 def test_new_price_files_are_taken_once(spark, folder, tmp_path):  # noqa: F811
@@ -84,4 +84,9 @@ def test_new_price_files_are_taken_once(spark, folder, tmp_path):  # noqa: F811
     arrivals.take_new_files(spark, base, "diario/*.csv", columns)
     assert arrivals.raw_prices(spark, base).count() == 8
     jobs.build_dims(spark, base)
-    assert jobs.build_fact(spark, base).count() == 5
+    by_month = jobs.build_fact(spark, base)
+    assert rows(by_month.groupBy("anio", "mes").count()) == [(2025, 1, 3), (2025, 2, 2)]
+    stored = rows(by_month, "fecha", "precio")
+    by_date = jobs.build_fact(spark, base, by_date=True)
+    assert by_date.inputFiles()[0].split("/")[-2].startswith("fecha=")
+    assert rows(by_date, "fecha", "precio") == stored
