@@ -6,7 +6,10 @@ from pyspark.sql import Column, functions as F
 
 
 def units(value: Column, scale: int | None) -> Column:
-    """The value in whole units of its last decimal, or as it is without a known scale."""
+    """The value in whole units of its last decimal, or as it is without a known scale.
+
+    Sums of units are exact 64-bit integers: with two decimals and prices up to 100,000 a
+    single group may hold 900 billion rows, and beyond that the sum fails, never wraps."""
     return value if scale is None else F.floor(value * 10**scale + 0.5)
 
 

@@ -35,9 +35,9 @@ def top_series(prices: DataFrame, column: str, value: str, k: int) -> DataFrame:
     return ranking.in_top_groups(prices, column, k).select(period().alias("fecha"), column, value)
 
 
-def group_stats(rows: DataFrame, column: str, value: str) -> DataFrame:
+def group_stats(rows: DataFrame, column: str, value: str, most_groups: int | None = None) -> DataFrame:
     """Mean, exact median, extremes and sample deviation of value per group."""
-    return exact_quantiles(rows, value, [0.5], [column]).select(
+    return exact_quantiles(rows, value, [0.5], [column], most_groups).select(
         column, F.col("media").alias("mean"), F.col("cuantiles")[0].alias("median"),
         F.col("minimo").alias("min"), F.col("maximo").alias("max"), F.col("desviacion").alias("std"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gondola.functions import measures
 from gondola.operators import cube
 from gondola.operators.facts import Mart
-from gondola.operators.quantiles import exact_quantiles
+from gondola.operators.quantiles import exact_quantiles, few
 
 
 def daily_profile(mart: Mart) -> DataFrame:
@@ -125,22 +125,23 @@ def density(rows: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     return numbers.select(*cells).groupBy("bin_x", "bin_y").agg(F.count("*").alias("cantidad"))
 
 
-def box(rows: DataFrame, column: str, by: list[str]) -> DataFrame:
+def box(rows: DataFrame, column: str, by: list[str], most_groups: int | None = None) -> DataFrame:
     """Box-plot figures per group: quartiles, whiskers at the outermost values within 1.5
-    interquartile ranges of the box, and the number of values beyond them. Groups are few
-    (years, leading stores), so their quartiles are broadcast back to the rows."""
+    interquartile ranges of the box, and the number of values beyond them. `most_groups`
+    is a proven bound on the number of groups, as in exact_quantiles."""
     keys = by or ["_todo"]
     numbers = rows.filter(measures.is_number(F.col(column))).select(*by, column)
     if not by:
         numbers = numbers.withColumn("_todo", F.lit(0))
-    quartile = exact_quantiles(numbers, column, [0.25, 0.5, 0.75], keys).select(
+    bound = most_groups if by else 1
+    quartile = exact_quantiles(numbers, column, [0.25, 0.5, 0.75], keys, bound).select(
         *keys, F.col("n").alias("cantidad"),
         *[F.col("cuantiles")[i].alias(q) for i, q in enumerate(("q1", "mediana", "q3"))],
     )
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(column).between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        numbers.join(F.broadcast(quartile), keys)
+        numbers.join(few(quartile, bound), keys)
         .groupBy(*keys, "cantidad", "q1", "mediana", "q3")
         .agg(
             F.min(F.when(inside, F.col(column))).alias("bigote_inferior"),

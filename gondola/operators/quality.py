@@ -94,6 +94,7 @@ KIND = {
     InDomain: "consistency",
 }
 
+# Columns of an evaluation.
 RESULT = ("tabla", "check_type", "columna", "total_rows", "failed_rows", "failed_pct", "passed")
 
 
@@ -109,7 +110,16 @@ def evaluate(tables: dict[str, DataFrame], checks: Sequence) -> DataFrame:
             parts.append(_surplus(tables[check.table], check))
         elif isinstance(check, ForeignKey):
             parts.append(_orphans(tables[check.table], tables[check.parent], check))
-    return reduce(DataFrame.unionByName, parts)
+    return _judged(reduce(DataFrame.unionAll, parts))
+
+
+def _judged(counts: DataFrame) -> DataFrame:
+    return counts.withColumns(
+        {
+            "failed_pct": measures.share_pct(F.col("failed_rows"), F.col("total_rows")),
+            "passed": F.col("failed_rows") == 0,
+        }
+    )
 
 
 def _scan(rows: DataFrame, table: str, checks: Sequence) -> DataFrame:
@@ -124,17 +134,13 @@ def _scan(rows: DataFrame, table: str, checks: Sequence) -> DataFrame:
                 predicates.append((kind, "", F.lit(False)))
         else:
             predicates.append((kind, check.column, ~F.coalesce(_valid(check), F.lit(False))))
-    counts = rows.agg(
-        F.count("*").alias("total"),
-        *[F.count_if(p).alias(f"c{i}") for i, (_, _, p) in enumerate(predicates)],
-    )
-    lines = [
-        F.struct(
-            F.lit(kind).alias("check_type"), F.lit(column).alias("columna"), F.col(f"c{i}").alias("failed")
-        )
-        for i, (kind, column, _) in enumerate(predicates)
-    ]
-    return _result(counts.select("total", F.inline(F.array(*lines))), table)
+    failures = [F.count_if(p).alias(f"c{i}") for i, (_, _, p) in enumerate(predicates)]
+    lines = ", ".join(f"'{kind}', '{column}', c{i}" for i, (kind, column, _) in enumerate(predicates))
+    return rows.agg(F.count("*").alias("total_rows"), *failures).selectExpr(
+        f"'{table}' AS tabla",
+        f"stack({len(predicates)}, {lines}) AS (check_type, columna, failed_rows)",
+        "total_rows",
+    ).select(*RESULT[:5])
 
 
 def _valid(check: InRange | InDomain) -> Column:
@@ -149,36 +155,24 @@ def _valid(check: InRange | InDomain) -> Column:
 def _surplus(rows: DataFrame, check: Unique) -> DataFrame:
     keys = list(check.keys) or rows.columns
     copies = rows.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count("*").alias("copies"))
-    counts = copies.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("failed"),
-    )
-    return _result(_named(counts, check, ",".join(check.keys)), check.table)
+    return _counted(copies, "copies", "copies - 1", check.table, check, ",".join(check.keys))
 
 
 def _orphans(rows: DataFrame, parent: DataFrame, check: ForeignKey) -> DataFrame:
     uses = rows.groupBy(F.col(check.column).alias("clave")).agg(F.count("*").alias("usos"))
-    known = parent.select(F.col(check.parent_key).alias("clave")).distinct().withColumn("hay", F.lit(1))
-    counts = uses.join(known, "clave", "left").agg(
-        F.coalesce(F.sum("usos"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(F.col("hay").isNull(), F.col("usos"))), F.lit(0)).alias("failed"),
-    )
-    return _result(_named(counts, check, check.column), f"{check.table} -> {check.parent}")
-
-
-def _named(counts: DataFrame, check, column: str) -> DataFrame:
-    return counts.withColumns({"check_type": F.lit(KIND[type(check)]), "columna": F.lit(column)})
+    known = parent.selectExpr(f"`{check.parent_key}` AS clave", "TRUE AS hay").distinct()
+    table = f"{check.table} -> {check.parent}"
+    return _counted(uses.join(known, "clave", "left"), "usos", "IF(hay, 0, usos)", table, check, check.column)
 
 
-def _result(counts: DataFrame, table: str) -> DataFrame:
-    return counts.select(
-        F.lit(table).alias("tabla"),
-        "check_type",
-        "columna",
-        F.col("total").alias("total_rows"),
-        F.col("failed").alias("failed_rows"),
-        measures.share_pct(F.col("failed"), F.col("total")).alias("failed_pct"),
-        (F.col("failed") == 0).alias("passed"),
+def _counted(groups: DataFrame, total: str, failed: str, table: str, check, column: str) -> DataFrame:
+    """Total and failing rows over per-key counts."""
+    sums = groups.selectExpr(
+        f"coalesce(sum({total}), 0) AS total_rows", f"coalesce(sum({failed}), 0) AS failed_rows"
+    )
+    return sums.selectExpr(
+        f"'{table}' AS tabla", f"'{KIND[type(check)]}' AS check_type", f"'{column}' AS columna",
+        "total_rows", "failed_rows",
     )
 
 
@@ -213,7 +207,7 @@ def summary(checks: DataFrame) -> DataFrame:
 
 def null_profile(rows: DataFrame, table: str) -> DataFrame:
     """Null count and share of every column, in one pass."""
-    return _scan(rows, table, [NotNull(table, tuple(rows.columns))]).select(
+    return _judged(_scan(rows, table, [NotNull(table, tuple(rows.columns))])).select(
         "tabla", "columna", "total_rows",
         F.col("failed_rows").alias("nulos"), F.col("failed_pct").alias("porcentaje"),
     )
@@ -221,7 +215,7 @@ def null_profile(rows: DataFrame, table: str) -> DataFrame:
 
 def duplicate_profile(rows: DataFrame, table: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows, distinct rows (or keys) and surplus copies."""
-    return _surplus(rows, Unique(table, keys)).select(
+    return _judged(_surplus(rows, Unique(table, keys))).select(
         "tabla", "total_rows",
         (F.col("total_rows") - F.col("failed_rows")).alias("unicos"),
         F.col("failed_rows").alias("duplicados"), F.col("failed_pct").alias("porcentaje"),

@@ -10,17 +10,32 @@ from gondola.functions import measures
 ACCURACY = 10_000
 SMALL = 100_000
 
+# Per-group figures of up to this many groups are broadcast.
+FEW_GROUPS = 10_000
+
 FIGURES = ("n", "media", "desviacion", "minimo", "maximo")
 
 
-def exact_quantiles(rows: DataFrame, value: str, probabilities: list[float], by: list[str]) -> DataFrame:
+def few(groups: DataFrame, most_groups: int | None) -> DataFrame:
+    """A table of per-group figures as a join side."""
+    return F.broadcast(groups) if most_groups is not None and most_groups <= FEW_GROUPS else groups
+
+
+def exact_quantiles(
+    rows: DataFrame,
+    value: str,
+    probabilities: list[float],
+    by: list[str],
+    most_groups: int | None = None,
+) -> DataFrame:
     """One row per group: FIGURES and `cuantiles`, an array with one linearly interpolated
     quantile per probability. Nulls and NaN are left out.
 
     A sketch first brackets every quantile; then only the rows inside the brackets, a few
     ten-thousandths of a large group, are counted per value and walked in order, while all
     rows below a bracket collapse into a single count. The bracket table has one row per
-    group and probability: callers group by periods or by a handful of names.
+    group and probability. It is broadcast when `most_groups`, a bound the caller can
+    prove, is small; otherwise the engine joins it by its size at run time.
     """
     data = rows.filter(measures.is_number(F.col(value))).select(*by, F.col(value).alias("_v"))
     if not by:
@@ -48,7 +63,7 @@ def exact_quantiles(rows: DataFrame, value: str, probabilities: list[float], by:
     ]
     brackets = sketch.select(*keys, *FIGURES, F.inline(F.array(*wanted)))
     counted = (
-        data.join(F.broadcast(brackets), keys)
+        data.join(few(brackets, 1 if not by else most_groups), keys)
         .filter("_v <= _hasta")
         .withColumn("_v", F.when(F.col("_v") >= F.col("_desde"), F.col("_v")))
         .groupBy(*keys, "_i", "_pos", *FIGURES, "_v")

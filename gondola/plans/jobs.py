@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from gondola.operators import basket, cleaning, cube, dimensions, facts, metrics, quality
 from gondola.sources import csvfiles
@@ -20,19 +20,22 @@ CUBE = "cubo_mensual"
 
 
 def ingest(spark: SparkSession, source: str, base: str) -> DataFrame:
-    """Check the three source files against their contract, then store them in landing in
-    the same format with an audit table. Raises when a file is missing or incomplete."""
+    """Check the headers of the three source files, then store the files in landing in the
+    same format, with an audit table. Rows are counted while they are written. Raises when
+    a file is missing or incomplete, before anything is written."""
     lake = Lake(spark, base)
     found = csvfiles.find(spark, source)
-    checked = csvfiles.contract(found, spark).collect()
-    if not all(row.passed for row in checked):
-        bad = [f"{r.archivo}: {r.columnas_faltantes}" for r in checked if not r.passed]
+    gaps = {file.name: csvfiles.missing_columns(file, rows) for file, rows in found.items()}
+    if any(gaps.values()):
+        bad = [f"{name}: {','.join(columns)}" for name, columns in gaps.items() if columns]
         raise ValueError("source files do not meet their contract: " + "; ".join(bad))
+    counts = []
     for file, rows in found.items():
-        rows.write.mode("overwrite").options(**file.options, header="true", emptyValue="").csv(
-            lake.path("landing", f"{file.name}.csv")
-        )
-    counts = [(r.archivo, r.filas) for r in checked]
+        seen = Observation(file.name)
+        rows.observe(seen, F.count(F.lit(1)).alias("filas")).write.mode("overwrite").options(
+            **file.options, header="true", emptyValue=""
+        ).csv(lake.path("landing", f"{file.name}.csv"))
+        counts.append((file.name, seen.get["filas"]))
     log = spark.createDataFrame(counts, "archivo string, filas bigint").withColumn(
         "ingerido_en", F.current_timestamp()
     )

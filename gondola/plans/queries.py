@@ -26,6 +26,7 @@ BASKET = (
     "blue widget", "cold anvil", "cold bolt", "cold gear", "cold gizmo",
 )
 FIRST_YEAR = 1998
+YEARS = 9999  # four-digit years cannot be more
 CHECKS = (
     *quality.STAR_CHECKS,
     quality.InRange("dim_tiempo", "anio", 1995, 2001),
@@ -416,13 +417,13 @@ on_mart("box_price", lambda m: rounded(profile.box(m.fact, "precio", []), 6, "q1
 on_mart(
     "box_variation_year",
     lambda m: rounded(
-        profile.box(dashboard.trim_variation(variation(m)), "variacion_pct", ["anio"]), 6, "q1", "mediana", "q3"
+        profile.box(dashboard.trim_variation(variation(m)), "variacion_pct", ["anio"], YEARS), 6, "q1", "mediana", "q3"
     ),
 )
 on_mart(
     "box_basket_store",
     lambda m: rounded(
-        profile.box(ranking.in_top_groups(costs(m), "supermercado", 8), "costo_canasta", ["supermercado"]),
+        profile.box(ranking.in_top_groups(costs(m), "supermercado", 8), "costo_canasta", ["supermercado"], 8),
         6, "q1", "mediana", "q3",
     ),
 )
@@ -441,14 +442,14 @@ on_mart("top8_stores_series", lambda m: dashboard.top_series(costs(m), "supermer
 on_mart(
     "avg_price_yearly_stats",
     lambda m: rounded(
-        dashboard.group_stats(names(m), "anio", "precio_promedio").drop("std"), 6, "mean", "median"
+        dashboard.group_stats(names(m), "anio", "precio_promedio", YEARS).drop("std"), 6, "mean", "median"
     ),
 )
 on_mart(
     "basket_store_stats",
     lambda m: rounded(
         dashboard.group_stats(
-            ranking.in_top_groups(costs(m), "supermercado", 8), "supermercado", "costo_canasta"
+            ranking.in_top_groups(costs(m), "supermercado", 8), "supermercado", "costo_canasta", 8
         ),
         6, "mean", "median", "std",
     ),

@@ -61,11 +61,16 @@ def read_yearly_prices(spark: SparkSession, landing: str) -> DataFrame:
     )
 
 
+def missing_columns(file: CsvFile, rows: DataFrame | None) -> list[str]:
+    """Required columns that the file, or its absence, leaves open; reads headers only."""
+    return [c for c in file.required if rows is None or c not in rows.columns]
+
+
 def contract(files: dict[CsvFile, DataFrame | None], spark: SparkSession) -> DataFrame:
     """One row per file: whether it was found, required columns it lacks, data rows."""
     parts = []
     for file, rows in files.items():
-        missing = [c for c in file.required if rows is None or c not in rows.columns]
+        missing = missing_columns(file, rows)
         counted = spark.range(0) if rows is None else rows
         parts.append(
             counted.agg(F.count("*").alias("filas")).select(

@@ -34,12 +34,12 @@ def test_checkpoint_folder_comes_from_the_session(spark, skewed):
     assert used is not None and (configured is None or configured.rstrip("/") in used)
 
 
-@pytest.mark.parametrize("small", [100_000, 50])
-def test_quantiles_of_groups(skewed, monkeypatch, small):
+@pytest.mark.parametrize("small, bound", [(100_000, 2), (50, 2), (50, None)])
+def test_quantiles_of_groups(skewed, monkeypatch, small, bound):
     monkeypatch.setattr(quantiles, "SMALL", small)
     monkeypatch.setattr(quantiles, "ACCURACY", 200 if small == 50 else 10_000)
     wanted = [0.0, 0.25, 0.5, 0.9, 1.0]
-    found = quantiles.exact_quantiles(skewed, "v", wanted, ["g"]).collect()
+    found = quantiles.exact_quantiles(skewed, "v", wanted, ["g"], bound).collect()
     data = skewed.filter("g IS NOT NULL").toPandas()
     assert {r.g for r in found} == {"hot", "b"}
     for r in found:
