@@ -107,7 +107,7 @@ def build_metrics(
     mart = load_mart(spark, base, price_scale)
     states = lake.read("refined", CUBE)
     prices = lake.replace("refined", "precios_mensuales", cube.by_name_month(mart, states))
-    export = lambda table, rows: lake.replace("exports_dashboard", table, rows)
+    export = partial(lake.replace, "exports_dashboard")
     export("precio_promedio", metrics.average_by_name(prices))
     export("min_max_precios", metrics.min_max(prices, metrics.NAME_KEYS))
     export("dispersion_precios", metrics.dispersion(prices, metrics.NAME_KEYS))
@@ -128,7 +128,10 @@ def build_metrics_by_id(
     mart = load_mart(spark, base, price_scale)
     states = lake.read("refined", CUBE)
     prices = lake.replace("refined", "precios_mensuales_producto", cube.by_product_month(mart, states))
-    export = lambda table, rows: lake.replace("exports_dashboard", f"por_producto/{table}", rows)
+
+    def export(table: str, rows: DataFrame) -> DataFrame:
+        return lake.replace("exports_dashboard", f"por_producto/{table}", rows)
+
     export("precio_promedio_producto", metrics.average_by_product(prices))
     export("variacion_diaria", metrics.variation_daily(cube.by_product_day(mart)))
     export("variacion_mensual", metrics.variation_by_product(prices))

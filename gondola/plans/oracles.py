@@ -138,7 +138,8 @@ def oracle(key: str, uses: str, text: str) -> None:
 def check(table: str, kind: str, column: str, bad: str, source: str | None = None) -> str:
     """A quality-check row counting the rows of source for which `bad` holds."""
     return f"""SELECT '{table}' AS tabla, '{kind}' AS check_type, '{column}' AS columna, count(*) AS total_rows,
-        count(*) FILTER (WHERE {bad}) AS failed_rows, 100.0 * count(*) FILTER (WHERE {bad}) / count(*) AS failed_pct,
+        count(*) FILTER (WHERE {bad}) AS failed_rows, 
+        CAST(count(*) FILTER (WHERE {bad}) AS DOUBLE) / count(*) * 100 AS failed_pct,
         count(*) FILTER (WHERE {bad}) = 0 AS passed FROM {source}"""
 
 
