@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from gondola.functions import measures
 
-# Rank error of the sketch is at most rows / ACCURACY; groups up to SMALL rows need none.
+# Rank error of the sketch is at most rows / accuracy; groups up to SMALL rows need none.
 ACCURACY = 10_000
 SMALL = 100_000
 
@@ -27,21 +27,27 @@ def exact_quantiles(
     probabilities: list[float],
     by: list[str],
     most_groups: int | None = None,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """One row per group: FIGURES and `cuantiles`, an array with one linearly interpolated
     quantile per probability. Nulls and NaN are left out.
 
-    A sketch first brackets every quantile; then only the rows inside the brackets, a few
-    ten-thousandths of a large group, are counted per value and walked in order, while all
-    rows below a bracket collapse into a single count. The bracket table has one row per
-    group and probability. It is broadcast when `most_groups`, a bound the caller can
-    prove, is small; otherwise the engine joins it by its size at run time.
+    A sketch first brackets every quantile; then only the rows inside the brackets, at most
+    six in `accuracy` of a large group, are counted per value and walked in order, while all
+    rows below a bracket collapse into a single count. The result does not depend on the
+    accuracy: a finer sketch takes more memory and leaves fewer rows to walk, and a bracket
+    that missed its quantile would be an error, not a wrong number.
+
+    The bracket table has one row per group and probability. It is broadcast when
+    `most_groups`, a bound the caller can prove, is small; otherwise the engine joins it by
+    its size at run time.
     """
     data = rows.filter(measures.is_number(F.col(value))).select(*by, F.col(value).alias("_v"))
     if not by:
         data = data.withColumn("_todo", F.lit(0))
     keys = by or ["_todo"]
-    margin = 3 / ACCURACY
+    accuracy = accuracy or ACCURACY
+    margin = 3 / accuracy
     ends = [e for p in probabilities for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketch = data.groupBy(*keys).agg(
         F.count("*").alias("n"),
@@ -49,9 +55,9 @@ def exact_quantiles(
         F.stddev_samp("_v").alias("desviacion"),
         F.min("_v").alias("minimo"),
         F.max("_v").alias("maximo"),
-        F.percentile_approx("_v", ends, ACCURACY).alias("_e"),
+        F.percentile_approx("_v", ends, accuracy).alias("_e"),
     )
-    small = F.col("n") <= SMALL
+    small = F.col("n") <= max(SMALL, accuracy)
     wanted = [
         F.struct(
             F.lit(i).alias("_i"),
@@ -77,9 +83,14 @@ def exact_quantiles(
     found = reached.groupBy(*keys, *FIGURES, "_i", "_pos").agg(
         F.min(F.when(F.col("_hasta_aqui") > rank, F.col("_v"))).alias("_a"),
         F.min(F.when(F.col("_hasta_aqui") > rank + 1, F.col("_v"))).alias("_b"),
+        F.max(F.when(F.col("_v").isNull(), F.col("_hasta_aqui"))).alias("_debajo"),
     )
-    step = F.coalesce(F.col("_b") - F.col("_a"), F.lit(0.0))
-    between = F.col("_a") + (F.col("_pos") - rank) * step
+    last = rank + 1 >= F.col("n")
+    missed = (F.col("_debajo") > rank) | F.col("_a").isNull() | (F.col("_b").isNull() & ~last)
+    step = F.when(last, 0.0).otherwise(F.col("_b") - F.col("_a"))
+    between = F.when(
+        F.coalesce(missed, F.lit(False)), F.raise_error("quantile outside its bracket").cast("double")
+    ).otherwise(F.col("_a") + (F.col("_pos") - rank) * step)
     gathered = found.groupBy(*keys, *FIGURES).agg(
         F.array_sort(F.collect_list(F.struct("_i", between.alias("q")))).alias("_q")
     )

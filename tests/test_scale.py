@@ -37,9 +37,9 @@ def test_checkpoint_folder_comes_from_the_session(spark, skewed):
 @pytest.mark.parametrize("small, bound", [(100_000, 2), (50, 2), (50, None)])
 def test_quantiles_of_groups(skewed, monkeypatch, small, bound):
     monkeypatch.setattr(quantiles, "SMALL", small)
-    monkeypatch.setattr(quantiles, "ACCURACY", 200 if small == 50 else 10_000)
+    accuracy = 200 if small == 50 else None
     wanted = [0.0, 0.25, 0.5, 0.9, 1.0]
-    found = quantiles.exact_quantiles(skewed, "v", wanted, ["g"], bound).collect()
+    found = quantiles.exact_quantiles(skewed, "v", wanted, ["g"], bound, accuracy).collect()
     data = skewed.filter("g IS NOT NULL").toPandas()
     assert {r.g for r in found} == {"hot", "b"}
     for r in found:
