@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gondola.llm import decontaminate, mixing
-from gondola.llm.common import table
+from gondola.llm import decontaminate, mixing, quality_model, rules, toxicity
+from gondola.llm.common import fold, table
+
+
+def held(folds: int, one: int) -> Column:
+    return F.coalesce(fold("doc_id", folds) == one, F.lit(False))
 
 
 def op1_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,6 +29,29 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model.train(docs, table(spark, folder, "labels"))
+    scored = quality_model.score(docs.withColumn("held_out", held(4, 2)), model)
+    return scored.select("doc_id", "held_out", "quality.score", (F.col("quality.score") >= quality_model.KEEP).cast("int").alias("predicted"))
+
+
+def op6_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = toxicity.score(docs.withColumn("held_out", held(5, 0)), model)
+    return scored.select("doc_id", "held_out", "toxicity.score", (F.col("toxicity.score") >= toxicity.TOXIC).cast("int").alias("predicted"))
+
+
+def op8_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = rules.assess(docs, carry=["doc_id"])
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    kept = ~failed & (F.col("posterior") >= rules.KEEP)
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("row.doc_id", *base, failed.alias("base_failed"), kept.alias("kept"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pareto_mix, op4_decontaminate)
+    f.__name__: f for f in (op1_pareto_mix, op4_decontaminate, op5_quality_trees, op6_toxicity_ftrl, op8_weak_rules)
 }
