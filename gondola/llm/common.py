@@ -19,14 +19,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def cut(frame: DataFrame) -> DataFrame:
-    """The frame, computed once and kept in the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder.
 
     Only a session that names no such folder (a test on one machine) gets one of its own.
     """
-    context = frame.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    return context.getCheckpointDir()
+
+
+def cut(frame: DataFrame) -> DataFrame:
+    """The frame, computed once and kept in the shared checkpoint folder."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gondola.llm import decontaminate, mixing, quality_model, rules, toxicity
+from gondola.llm import decontaminate, mixing, near_dedup, quality_model, rules, toxicity
 from gondola.llm.common import fold, table
 
 
@@ -43,6 +43,13 @@ def op6_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "toxicity.score", (F.col("toxicity.score") >= toxicity.TOXIC).cast("int").alias("predicted"))
 
 
+def op7_setsketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dedup.groups(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept"
+    )
+
+
 def op8_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     judged = rules.assess(docs, carry=["doc_id"])
@@ -53,5 +60,5 @@ def op8_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pareto_mix, op4_decontaminate, op5_quality_trees, op6_toxicity_ftrl, op8_weak_rules)
+    f.__name__: f for f in (op1_pareto_mix, op4_decontaminate, op5_quality_trees, op6_toxicity_ftrl, op7_setsketch_dedup, op8_weak_rules)
 }

@@ -18,7 +18,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 #: Bytes that part words: blank and 9 to 13.
 BLANKS = np.zeros(256, dtype=bool)
