@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gondola.llm import decontaminate, mixing, near_dedup, quality_model, rules, toxicity
+from gondola.llm import decontaminate, language_model, mixing, near_dedup, quality_model, rules, toxicity
 from gondola.llm.common import fold, table
 
 
@@ -59,6 +59,15 @@ def op8_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("row.doc_id", *base, failed.alias("base_failed"), kept.alias("kept"))
 
 
+def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", held(7, 2))
+    model = language_model.train(docs.where("not held_out"))
+    scored = language_model.score(docs, model)
+    return scored.select(
+        "doc_id", "held_out", "lm.n_tokens", "lm.n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "lm.base_score", "lm.score"
+    )
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pareto_mix, op4_decontaminate, op5_quality_trees, op6_toxicity_ftrl, op7_setsketch_dedup, op8_weak_rules)
+    f.__name__: f for f in (op1_pareto_mix, op4_decontaminate, op5_quality_trees, op6_toxicity_ftrl, op7_setsketch_dedup, op8_weak_rules, op10_kneser_ney)
 }
