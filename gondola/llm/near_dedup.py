@@ -151,7 +151,7 @@ def sets_of(docs: DataFrame, chosen: DataFrame, key: str, text: str, width: int)
         return [_binary(np.concatenate(c)), pa.array(shingles, pa.binary())]
 
     named = docs.select(F.col(key).alias("_id"), F.col(text).alias("text"))
-    rows = named.join(small(chosen), F.col("_id").eqNullSafe(F.col("id"))).drop("_id", "id")
+    rows = named.join(small(chosen, 50_000), F.col("_id").eqNullSafe(F.col("id"))).drop("_id", "id")
     own = by_batch(rows, "s", "c binary, shingles binary", work).where("s.c = c")  # an id may have other texts too
     return own.select("c", "n", "registers", "s.shingles").dropDuplicates(["c"])
 

@@ -67,4 +67,33 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc_words LEFT JOIN words_hit USING (r) LEFT JOIN items_hit USING (r)
 """
 
-ORACLES: dict[str, str] = {"op1_pareto_mix": OP1, "op4_decontaminate": OP4}
+def _op2() -> str:
+    from gondola.llm.licences import TEMPLATES
+
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({quote(name)}, {quote(text)})" for name in sorted(TEMPLATES) for text in TEMPLATES[name])
+    words = lambda x: (
+        f"regexp_extract_all(translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+    return rf"""
+WITH known AS (SELECT row_number() OVER () AS t, name, {words("txt")} AS w FROM (VALUES {known}) AS v(name, txt)),
+t_grams AS (SELECT DISTINCT t, name, w[i] || ' ' || w[i + 1] AS g FROM (SELECT t, name, w, unnest(range(1, len(w))) AS i FROM known)),
+t_size AS (SELECT t, count(*) AS nt FROM t_grams GROUP BY t),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS txt FROM documents),
+lines AS (SELECT r, unnest(string_split(txt, chr(10))) AS txt, unnest(range(0, len(string_split(txt, chr(10))))) AS line FROM docs),
+units AS (SELECT r, line, {words("txt")} AS w FROM lines UNION ALL SELECT r, -1, {words("txt")} FROM docs),
+grams AS (SELECT DISTINCT r, line, w[i] || ' ' || w[i + 1] AS g FROM (SELECT r, line, w, unnest(range(1, len(w))) AS i FROM units WHERE len(w) > 1)),
+size AS (SELECT r, line, count(*) AS n FROM grams GROUP BY r, line),
+common AS (SELECT r, line, t, name, count(*) AS k FROM grams JOIN t_grams USING (g) GROUP BY r, line, t, name),
+scored AS (
+  SELECT r, line, name, 2 * k::DOUBLE / (n + nt) AS dice FROM common JOIN size USING (r, line) JOIN t_size USING (t) WHERE 2 * k::DOUBLE / (n + nt) >= 0.9),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY dice DESC, name, line < 0, line) AS nth FROM scored),
+counted AS (SELECT r, count(DISTINCT line) AS n_lines FROM scored WHERE line >= 0 GROUP BY r)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, name AS license, dice, line::BIGINT AS line
+FROM docs LEFT JOIN (SELECT * FROM best WHERE nth = 1) USING (r) LEFT JOIN counted USING (r)
+"""
+
+
+ORACLES: dict[str, str] = {"op1_pareto_mix": OP1, "op2_licence_scan": _op2(), "op4_decontaminate": OP4}

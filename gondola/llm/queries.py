@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gondola.llm import decontaminate, language_model, mixing, near_dedup, quality_model, rules, toxicity
+from gondola.llm import chat, decontaminate, language_model, licences, mixing, near_dedup, quality_model, rules, token_counts, toxicity
 from gondola.llm.common import fold, table
 
 
+#: Pieces of a public tokenizer, outside the repository.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def held(folds: int, one: int) -> Column:
     return F.coalesce(fold("doc_id", folds) == one, F.lit(False))
 
@@ -20,6 +24,18 @@ def op1_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def op2_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "licence.n_lines", F.col("licence.name").alias("license"), "licence.dice", "licence.line")
+
+
+def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat.digests(chat.render(turns.unionByName(more)))
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.scan(docs, table(spark, folder, "benchmark"))
@@ -59,6 +75,12 @@ def op8_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("row.doc_id", *base, failed.alias("base_failed"), kept.alias("kept"))
 
 
+def op9_token_counts(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.count(docs, token_counts.load_pieces(vocabulary))
+    return counted.select("doc_id", "tokens.n_words", "tokens.n_tokens", F.col("tokens.most").alias("most_tokens"))
+
+
 def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text").withColumn("held_out", held(7, 2))
     model = language_model.train(docs.where("not held_out"))
@@ -69,5 +91,9 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pareto_mix, op4_decontaminate, op5_quality_trees, op6_toxicity_ftrl, op7_setsketch_dedup, op8_weak_rules, op10_kneser_ney)
+    f.__name__: f
+    for f in (
+        op1_pareto_mix, op2_licence_scan, op3_chat_format, op4_decontaminate, op5_quality_trees, op6_toxicity_ftrl,
+        op7_setsketch_dedup, op8_weak_rules, op9_token_counts, op10_kneser_ney,
+    )
 }
