@@ -31,6 +31,7 @@ WINDOW = 10
 BLOCK_BYTES = 64 << 20
 FIELDS = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<start: bigint, stop: bigint>>"
 _FILTER_BITS = 20
+_SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
 
 @dataclass
@@ -95,8 +96,7 @@ def _column(batch: pa.RecordBatch, text: str, windows: Windows) -> list[pa.Array
             items.append(sorted(named.get(k, ())))
             spans.append(_spans(run, hit, k, run.offsets[k]) if k in named else [])
     whole = lambda parts: pa.array(np.concatenate(parts).astype(np.int64) if parts else [], pa.int64())
-    pair = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
-    return [whole(n_words), whole(n_hit), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(pair))]
+    return [whole(n_words), whole(n_hit), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(_SPAN))]
 
 
 def _spans(run: W.Words, hit: np.ndarray, k: int, base: int) -> list[dict[str, int]]:
@@ -141,33 +141,30 @@ def _merged(docs: DataFrame, parts: list[DataFrame], text: str, added: str) -> D
         rows = rows.unionByName(part)
     union = rows.groupBy("_h", "_m").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_i"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("_s"),
-    )
-    merged = F.expr(
-        "aggregate(_s, cast(array() as array<struct<start:bigint,stop:bigint>>), (done, s) -> if(size(done) = 0 or"
-        " s.start > element_at(done, -1).stop, concat(done, array(s)), concat(slice(done, 1, size(done) - 1), array("
-        "named_struct('start', element_at(done, -1).start, 'stop', greatest(element_at(done, -1).stop, s.stop))))))"
+        F.flatten(F.collect_list("spans")).alias("_s"),
     )
     columns = docs.drop(added).columns
     keyed = docs.drop(added).withColumns({"_h": F.xxhash64(text), "_m": F.md5(text)})
-    joined = keyed.join(union.withColumn("_s", merged), ["_h", "_m"], "left").select(*columns, "_i", "_s")
+    joined = keyed.join(union, ["_h", "_m"], "left").select(*columns, "_i", "_s")
 
     def count(batch: pa.RecordBatch) -> list[pa.Array]:
-        n_words, n_hit = [], []
-        spans = batch.column("_s").to_pylist()
+        n_words, n_hit, spans = [], [], []
+        known = batch.column("_s").to_pylist()
         for run in W.runs(batch.column(text), W.NOT_ALPHANUMERIC):
             n_words.append(np.diff(run.first))
+            hit = np.zeros(len(run.starts), dtype=bool)
             for k in range(run.texts):
-                own = run.starts[run.first[k] : run.first[k + 1]] - run.offsets[k]
-                n_hit.append(sum(int(((own >= s["start"]) & (own < s["stop"])).sum()) for s in spans[run.at + k] or ()))
-        return [pa.array(np.concatenate(n_words).astype(np.int64)), pa.array(n_hit, pa.int64())]
-
-    counted = by_batch(joined, "_n", "n_words bigint, n_hit bigint", count)
-    kinds = dict(joined.dtypes)
-    empty = lambda c: F.coalesce(F.col(c), F.array().cast(kinds[c]))
-    return counted.select(
-        *columns, F.struct("_n.n_words", "_n.n_hit", empty("_i").alias("items"), empty("_s").alias("spans")).alias(added)
-    )
+                low, high, base = run.first[k], run.first[k + 1], run.offsets[k]
+                for s in known[run.at + k] or ():
+                    a, b = np.searchsorted(run.starts[low:high], [s["start"] + base, s["stop"] + base])
+                    hit[low + a : low + b] = True
+                n_hit.append(int(hit[low:high].sum()))
+                spans.append(_spans(run, hit, k, base))
+        return [pa.array(np.concatenate(n_words).astype(np.int64)), pa.array(n_hit, pa.int64()), pa.array(spans, pa.list_(_SPAN))]
+
+    counted = by_batch(joined, "_n", "n_words bigint, n_hit bigint, spans array<struct<start: bigint, stop: bigint>>", count)
+    items = F.coalesce("_i", F.array().cast("array<string>"))
+    return counted.select(*columns, F.struct("_n.n_words", "_n.n_hit", items.alias("items"), "_n.spans").alias(added))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", remove: str = "documents", **options) -> DataFrame:
