@@ -8,9 +8,24 @@ from pyspark.sql import Column, functions as F
 def units(value: Column, scale: int | None) -> Column:
     """The value in whole units of its last decimal, or as it is without a known scale.
 
-    Sums of units are exact 64-bit integers: with two decimals and prices up to 100,000 a
-    single group may hold 900 billion rows, and beyond that the sum fails, never wraps."""
-    return value if scale is None else F.floor(value * 10**scale + 0.5)
+    A value with more decimals than the scale, or too large for exact units, is an error: it
+    is never rounded in silence, whether the session is in ANSI mode or not."""
+    if scale is None:
+        return value
+    scaled = value * 10**scale
+    near = F.abs(scaled - F.round(scaled)) <= 1e-4 + F.abs(scaled) * 1e-12
+    exact = near & (F.abs(scaled) < 2.0**53)
+    return F.when(value.isNull() | exact, F.floor(scaled + 0.5)).otherwise(
+        F.raise_error(F.format_string("price %s does not fit a scale of %s", value.cast("string"), F.lit(str(scale)))).cast("bigint")
+    )
+
+
+def total(value: Column) -> Column:
+    """Aggregate sum that fails where a 64-bit sum would wrap around.
+
+    With two decimals and prices up to 100,000 a single group may hold 900 billion rows."""
+    added = F.try_sum(value)
+    return F.when(added.isNull() & (F.count(value) > 0), F.raise_error(F.lit("a sum of prices does not fit 64 bits")).cast("bigint")).otherwise(added)
 
 
 def money(total: Column, scale: int | None) -> Column:
@@ -20,7 +35,7 @@ def money(total: Column, scale: int | None) -> Column:
 
 def mean(value: Column, scale: int | None) -> Column:
     """Aggregate mean; with a scale the sum is exact and independent of row order."""
-    return money(F.sum(units(value, scale)), scale) / F.count(value)
+    return money(total(units(value, scale)), scale) / F.count(value)
 
 
 def pct_change(now: Column, before: Column) -> Column:

@@ -83,15 +83,14 @@ def cost_by_average(
     )
 
 
-def rank_by_observation(costs: DataFrame, stores: int | None = None) -> DataFrame:
-    """Stores of a month from cheapest to dearest; equal costs go by store name. `stores`
-    bounds how many a month can have."""
-    return ranking.number_rows(costs, ["anio", "mes"], ["costo_canasta", "supermercado"], "ranking", stores)
+def rank_by_observation(costs: DataFrame) -> DataFrame:
+    """Stores of a month from cheapest to dearest; equal costs go by store name."""
+    return ranking.number_rows(costs, ["anio", "mes"], ["costo_canasta", "supermercado"], "ranking")
 
 
-def rank_by_average(costs: DataFrame, stores: int | None = None) -> DataFrame:
+def rank_by_average(costs: DataFrame) -> DataFrame:
     order = ["costo_total_canasta", "establecimiento_nombre", "establecimiento_id"]
-    ranked = ranking.number_rows(costs, ["anio", "mes"], order, "ranking", stores)
+    ranked = ranking.number_rows(costs, ["anio", "mes"], order, "ranking")
     return ranked.select(
         "ranking", "establecimiento_id", "establecimiento_nombre", "anio", "mes",
         calendar.period_label(F.col("anio"), F.col("mes")).alias("anio_mes"),

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from gondola.functions import parsing
 
 
-def clean_prices(text: DataFrame) -> DataFrame:
+def clean_prices(text: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Typed price observations with a positive finite price and both ids.
 
     Duplicates stay. An unreadable date or offer flag becomes null and the row stays;
-    rows without a date leave only when the fact table is built.
+    rows without a date leave only when the fact table is built. `carry` names other columns to keep.
     """
     typed = text.select(
         parsing.as_date(F.col("Fecha")).alias("fecha"),
@@ -19,6 +19,7 @@ def clean_prices(text: DataFrame) -> DataFrame:
         F.col("Establecimiento").cast("string").alias("establecimiento_id"),
         parsing.as_price(F.col("Precio")).alias("precio"),
         parsing.as_int(F.col("Oferta")).alias("oferta"),
+        *carry,
     )
     return typed.filter("precio > 0 AND producto_id IS NOT NULL AND establecimiento_id IS NOT NULL")
 

@@ -35,7 +35,7 @@ def observations(mart: Mart) -> DataFrame:
 def roll_up(states: DataFrame, *keys: str) -> DataFrame:
     return states.groupBy(*keys).agg(
         F.sum("n").alias("n"),
-        F.sum("total").alias("total"),
+        measures.total(F.col("total")).alias("total"),
         F.min("bajo").alias("bajo"),
         F.max("alto").alias("alto"),
     )

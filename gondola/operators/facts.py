@@ -66,8 +66,11 @@ def fact_prices(
     """Price observations with all four surrogate keys.
 
     Observations of unknown products or stores and those without a date are left out. The
-    product and store joins add nothing but existence, hence semi joins. The date key is
-    computed from the date; pass `times` to also restrict the fact to a given calendar.
+    product join adds nothing but existence, hence a semi join. Stores and locations have the
+    same key and are put together first, so that the observations are joined to them once; each
+    join of a dimension too large to broadcast thus has a shuffle of its own, whose hot
+    partitions the engine can split. The date key is computed from the date; pass `times` to
+    also restrict the fact to a given calendar.
     """
     typed = prices.withColumns(
         {
@@ -76,12 +79,12 @@ def fact_prices(
             "fecha_id": calendar.date_key(F.col("fecha")),
         }
     ).filter("fecha IS NOT NULL")
+    places = locations.side("ubicacion_id").join(stores.side(), "establecimiento_id", "left_semi")
     if times is not None:
         typed = typed.join(times.side(), "fecha", "left_semi")
     return (
         typed.join(products.side(), "producto_id", "left_semi")
-        .join(stores.side(), "establecimiento_id", "left_semi")
-        .join(locations.side("ubicacion_id"), "establecimiento_id")
+        .join(F.broadcast(places) if locations.small else places, "establecimiento_id")
         .select(
             "fecha_id", "producto_id", "establecimiento_id", "ubicacion_id", "precio", "oferta", "fecha"
         )

@@ -98,25 +98,26 @@ def price_extremes(mart: Mart, monthly: DataFrame | None = None) -> DataFrame:
     """Monthly extremes per product id with the store that had them.
 
     Among stores sharing an extreme price the smallest name is given, a missing name only
-    when all of them lack one. The states are per store and month before names come into
-    play, so the text comparison runs on the reduced rows.
+    when all of them lack one. The figures are numeric aggregates over states dealt out once
+    by product and month; only the states at an extreme then look their store's name up.
     """
     monthly = cube.monthly_cube(mart) if monthly is None else monthly
-    named = cube.attach(monthly, mart.stores, ["producto_id", "anio", "mes"], local="nombre")
-    keys = ("producto_id", "anio", "mes")
+    keys = ["producto_id", "anio", "mes"]
+    dealt = monthly.join(mart.stores.side(), "establecimiento_id", "left_semi").repartition(*keys)
+    figures = cube.roll_up(dealt, *keys).select(*keys, *[F.col(c).alias(f"_{c}") for c in cube.STATE])
+    won = dealt.join(figures, keys).filter("bajo = _bajo OR alto = _alto")
+    named = won.join(mart.stores.side(F.col("nombre").alias("local")), "establecimiento_id")
     missing = F.col("local").isNull()
+    of = lambda hit: F.min(F.when(F.expr(hit), F.struct(missing.alias("falta"), "local")))
     extremes = named.groupBy(*keys).agg(
-        F.min(F.struct("bajo", missing, "local")).alias("barato"),
-        F.min(F.struct(-F.col("alto"), missing, "local")).alias("caro"),
-        F.sum("n").alias("n"),
-        F.sum("total").alias("total"),
-        F.max("alto").alias("alto"),
+        of("bajo = _bajo").alias("barato"), of("alto = _alto").alias("caro"),
+        *[F.first(f"_{c}").alias(c) for c in cube.STATE],
     )
     return extremes.join(
         mart.products.side(F.col("nombre").alias("producto_nombre")), "producto_id"
     ).select(
         *ID_KEYS,
-        F.col("barato.bajo").alias("precio_minimo"),
+        F.col("bajo").alias("precio_minimo"),
         F.col("barato.local").alias("establecimiento_mas_barato"),
         F.col("alto").alias("precio_maximo"),
         F.col("caro.local").alias("establecimiento_mas_caro"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gondola.functions import measures
 from gondola.operators import cube
 from gondola.operators.facts import Mart
-from gondola.operators.quantiles import exact_quantiles, few
+from gondola.operators.quantiles import attach, exact_quantiles
 
 
 def daily_profile(mart: Mart) -> DataFrame:
@@ -98,6 +98,14 @@ def approx_quartiles(rows: DataFrame, column: str, accuracy: int = 10_000) -> Da
     )
 
 
+def keyed_sample(rows: DataFrame, keys: list[str], fraction: float) -> DataFrame:
+    """The rows whose keys' md5 falls below the fraction: the same rows whatever the files and
+    tasks, and whatever the seed of a session. Null keys are the empty text."""
+    text = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    drawn = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return rows.filter(drawn < F.lit(int(fraction * 2**32)))
+
+
 def _edges(rows: DataFrame, *columns: str) -> list[tuple[Column, Column]]:
     """Smallest and largest value per column, all from one scalar subquery."""
     ends = [f(c).alias(f"{side}{i}") for i, c in enumerate(columns) for f, side in ((F.min, "a"), (F.max, "b"))]
@@ -106,12 +114,16 @@ def _edges(rows: DataFrame, *columns: str) -> list[tuple[Column, Column]]:
 
 
 def histogram(rows: DataFrame, column: str, bins: int) -> DataFrame:
-    """Non-empty equal-width bins between the smallest and largest value."""
+    """All equal-width bins between the smallest and largest value, empty ones with 0. Without
+    any number there are no bins; if all are equal there is one."""
     numbers = rows.filter(measures.is_number(F.col(column))).select(column)
     [(low, high)] = _edges(numbers, column)
     placed = numbers.select(measures.bin_index(F.col(column), low, high, bins).alias("bin"))
     counts = placed.groupBy("bin").agg(F.count("*").alias("cantidad"))
-    return counts.select("bin", (low + F.col("bin") * ((high - low) / bins)).alias("desde"), "cantidad")
+    last = F.max("bin")
+    whole = counts.agg(F.when(last == 0, F.array(F.lit(0))).when(last > 0, F.sequence(F.lit(0), F.lit(bins - 1))).alias("_b"))
+    every = whole.select(F.explode("_b").alias("bin")).join(F.broadcast(counts), "bin", "left")  # at most `bins` rows
+    return every.select("bin", (low + F.col("bin") * ((high - low) / bins)).alias("desde"), F.coalesce("cantidad", F.lit(0)).alias("cantidad"))
 
 
 def density(rows: DataFrame, x: str, y: str, bins: int) -> DataFrame:
@@ -125,28 +137,19 @@ def density(rows: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     return numbers.select(*cells).groupBy("bin_x", "bin_y").agg(F.count("*").alias("cantidad"))
 
 
-def box(rows: DataFrame, column: str, by: list[str], most_groups: int | None = None) -> DataFrame:
+def box(rows: DataFrame, column: str, by: list[str]) -> DataFrame:
     """Box-plot figures per group: quartiles, whiskers at the outermost values within 1.5
-    interquartile ranges of the box, and the number of values beyond them. `most_groups`
-    is a proven bound on the number of groups, as in exact_quantiles."""
-    keys = by or ["_todo"]
+    interquartile ranges of the box, and the number of values beyond them."""
     numbers = rows.filter(measures.is_number(F.col(column))).select(*by, column)
-    if not by:
-        numbers = numbers.withColumn("_todo", F.lit(0))
-    bound = most_groups if by else 1
-    quartile = exact_quantiles(numbers, column, [0.25, 0.5, 0.75], keys, bound).select(
-        *keys, F.col("n").alias("cantidad"),
-        *[F.col("cuantiles")[i].alias(q) for i, q in enumerate(("q1", "mediana", "q3"))],
-    )
+    named = [F.col("cuantiles")[i].alias(q) for i, q in enumerate(("q1", "mediana", "q3"))]
+    quartile = exact_quantiles(numbers, column, [0.25, 0.5, 0.75], by).select(*by, F.col("n").alias("cantidad"), *named)
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    inside = F.col(column).between(F.col("q1") - reach, F.col("q3") + reach)
-    return (
-        numbers.join(few(quartile, bound), keys)
-        .groupBy(*keys, "cantidad", "q1", "mediana", "q3")
-        .agg(
-            F.min(F.when(inside, F.col(column))).alias("bigote_inferior"),
-            F.max(F.when(inside, F.col(column))).alias("bigote_superior"),
-            F.count_if(~inside).alias("atipicos"),
-        )
-        .select(*by, "cantidad", "q1", "mediana", "q3", "bigote_inferior", "bigote_superior", "atipicos")
+    limits = quartile.select(*by, (F.col("q1") - reach).alias("_lo"), (F.col("q3") + reach).alias("_hi"))
+    inside = F.col(column).between(F.col("_lo"), F.col("_hi"))
+    ends = attach(numbers, limits, by).groupBy(*by).agg(
+        F.min(F.when(inside, F.col(column))).alias("bigote_inferior"),
+        F.max(F.when(inside, F.col(column))).alias("bigote_superior"),
+        F.count_if(~inside).alias("atipicos"),
     )
+    joined = quartile.join(ends, by) if by else attach(quartile, ends, by)
+    return joined.select(*by, "cantidad", "q1", "mediana", "q3", "bigote_inferior", "bigote_superior", "atipicos")

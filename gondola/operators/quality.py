@@ -1,8 +1,8 @@
 """Data-quality checks, declared as data and evaluated as DataFrames.
 
-All null, range and domain checks of a table share one aggregate over it. Duplicate and
-foreign-key checks count per key first, so a key repeated in a third of the table reaches
-the shuffle as one row per task.
+All null, range and domain checks of a table share one aggregate over it, and all of its
+foreign-key checks share another. Duplicate and foreign-key checks count per key first, so a
+key repeated in a third of the table reaches the shuffle as one row per task.
 """
 
 from __future__ import annotations
@@ -105,11 +105,10 @@ def evaluate(tables: dict[str, DataFrame], checks: Sequence) -> DataFrame:
         scanned = [c for c in checks if c.table == name and not isinstance(c, (Unique, ForeignKey))]
         if scanned:
             parts.append(_scan(tables[name], name, scanned))
-    for check in checks:
-        if isinstance(check, Unique):
-            parts.append(_surplus(tables[check.table], check))
-        elif isinstance(check, ForeignKey):
-            parts.append(_orphans(tables[check.table], tables[check.parent], check))
+    for name in dict.fromkeys(c.table for c in checks if isinstance(c, ForeignKey)):
+        own = [c for c in checks if isinstance(c, ForeignKey) and c.table == name]
+        parts.append(_orphans(tables[name], tables, own))
+    parts += [_surplus(tables[c.table], c) for c in checks if isinstance(c, Unique)]
     return _judged(reduce(DataFrame.unionAll, parts))
 
 
@@ -158,11 +157,23 @@ def _surplus(rows: DataFrame, check: Unique) -> DataFrame:
     return _counted(copies, "copies", "copies - 1", check.table, check, ",".join(check.keys))
 
 
-def _orphans(rows: DataFrame, parent: DataFrame, check: ForeignKey) -> DataFrame:
-    uses = rows.groupBy(F.col(check.column).alias("clave")).agg(F.count("*").alias("usos"))
-    known = parent.selectExpr(f"`{check.parent_key}` AS clave", "TRUE AS hay").distinct()
-    table = f"{check.table} -> {check.parent}"
-    return _counted(uses.join(known, "clave", "left"), "usos", "IF(hay, 0, usos)", table, check, check.column)
+def _orphans(rows: DataFrame, tables: dict[str, DataFrame], checks: Sequence[ForeignKey]) -> DataFrame:
+    """All foreign keys of a table from one scan: uses are counted per check and key value, and
+    only these counts meet the parents' keys. Keys are compared as text; null is an orphan."""
+    keys = [F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("clave")) for i, c in enumerate(checks)]
+    uses = rows.select(F.inline(F.array(*keys))).groupBy("i", "clave").agg(F.count("*").alias("usos"))
+    parents = [
+        tables[c.parent].select(F.lit(i).alias("i"), F.col(c.parent_key).cast("string").alias("clave"), F.lit(True).alias("hay"))
+        for i, c in enumerate(checks)
+    ]
+    known = reduce(DataFrame.unionAll, parents).distinct()
+    sums = uses.join(known, ["i", "clave"], "left").agg(
+        *[F.coalesce(F.sum(F.when(F.col("i") == i, F.col("usos"))), F.lit(0)).alias(f"t{i}") for i in range(len(checks))],
+        *[F.coalesce(F.sum(F.when((F.col("i") == i) & F.col("hay").isNull(), F.col("usos"))), F.lit(0)).alias(f"f{i}") for i in range(len(checks))],
+    )
+    lines = ", ".join(f"'{c.table} -> {c.parent}', '{c.column}', t{i}, f{i}" for i, c in enumerate(checks))
+    told = sums.selectExpr(f"stack({len(checks)}, {lines}) AS (tabla, columna, total_rows, failed_rows)")
+    return told.select("tabla", F.lit(KIND[ForeignKey]).alias("check_type"), "columna", "total_rows", "failed_rows")
 
 
 def _counted(groups: DataFrame, total: str, failed: str, table: str, check, column: str) -> DataFrame:

@@ -2,96 +2,91 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gondola.functions import measures
 
-# Rank error of the sketch is at most rows / accuracy; groups up to SMALL rows need none.
-ACCURACY = 10_000
-SMALL = 100_000
-
-# Per-group figures of up to this many groups are broadcast.
-FEW_GROUPS = 10_000
+# Equal steps of a sketch, and the sketch's accuracy: its rank error, rows / ACCURACY, is well inside a step.
+STEPS = 2_000
+ACCURACY = 20_000
 
 FIGURES = ("n", "media", "desviacion", "minimo", "maximo")
 
 
-def few(groups: DataFrame, most_groups: int | None) -> DataFrame:
-    """A table of per-group figures as a join side."""
-    return F.broadcast(groups) if most_groups is not None and most_groups <= FEW_GROUPS else groups
+def steps(value: Column | str, count: int = STEPS, accuracy: int = ACCURACY) -> Column:
+    """Sketch of the 0, 1/count, ... 1 quantiles of a numeric column, ascending, as an array."""
+    shares = F.expr(f"array({', '.join(f'{k / count}D' for k in range(count + 1))})")
+    return F.percentile_approx(value, shares, accuracy)
+
+
+def attach(rows: DataFrame, figures: DataFrame, by: list[str]) -> DataFrame:
+    """The rows with their group's figures; without groups a scalar subquery, not a join."""
+    if by:
+        return rows.join(figures, by)
+    found = figures.select(F.struct("*")).scalar()
+    return rows.withColumns({c: found[c] for c in figures.columns})
+
+
+def _around(sketch: Column, rank: Column, size: Column, count: int) -> Column:
+    """Values two steps or more to either side of the rank (0 for the smallest value) among `size` values."""
+    at = rank / F.greatest(size, F.lit(1)) * count
+    low, high = F.greatest(F.floor(at) - 2, F.lit(0)), F.least(F.ceil(at) + 3, F.lit(count))
+    return F.struct(F.get(sketch, low.cast("int")).alias("lo"), F.get(sketch, high.cast("int")).alias("hi"))
 
 
 def exact_quantiles(
-    rows: DataFrame,
-    value: str,
-    probabilities: list[float],
-    by: list[str],
-    most_groups: int | None = None,
-    accuracy: int | None = None,
+    rows: DataFrame, value: str, probabilities: list[float], by: list[str], count: int = STEPS, accuracy: int = ACCURACY
 ) -> DataFrame:
     """One row per group: FIGURES and `cuantiles`, an array with one linearly interpolated
     quantile per probability. Nulls and NaN are left out.
 
-    A sketch first brackets every quantile; then only the rows inside the brackets, at most
-    six in `accuracy` of a large group, are counted per value and walked in order, while all
-    rows below a bracket collapse into a single count. The result does not depend on the
-    accuracy: a finer sketch takes more memory and leaves fewer rows to walk, and a bracket
-    that missed its quantile would be an error, not a wrong number.
-
-    The bracket table has one row per group and probability. It is broadcast when
-    `most_groups`, a bound the caller can prove, is small; otherwise the engine joins it by
-    its size at run time.
+    The same three passes for every size. A sketch brackets the rank of each quantile within
+    five of its `count` steps; a second sketch of the rows inside does the same again and counts
+    the rows below; then the rows inside the last bracket, at most 25 in count**2 of the group,
+    are counted per value and walked in order. Rows below a bracket are a count and rows above
+    it a minimum, so no pass carries a group to one task. A sketch's rank error is bounded, and
+    the steps to spare on both sides exceed it, so a bracket always holds its rank.
     """
     data = rows.filter(measures.is_number(F.col(value))).select(*by, F.col(value).alias("_v"))
-    if not by:
-        data = data.withColumn("_todo", F.lit(0))
-    keys = by or ["_todo"]
-    accuracy = accuracy or ACCURACY
-    margin = 3 / accuracy
-    ends = [e for p in probabilities for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    sketch = data.groupBy(*keys).agg(
+    figures = data.groupBy(*by).agg(
         F.count("*").alias("n"),
         F.avg("_v").alias("media"),
         F.stddev_samp("_v").alias("desviacion"),
         F.min("_v").alias("minimo"),
         F.max("_v").alias("maximo"),
-        F.percentile_approx("_v", ends, accuracy).alias("_e"),
+        steps("_v", count, accuracy).alias("_s"),
+    ).filter("n > 0")
+    ranks = [F.floor(F.lit(float(p)) * (F.col("n") - 1)) for p in probabilities]
+    wide = figures.select(*by, F.array(*[_around(F.col("_s"), r, F.col("n"), count) for r in ranks]).alias("_w"))
+    below = F.count_if(F.col("_v") < F.col("_e.lo"))
+    in_wide = F.when(F.col("_v") >= F.col("_e.lo"), F.col("_v"))
+    second = (
+        attach(data, wide, by)
+        .select(*by, "_v", F.posexplode("_w").alias("_i", "_e"))
+        .filter("_v <= _e.hi")
+        .groupBy(*by, "_i")
+        .agg(below.alias("_b"), F.count(in_wide).alias("_k"), steps(in_wide, count, accuracy).alias("_s"))
     )
-    small = F.col("n") <= max(SMALL, accuracy)
-    wanted = [
-        F.struct(
-            F.lit(i).alias("_i"),
-            F.when(small, F.col("minimo")).otherwise(F.col("_e")[2 * i]).alias("_desde"),
-            F.when(small, F.col("maximo")).otherwise(F.col("_e")[2 * i + 1]).alias("_hasta"),
-            (F.lit(float(p)) * (F.col("n") - 1)).alias("_pos"),
-        )
-        for i, p in enumerate(probabilities)
-    ]
-    brackets = sketch.select(*keys, *FIGURES, F.inline(F.array(*wanted)))
+    rank = F.floor(F.element_at(F.array(*[F.lit(float(p)) for p in probabilities]), F.col("_i") + 1) * (F.col("n") - 1))
+    with_n = attach(second, figures.select(*by, "n"), by)
+    close = with_n.select(*by, "_i", _around(F.col("_s"), rank - F.col("_b"), F.col("_k"), count).alias("_e"))
+    narrow = close.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_i", "_e"))).alias("_w"))
+    inside = F.col("_v").between(F.col("_e.lo"), F.col("_e.hi"))
     counted = (
-        data.join(few(brackets, 1 if not by else most_groups), keys)
-        .filter("_v <= _hasta")
-        .withColumn("_v", F.when(F.col("_v") >= F.col("_desde"), F.col("_v")))
-        .groupBy(*keys, "_i", "_pos", *FIGURES, "_v")
-        .agg(F.count("*").alias("_filas"))
-    )
-    upto = Window.partitionBy(*keys, "_i").orderBy(F.asc_nulls_first("_v"))
-    reached = counted.withColumn(
-        "_hasta_aqui", F.sum("_filas").over(upto.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    rank = F.floor("_pos")
-    found = reached.groupBy(*keys, *FIGURES, "_i", "_pos").agg(
-        F.min(F.when(F.col("_hasta_aqui") > rank, F.col("_v"))).alias("_a"),
-        F.min(F.when(F.col("_hasta_aqui") > rank + 1, F.col("_v"))).alias("_b"),
-        F.max(F.when(F.col("_v").isNull(), F.col("_hasta_aqui"))).alias("_debajo"),
-    )
-    last = rank + 1 >= F.col("n")
-    missed = (F.col("_debajo") > rank) | F.col("_a").isNull() | (F.col("_b").isNull() & ~last)
-    step = F.when(last, 0.0).otherwise(F.col("_b") - F.col("_a"))
-    between = F.when(
-        F.coalesce(missed, F.lit(False)), F.raise_error("quantile outside its bracket").cast("double")
-    ).otherwise(F.col("_a") + (F.col("_pos") - rank) * step)
-    gathered = found.groupBy(*keys, *FIGURES).agg(
-        F.array_sort(F.collect_list(F.struct("_i", between.alias("q")))).alias("_q")
+        attach(data, narrow, by)
+        .select(*by, "_v", F.inline("_w"))
+        .withColumn("_zona", F.when(F.col("_v") < F.col("_e.lo"), 0).when(inside, 1).otherwise(2))
+        .groupBy(*by, "_i", "_zona", F.when(inside, F.col("_v")).alias("_x"))
+        .agg(F.count("*").alias("_filas"), F.min("_v").alias("_m"))
     )
-    return gathered.select(*by, *FIGURES, F.col("_q.q").alias("cuantiles"))
+    upto = Window.partitionBy(*by, "_i").orderBy("_zona", "_x").rowsBetween(Window.unboundedPreceding, 0)
+    reached = attach(counted.withColumn("_hasta", F.sum("_filas").over(upto)), figures.select(*by, "n"), by)
+    position = F.element_at(F.array(*[F.lit(float(p)) for p in probabilities]), F.col("_i") + 1) * (F.col("n") - 1)
+    reached = reached.withColumn("_pos", position)
+    at = lambda k: F.min(F.when((F.col("_zona") > 0) & (F.col("_hasta") > F.floor("_pos") + k), F.col("_m")))
+    found = reached.groupBy(*by, "_i").agg(at(0).alias("_a"), at(1).alias("_c"), F.first("_pos").alias("_pos"))
+    between = F.col("_a") + (F.col("_pos") - F.floor("_pos")) * F.coalesce(F.col("_c") - F.col("_a"), F.lit(0.0))
+    gathered = found.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_i", between.alias("q")))).alias("_q"))
+    answer = gathered.select(*by, F.col("_q.q").alias("cuantiles"))
+    told = figures.select(*by, *FIGURES)
+    return told.join(answer, by) if by else attach(told, answer.limit(1), by)

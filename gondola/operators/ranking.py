@@ -4,30 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gondola.operators.scale import cut_lineage
+from gondola.operators.quantiles import steps
 
-# A group is sorted inside one task only when it is known not to exceed this many rows.
-WINDOW_ROWS = 1_000_000
+# Ranges that the rows of a group are numbered in.
+RANGES = 1_000
 
 
-def number_rows(
-    rows: DataFrame, group: list[str], order: list[str], name: str, largest_group: int | None = None
-) -> DataFrame:
-    """1..n in every group by `order`, which must identify a row within its group.
+def number_rows(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """1..n (bigint) in every group by `order`, which must identify a row within its group and
+    begin with a number.
 
-    `largest_group` is the caller's proven bound on the group size. Within WINDOW_ROWS an
-    ordinary window does it. Without a bound, or above it, rows are range-partitioned by
-    group and order, numbered inside each range, and shifted by the rows of the same group
-    in earlier ranges, so a huge group is shared by many tasks.
+    A sketch of that number cuts each group into ranges; rows are numbered inside their range
+    and shifted by the sizes of the earlier ones, so a huge group is shared by many tasks. Rows
+    with equal numbers are in one range. The ranges depend on the data alone: a task that is
+    run again deals its rows out in the same way.
     """
-    if largest_group is not None and largest_group <= WINDOW_ROWS:
-        return rows.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    ranges = cut_lineage(
-        rows.repartitionByRange(*group, *order).withColumn("_rango", F.spark_partition_id())
-    )
+    first = F.col(order[0]).cast("double")
+    ends = rows.groupBy(*group).agg(steps(first, RANGES, 10 * RANGES).alias("_cortes"))
+    ends = ends.select(*[F.col(c).alias(f"_de_{c}") for c in group], F.array_distinct("_cortes").alias("_cortes"))
+    same = [F.col(c).eqNullSafe(F.col(f"_de_{c}")) for c in group]
+    place = F.when(first.isNotNull(), F.size(F.filter("_cortes", lambda e: e < first))).otherwise(-1)
+    dealt = rows.join(ends, same).select(*rows.columns, place.alias("_rango"))
     earlier = Window.partitionBy(*group).orderBy("_rango").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        ranges.groupBy(*group, "_rango")
+        dealt.groupBy(*group, "_rango")
         .agg(F.count("*").alias("_filas"))
         .select(
             *[F.col(c).alias(f"_de_{c}") for c in [*group, "_rango"]],
@@ -37,9 +37,9 @@ def number_rows(
     inside = F.row_number().over(Window.partitionBy(*group, "_rango").orderBy(*order))
     same = [F.col(c).eqNullSafe(F.col(f"_de_{c}")) for c in [*group, "_rango"]]
     return (
-        ranges.withColumn("_dentro", inside)
+        dealt.withColumn("_dentro", inside)
         .join(shifts, same)
-        .select(*rows.columns, (F.col("_dentro") + F.col("_previas")).cast("int").alias(name))
+        .select(*rows.columns, (F.col("_dentro") + F.col("_previas")).alias(name))
     )
 
 

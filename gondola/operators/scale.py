@@ -1,36 +1,18 @@
-"""Size checks and lineage cuts shared by the other operators."""
+"""Size checks shared by the other operators."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, functions as F, types as T
 
 # A side is broadcast only when its measured size stays under this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-_measured: dict[tuple[str, int], tuple[int, int]] = {}
-
 
 def measure(frame: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of a frame of strings and numbers, from one aggregate that is
-    remembered per application and plan."""
-    seen = (frame.sparkSession.sparkContext.applicationId, frame.semanticHash())
-    if seen not in _measured:
-        texts = [f.name for f in frame.schema if isinstance(f.dataType, T.StringType)]
-        width = F.lit(16 * len(frame.columns)).cast("bigint")
-        for name in texts:
-            width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-        rows, size = frame.agg(F.count("*"), F.sum(width)).first()
-        _measured[seen] = (rows, size or 0)
-    return _measured[seen]
-
-
-def cut_lineage(frame: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the cluster's shared folder. The session's
-    spark.checkpoint.dir is used; only where none is set (tests) a new folder is made."""
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return frame.checkpoint()
+    """(rows, bytes) of a frame of strings and numbers, from one aggregate over it as it is now."""
+    texts = [f.name for f in frame.schema if isinstance(f.dataType, T.StringType)]
+    width = F.lit(16 * len(frame.columns)).cast("bigint")
+    for name in texts:
+        width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    rows, size = frame.agg(F.count("*"), F.sum(width)).first()
+    return rows, size or 0

@@ -21,8 +21,10 @@ CUBE = "cubo_mensual"
 
 def ingest(spark: SparkSession, source: str, base: str) -> DataFrame:
     """Check the headers of the three source files, then store the files in landing in the
-    same format, with an audit table. Rows are counted while they are written. Raises when
-    a file is missing or incomplete, before anything is written."""
+    same format, with an audit table. Fields keep their blanks; the text of rows with too few
+    or too many fields is also stored as it is, under landing/_malformadas, and counted. Rows
+    are counted while they are written. Raises when a file is missing or incomplete, before
+    anything is written."""
     lake = Lake(spark, base)
     found = csvfiles.find(spark, source)
     gaps = {file.name: csvfiles.missing_columns(file, rows) for file, rows in found.items()}
@@ -30,24 +32,34 @@ def ingest(spark: SparkSession, source: str, base: str) -> DataFrame:
         bad = [f"{name}: {','.join(columns)}" for name, columns in gaps.items() if columns]
         raise ValueError("source files do not meet their contract: " + "; ".join(bad))
     counts = []
-    for file, rows in found.items():
+    for file in found:
         seen = Observation(file.name)
-        rows.observe(seen, F.count(F.lit(1)).alias("filas")).write.mode("overwrite").options(
-            **file.options, header="true", emptyValue=""
+        rows = csvfiles.read_marked(spark, file, f"{source}/{file.name}.csv")
+        bad = F.col(csvfiles.MALFORMED)
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("filas"), F.count(bad).alias("malformadas"))
+        counted.drop(csvfiles.MALFORMED).write.mode("overwrite").options(
+            **file.options, header="true", emptyValue="",
+            ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
         ).csv(lake.path("landing", f"{file.name}.csv"))
-        counts.append((file.name, seen.get["filas"]))
-    log = spark.createDataFrame(counts, "archivo string, filas bigint").withColumn(
+        key = F.col(f"`{rows.columns[0]}`").alias("clave")  # a CSV source must be asked for some field of its own
+        lost = rows.filter(F.coalesce(bad, F.lit("")) != "").select(key, bad.alias("texto"))  # not pushed into the scan
+        lake.replace("landing", f"_malformadas/{file.name}", lost)
+        counts.append((file.name, seen.get["filas"], seen.get["malformadas"]))
+    log = spark.createDataFrame(counts, "archivo string, filas bigint, malformadas bigint").withColumn(
         "ingerido_en", F.current_timestamp()
     )
     return lake.replace("landing", "_auditoria", log)
 
 
 def build_raw(spark: SparkSession, base: str) -> None:
+    """Clean the landing files. Prices are those of precios.csv and of every yearly file."""
     lake = Lake(spark, base)
     landing = lake.path("landing")
     prices = csvfiles.read(spark, csvfiles.PRICES, f"{landing}/precios.csv")
     products = csvfiles.read(spark, csvfiles.PRODUCTS, f"{landing}/productos.csv")
     stores = csvfiles.read(spark, csvfiles.STORES, f"{landing}/establecimientos.csv")
+    yearly = csvfiles.read_yearly_prices(spark, landing).drop("anio_archivo")
+    prices = prices.unionByName(yearly, allowMissingColumns=True)
     lake.replace("raw", "precios", cleaning.clean_prices(prices))
     lake.replace("raw", "productos", cleaning.clean_products(products))
     lake.replace("raw", "establecimientos", cleaning.clean_stores(stores))
@@ -69,20 +81,24 @@ def stored_dimensions(lake: Lake) -> list[facts.Dimension]:
     return [facts.Dimension(partial(lake.read, "refined", t), k) for t, k in keys.items()]
 
 
-def build_fact(spark: SparkSession, base: str, by_date: bool = False) -> DataFrame:
-    """The fact table. By default it is partitioned by month, the period of the metrics, with
+def build_fact(spark: SparkSession, base: str, by_date: bool = False, since: str | None = None) -> DataFrame:
+    """The fact table, or with `since` (the first day of a month, as text) only its months from
+    then on: older partitions stay as they are and their observations are not read. By default it is partitioned by month, the period of the metrics, with
     files ordered by date: partitions stay large enough to scan well, and a date range
     still skips row groups. by_date partitions by date instead, for very many rows a day."""
     lake = Lake(spark, base)
+    prices = raw_prices(spark, base)
+    if since is not None:
+        prices = prices.filter(F.col("fecha") >= F.trunc(F.lit(since).cast("date"), "month"))
     fact = facts.fact_prices(
-        raw_prices(spark, base),
+        prices,
         *stored_dimensions(lake),
         facts.Dimension(lambda: lake.read("refined", "dim_tiempo").select("fecha"), "fecha"),
     )
     if by_date:
-        return lake.replace_partitions("refined", "fact_precios", fact, ("fecha",))
+        return lake.replace_partitions("refined", "fact_precios", fact, ("fecha",), only_present=since is not None)
     dated = fact.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")})
-    return lake.replace_partitions("refined", "fact_precios", dated, ("anio", "mes"), ("fecha",))
+    return lake.replace_partitions("refined", "fact_precios", dated, ("anio", "mes"), ("fecha",), since is not None)
 
 
 def load_mart(spark: SparkSession, base: str, price_scale: int | None = None) -> facts.Mart:
@@ -113,7 +129,7 @@ def build_metrics(
     export("dispersion_precios", metrics.dispersion(prices, metrics.NAME_KEYS))
     export("variacion_mensual", metrics.variation_by_name(prices))
     costs = export("canasta_basica", basket.cost_by_observation(mart, names, states))
-    export("ranking_supermercados", basket.rank_by_observation(costs, mart.stores.rows))
+    export("ranking_supermercados", basket.rank_by_observation(costs))
 
 
 def build_metrics_by_id(
@@ -138,7 +154,7 @@ def build_metrics_by_id(
     export("min_max_precios", metrics.price_extremes(mart, states))
     export("dispersion_precios", metrics.dispersion(prices, metrics.ID_KEYS))
     costs = export("canasta_basica", basket.cost_by_average(mart, names, "categoria", states))
-    export("ranking_supermercados", basket.rank_by_average(costs, mart.stores.rows))
+    export("ranking_supermercados", basket.rank_by_average(costs))
 
 
 def run_quality(spark: SparkSession, base: str) -> bool:

@@ -77,7 +77,7 @@ METRICS = {
     "canasta_media": """SELECT establecimiento_id, establecimiento_nombre, anio, mes,
         sum(precio_promedio) AS costo, count(producto_id) AS num_productos_canasta
         FROM articulo GROUP BY ALL""",
-    "orden": """SELECT *, CAST(row_number() OVER (PARTITION BY anio, mes ORDER BY costo_canasta, supermercado) AS INT)
+    "orden": """SELECT *, CAST(row_number() OVER (PARTITION BY anio, mes ORDER BY costo_canasta, supermercado) AS BIGINT)
         AS ranking FROM canasta""",
     "ultimo": """SELECT * FROM orden WHERE anio * 12 + mes = (SELECT max(anio * 12 + mes) FROM canasta)""",
     "lideres": """SELECT supermercado FROM canasta GROUP BY supermercado
@@ -284,7 +284,7 @@ oracle(
 oracle(
     "store_ranking_avg", "canasta_media",
     """SELECT CAST(row_number() OVER (PARTITION BY anio, mes
-    ORDER BY costo, establecimiento_nombre, establecimiento_id) AS INT) AS ranking,
+    ORDER BY costo, establecimiento_nombre, establecimiento_id) AS BIGINT) AS ranking,
     establecimiento_id, establecimiento_nombre, anio, mes,
     anio || '-' || lpad(CAST(mes AS VARCHAR), 2, '0') AS anio_mes, round(costo + 1e-9, 6) AS costo_total_canasta,
     num_productos_canasta FROM canasta_media""",
@@ -350,7 +350,11 @@ WRONG_PARENT = check(
     "lineas -> dim_establecimiento", "referential_integrity", "l_partkey",
     "NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_partkey)", "lineitem l",
 )
-oracle("dq_fk", STAR, union([*KEYS, WRONG_PARENT]))
+SHORT_CALENDAR = check(
+    "fact_precios -> calendario", "referential_integrity", "fecha_id",
+    "NOT EXISTS (SELECT 1 FROM tiempo d WHERE d.fecha_id = h.fecha_id AND d.anio < 1998)", "hechos h",
+)
+oracle("dq_fk", STAR, union([*KEYS, WRONG_PARENT, SHORT_CALENDAR]))
 oracle("dq_duplicates", STAR, union([*COPIES, LINES]))
 oracle("dq_range", STAR, union([*RANGES, LATER]))
 oracle("dq_domain", STAR, union(DOMAINS))
@@ -503,9 +507,11 @@ def histogram(key: str, uses: str, column: str, bins: int) -> None:
     oracle(
         key, uses,
         f""", e AS (SELECT min({column}) AS lo, max({column}) AS hi FROM {uses}),
-        b AS (SELECT CAST(least(floor(({column} - lo) / ((hi - lo) / {bins})), {bins - 1}) AS INT) AS bin, lo, hi
-        FROM {uses}, e)
-        SELECT bin, lo + bin * ((hi - lo) / {bins}) AS desde, count(*) AS cantidad FROM b GROUP BY bin, lo, hi""",
+        b AS (SELECT CAST(least(floor(({column} - lo) / ((hi - lo) / {bins})), {bins - 1}) AS INT) AS bin
+        FROM {uses}, e),
+        todos AS (SELECT CAST(unnest(range(0, {bins})) AS INT) AS bin)
+        SELECT t.bin, lo + t.bin * ((hi - lo) / {bins}) AS desde, count(b.bin) AS cantidad
+        FROM todos t CROSS JOIN e LEFT JOIN b ON b.bin = t.bin GROUP BY t.bin, e.lo, e.hi""",
     )
 
 
@@ -660,3 +666,23 @@ oracle(
     round(max(costo_canasta) - min(costo_canasta) + 1e-9, 6) AS costo_diferencia FROM canasta) c,
     (SELECT * FROM ultimo ORDER BY ranking LIMIT 1) b, (SELECT * FROM ultimo ORDER BY ranking DESC LIMIT 1) k""",
 )
+
+oracle(
+    "approx_quartiles_price", "obs",
+    "SELECT quantile_disc(precio, 0.25) AS q25, quantile_disc(precio, 0.5) AS q50, quantile_disc(precio, 0.75) AS q75 FROM obs",
+)
+oracle(
+    "price_sample", "",
+    """SELECT l_orderkey, l_linenumber, l_extendedprice AS precio FROM lineitem
+    WHERE ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)), 1, 8))::BIGINT < 429496729""",
+)
+oracle(
+    "basket_cost_avg_category", "obs prod tienda",
+    """, articulo AS (SELECT establecimiento_id, t.nombre AS establecimiento_nombre, producto_id, anio, mes,
+    CAST(sum(CAST(round(precio * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS precio_promedio
+    FROM obs JOIN prod p USING (producto_id) JOIN tienda t USING (establecimiento_id)
+    WHERE p.categoria IN ('ECONOMY', 'PROMO') GROUP BY ALL)
+    SELECT establecimiento_id, establecimiento_nombre, anio, mes,
+    round(sum(precio_promedio) + 1e-9, 6) AS costo_total_canasta, count(producto_id) AS num_productos_canasta
+    FROM articulo GROUP BY ALL""",
+)

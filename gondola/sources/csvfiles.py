@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -36,10 +37,23 @@ STORES = CsvFile(
 )
 FILES = (PRICES, PRODUCTS, STORES)
 
+MALFORMED = "_malformada"
+
 
 def read(spark: SparkSession, file: CsvFile, path: str | list[str]) -> DataFrame:
-    """All columns of the file, as text, under their header names."""
-    return spark.read.options(**file.options, header="true").csv(path)
+    """All columns of the file, as text, under their header names.
+
+    Files read together must have the same header: one that has other names, or the same in
+    another order, fails when it is read instead of being taken by position."""
+    return spark.read.options(**file.options, header="true", enforceSchema="false").csv(path)
+
+
+def read_marked(spark: SparkSession, file: CsvFile, path: str) -> DataFrame:
+    """As read, with the raw text of rows that have too few or too many fields in MALFORMED."""
+    columns = read(spark, file, path).columns
+    schema = ", ".join(f"`{c}` string" for c in [*columns, MALFORMED])
+    options = {**file.options, "header": "true", "enforceSchema": "false", "columnNameOfCorruptRecord": MALFORMED, "columnPruning": "false"}
+    return spark.read.options(**options).schema(schema).csv(path)
 
 
 def with_file_year(rows: DataFrame, path: Column) -> DataFrame:
@@ -54,11 +68,31 @@ def with_file_year(rows: DataFrame, path: Column) -> DataFrame:
 
 def read_yearly_prices(spark: SparkSession, landing: str) -> DataFrame:
     """Every landing/<year>/precios_<year>.csv with its year; years without a file are
-    simply absent. One scan over the glob, however many years there are."""
-    rows = read(spark, PRICES, f"{landing}/[0-9]*/precios_[0-9]*.csv")
-    return with_file_year(rows.select("*", F.col("_metadata.file_path").alias("_ruta")), F.col("_ruta")).drop(
-        "_ruta"
-    )
+    simply absent, and without any there are no rows. Each year is read under its own header
+    and years are put together by column name; a required column that a year lacks is an error."""
+    years = []
+    for path in _yearly_paths(spark, landing):
+        rows = read(spark, PRICES, path)
+        if gaps := missing_columns(PRICES, rows):
+            raise ValueError(f"{path} lacks {','.join(gaps)}")
+        years.append(with_file_year(rows, F.lit(path)))
+    if not years:
+        empty = ", ".join(f"`{c}` string" for c in PRICES.required)
+        return spark.createDataFrame([], f"{empty}, anio_archivo int")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), years)
+
+
+def _yearly_paths(spark: SparkSession, landing: str) -> list[str]:
+    """The yearly price files (or folders of part files) there are; a listing, no contents."""
+    found = []
+    for pattern in (f"{landing}/[0-9]*/precios_[0-9]*.csv", f"{landing}/[0-9]*/precios_[0-9]*.csv/part-*"):
+        try:
+            listed = spark.read.format("binaryFile").load(pattern).select("path")
+            found += [re.sub(r"(\.csv)/part-[^/]*$", r"\1", r.path) for r in listed.collect()]
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return sorted(set(found))
 
 
 def missing_columns(file: CsvFile, rows: DataFrame | None) -> list[str]:
@@ -66,14 +100,16 @@ def missing_columns(file: CsvFile, rows: DataFrame | None) -> list[str]:
     return [c for c in file.required if rows is None or c not in rows.columns]
 
 
-def contract(files: dict[CsvFile, DataFrame | None], spark: SparkSession) -> DataFrame:
-    """One row per file: whether it was found, required columns it lacks, data rows."""
+def contract(files: dict[CsvFile, DataFrame | None], spark: SparkSession, count: bool = True) -> DataFrame:
+    """One row per file: whether it was found, required columns it lacks, data rows. Without
+    `count` only headers are looked at, and filas is null."""
     parts = []
     for file, rows in files.items():
         missing = missing_columns(file, rows)
         counted = spark.range(0) if rows is None else rows
+        filas = counted.agg(F.count("*").alias("filas")) if count else spark.range(1).select(F.lit(None).cast("bigint").alias("filas"))
         parts.append(
-            counted.agg(F.count("*").alias("filas")).select(
+            filas.select(
                 F.lit(file.name).alias("archivo"),
                 F.lit(rows is not None).alias("existe"),
                 F.lit(",".join(missing)).alias("columnas_faltantes"),

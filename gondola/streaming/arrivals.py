@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.operators.cleaning import clean_prices
 from gondola.sources import csvfiles
@@ -16,13 +16,16 @@ def take_new_files(spark: SparkSession, base: str, pattern: str, columns: list[s
     """Clean the landing price files matching `pattern` that appeared since the last call.
 
     `columns` is the header of the files in order. The stream's checkpoint, kept in the
-    lake, remembers which files were taken. Each batch owns one folder and replaces it when
-    it is run again after a failure, so no row is stored twice.
+    lake, remembers which files were taken. Each batch owns one folder, named after the
+    stream's lasting id and its number, and replaces it when it is run again after a failure.
+    A stream that lost its state has a new id and leaves older batches alone; rows carry the
+    name of their file, of which raw_prices takes one batch only.
     """
     lake = Lake(spark, base)
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{lake.path('raw', TABLE)}/lote={number}")
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.write.mode("overwrite").parquet(f"{lake.path('raw', TABLE)}/lote={stream}-{number}")
 
     arriving = (
         spark.readStream.options(**csvfiles.PRICES.options, header="true", enforceSchema="false")
@@ -30,7 +33,7 @@ def take_new_files(spark: SparkSession, base: str, pattern: str, columns: list[s
         .csv(f"{lake.path('landing')}/{pattern}")
     )
     query = (
-        clean_prices(arriving)
+        clean_prices(arriving.withColumn("archivo", F.col("_metadata.file_path")), ("archivo",))
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", lake.path("raw", f"_{TABLE}_estado"))
         .foreachBatch(store)
@@ -40,7 +43,11 @@ def take_new_files(spark: SparkSession, base: str, pattern: str, columns: list[s
 
 
 def raw_prices(spark: SparkSession, base: str) -> DataFrame:
-    """All raw prices: the batch load and, where there are any, later arrivals."""
+    """All raw prices: the batch load and, where there are any, later arrivals.
+
+    The batch load owns every date it has rows of; arrivals count for the other dates only. So
+    a day that came as a daily file first and is part of a fuller price file later is not
+    counted twice, though equal rows inside one of them are all kept."""
     lake = Lake(spark, base)
     loaded = lake.read("raw", "precios")
     try:
@@ -49,4 +56,7 @@ def raw_prices(spark: SparkSession, base: str) -> DataFrame:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return loaded
-    return loaded.unionByName(arrived.drop("lote"))
+    one = arrived.groupBy("archivo").agg(F.min("lote").alias("lote"))
+    own = loaded.select("fecha").distinct()
+    later = arrived.join(one, ["archivo", "lote"], "left_semi").join(own, "fecha", "left_anti")
+    return loaded.unionByName(later.select(loaded.columns))

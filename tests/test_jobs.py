@@ -90,3 +90,76 @@ def test_new_price_files_are_taken_once(spark, folder, tmp_path):  # noqa: F811
     by_date = jobs.build_fact(spark, base, by_date=True)
     assert by_date.inputFiles()[0].split("/")[-2].startswith("fecha=")
     assert rows(by_date, "fecha", "precio") == stored
+
+
+def yearly(folder, year, header, *lines):
+    (folder / str(year)).mkdir(parents=True)
+    (folder / str(year) / f"precios_{year}.csv").write_text("\n".join([header, *lines]) + "\n")
+
+
+def test_yearly_files_are_read_by_column_name(spark, tmp_path):
+    from gondola.sources import csvfiles
+
+    assert csvfiles.read_yearly_prices(spark, str(tmp_path)).count() == 0
+    yearly(tmp_path, 2023, "Fecha,Precio,Presentacion_Producto,Establecimiento,Oferta", "2023-05-01,10.5,7,3,0")
+    yearly(tmp_path, 2024, "Fecha,Presentacion_Producto,Establecimiento,Precio,Oferta", "2024-05-01,8,4,99.5,1")
+    found = csvfiles.read_yearly_prices(spark, str(tmp_path))
+    assert rows(found, "anio_archivo", "Precio", "Presentacion_Producto", "Establecimiento") == [
+        (2023, "10.5", "7", "3"), (2024, "99.5", "8", "4"),
+    ]
+    yearly(tmp_path, 2025, "Fecha,Precio,Establecimiento,Oferta", "2025-05-01,1,4,1")
+    with pytest.raises(ValueError, match="Presentacion_Producto"):
+        csvfiles.read_yearly_prices(spark, str(tmp_path))
+
+
+def test_files_read_together_must_share_their_header(spark, tmp_path):
+    from gondola.sources import csvfiles
+
+    (tmp_path / "a.csv").write_text("Fecha,Precio\n2025-01-01,1\n")
+    (tmp_path / "b.csv").write_text("Precio,Fecha\n1,2025-01-01\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csvfiles.read(spark, csvfiles.PRICES, str(tmp_path)).collect()
+
+
+def test_chain_takes_yearly_files(spark, folder, tmp_path):  # noqa: F811
+    base = str(tmp_path / "lake")
+    jobs.ingest(spark, str(folder), base)
+    landing = tmp_path / "lake" / "landing"
+    yearly(landing, 2023, "Fecha,Presentacion_Producto,Establecimiento,Precio,Oferta", "2023-05-01,1,10,50,0")
+    yearly(landing, 2024, "Fecha,Precio,Presentacion_Producto,Establecimiento,Oferta", "2024-05-01,60,1,10,0")
+    jobs.build_raw(spark, base)
+    jobs.build_dims(spark, base)
+    fact = jobs.build_fact(spark, base)
+    assert rows(fact.filter("anio < 2025"), "anio", "precio") == [(2023, 50.0), (2024, 60.0)]
+
+
+def test_a_refreshed_batch_supersedes_arrivals(spark, folder, tmp_path):  # noqa: F811
+    base = str(tmp_path / "lake")
+    header = PRICES.splitlines()[0]
+    (folder / "precios.csv").write_text(f"{header}\n2025-03-01,10,1,10,0,\n")
+    jobs.ingest(spark, str(folder), base)
+    jobs.build_raw(spark, base)
+    daily = tmp_path / "lake" / "landing" / "diario"
+    daily.mkdir()
+    (daily / "d2.csv").write_text(f"{header}\n2025-03-02,20,1,10,0,\n")
+    arrivals.take_new_files(spark, base, "diario/*.csv", header.split(","))
+    assert arrivals.raw_prices(spark, base).count() == 2
+    (folder / "precios.csv").write_text(f"{header}\n2025-03-01,10,1,10,0,\n2025-03-02,20,1,10,0,\n")
+    jobs.ingest(spark, str(folder), base)
+    jobs.build_raw(spark, base)
+    assert rows(arrivals.raw_prices(spark, base), "precio") == [(10.0,), (20.0,)]
+
+
+def test_landing_keeps_blanks_and_malformed_rows(spark, folder, tmp_path):  # noqa: F811
+    base = str(tmp_path / "lake")
+    header, *rest = PRODUCTS.splitlines()
+    fields = len(header.split(";"))
+    padded = ";".join(["77", "  Arroz blanco ", *["x"] * (fields - 2)])
+    long = ";".join(["78", *["y"] * fields])
+    (folder / "productos.csv").write_text("\n".join([header, *rest, padded, long]) + "\n", encoding="iso-8859-1")
+    jobs.ingest(spark, str(folder), base)
+    lake = Lake(spark, base)
+    landed = spark.read.options(sep=";", header="true", encoding="ISO-8859-1").csv(lake.path("landing", "productos.csv"))
+    assert landed.filter("`id.producto` = '77'").first().producto == "  Arroz blanco "
+    assert lake.read("landing", "_auditoria").filter("archivo = 'productos'").first().malformadas >= 1
+    assert long in [r.texto for r in lake.read("landing", "_malformadas/productos").collect()]

@@ -44,7 +44,7 @@ def test_baskets_and_rankings(small_mart):
     assert rows(by_mean.filter("mes = 2"), "establecimiento_id", "costo_total_canasta", "num_productos_canasta") == [
         (10, 9.99, 1), (11, 75.0, 1), (12, 25.0, 1),
     ]
-    ranked = basket.rank_by_average(by_mean, 3).filter("mes = 2")
+    ranked = basket.rank_by_average(by_mean).filter("mes = 2")
     assert rows(ranked, "ranking", "establecimiento_id", "anio_mes") == [
         (1, 10, "2025-02"), (2, 12, "2025-02"), (3, 11, "2025-02"),
     ]
@@ -56,7 +56,7 @@ def test_equal_costs_rank_by_store_name(spark):
         [("b", 2025, 1, 5.0), ("a", 2025, 1, 5.0), ("c", 2025, 1, 1.0)],
         "supermercado string, anio int, mes int, costo_canasta double",
     )
-    assert rows(basket.rank_by_observation(costs, 3), "ranking", "supermercado") == [(1, "c"), (2, "a"), (3, "b")]
+    assert rows(basket.rank_by_observation(costs), "ranking", "supermercado") == [(1, "c"), (2, "a"), (3, "b")]
 
 
 def all_metrics(mart):
@@ -123,7 +123,7 @@ def test_integrated_without_a_join_equals_the_join(spark):
 
 def test_rankings_are_one_to_n_per_month(spark):
     mart = tables.mart(spark, SF)
-    ranked = basket.rank_by_observation(basket.cost_by_observation(mart, ("blue bolt", "cold gear")), mart.stores.rows)
+    ranked = basket.rank_by_observation(basket.cost_by_observation(mart, ("blue bolt", "cold gear")))
     bad = ranked.groupBy("anio", "mes").agg(
         F.min("ranking").alias("a"), F.max("ranking").alias("b"), F.count("*").alias("n"), F.count_distinct("ranking").alias("d")
     ).filter("a <> 1 OR b <> n OR d <> n")
@@ -139,3 +139,21 @@ def test_in_top_groups_breaks_frequency_ties_by_name(spark):
     table = spark.createDataFrame([("b",), ("b",), ("a",), ("c",), (None,), (None,)], "g string")
     assert rows(ranking.in_top_groups(table, "g", 2)) == [("a",), ("b",), ("b",)]
     assert rows(ranking.frequency(table, ["g"], 2)) == [("b", 2), (None, 2)]
+
+
+def test_prices_off_the_scale_are_errors(spark):
+    from gondola.functions import measures
+
+    two = spark.createDataFrame([(1.005,), (1.005,)], "v double")
+    big = spark.createDataFrame([(9e16,), (9e16,)], "v double")
+    many = spark.range(3).selectExpr("CAST(4e18 AS BIGINT) AS v")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            for rows_, column in ((two, measures.mean(F.col("v"), 2)), (big, measures.mean(F.col("v"), 2)), (many, measures.total(F.col("v")))):
+                with pytest.raises(Exception, match="does not fit"):
+                    rows_.agg(column).collect()
+            assert two.agg(measures.mean(F.col("v"), 3)).first()[0] == 1.005
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", before)

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from gondola.operators import profile
+from gondola.plans.oracles import ORACLES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -28,7 +30,7 @@ def ordered(found):
     return sorted(cleaned, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, database, name):
     frame = contract.queries()[name](spark, SF)
     columns = sorted(frame.columns)
@@ -40,11 +42,11 @@ def test_query_equals_its_sql(spark, database, name):
     assert ordered(frame.select(*[f"`{c}`" for c in columns]).collect()) == ordered(expected)
 
 
-def test_sample_is_repeatable_and_near_its_fraction(spark):
-    take = contract.queries()["price_sample"]
-    first = sorted(r.precio for r in take(spark, SF).collect())
-    assert first == sorted(r.precio for r in take(spark, SF).collect())
-    assert 450 < len(first) < 750
+def test_sample_is_near_its_fraction_and_independent_of_partitions(spark):
+    lines = spark.range(20_000).selectExpr("id AS a", "id % 7 AS b")
+    first = sorted(r.a for r in profile.keyed_sample(lines, ["a", "b"], 0.1).collect())
+    assert first == sorted(r.a for r in profile.keyed_sample(lines.repartition(7), ["a", "b"], 0.1).collect())
+    assert 1_800 < len(first) < 2_200
 
 
 def test_entry_runs(spark):
