@@ -1,9 +1,7 @@
 """SQL for the registered queries, written independently of the operators and run on the
 test tables by another engine. Fragments name the model's tables; each text is complete.
 
-Values whose last bits depend on summation order are rounded as in queries.rounded: 1e-9 is
-added first, so that a mean lying exactly between two six-digit numbers does not go either
-way by the last bit of its sum."""
+Values whose last bits depend on summation order are rounded, as in queries.rounded."""
 
 from __future__ import annotations
 
@@ -278,7 +276,7 @@ oracle(
 oracle("store_ranking_sum", "orden", "SELECT * FROM orden")
 oracle(
     "basket_cost_avg", "canasta_media",
-    """SELECT establecimiento_id, establecimiento_nombre, anio, mes, round(costo + 1e-9, 6) AS costo_total_canasta,
+    """SELECT establecimiento_id, establecimiento_nombre, anio, mes, round(costo, 6) AS costo_total_canasta,
     num_productos_canasta FROM canasta_media""",
 )
 oracle(
@@ -286,7 +284,7 @@ oracle(
     """SELECT CAST(row_number() OVER (PARTITION BY anio, mes
     ORDER BY costo, establecimiento_nombre, establecimiento_id) AS BIGINT) AS ranking,
     establecimiento_id, establecimiento_nombre, anio, mes,
-    anio || '-' || lpad(CAST(mes AS VARCHAR), 2, '0') AS anio_mes, round(costo + 1e-9, 6) AS costo_total_canasta,
+    anio || '-' || lpad(CAST(mes AS VARCHAR), 2, '0') AS anio_mes, round(costo, 6) AS costo_total_canasta,
     num_productos_canasta FROM canasta_media""",
 )
 
@@ -416,7 +414,7 @@ oracle(
 oracle(
     "price_stats_by_category", "obs prod",
     f"""SELECT categoria, count(*) AS cantidad_registros, {EXACT_MEAN} AS precio_promedio,
-    min(precio) AS precio_minimo, max(precio) AS precio_maximo, round(stddev_samp(precio) + 1e-9, 4) AS desviacion_std
+    min(precio) AS precio_minimo, max(precio) AS precio_maximo, round(stddev_samp(precio), 4) AS desviacion_std
     FROM obs JOIN prod USING (producto_id) GROUP BY categoria""",
 )
 
@@ -492,7 +490,7 @@ def described(key: str, uses: str, column: str, digits: int) -> None:
         "max": "max(x)",
     }
     rows = [
-        f"SELECT '{k}' AS estadistico, round({v} + 1e-9, {digits}) AS valor FROM (SELECT {column} AS x FROM {uses})"
+        f"SELECT '{k}' AS estadistico, round({v}, {digits}) AS valor FROM (SELECT {column} AS x FROM {uses})"
         for k, v in figures.items()
     ]
     oracle(key, uses, union(rows))
@@ -528,7 +526,7 @@ def box(key: str, uses: str, column: str, by: str) -> None:
         f""", q AS (SELECT {group} count({column}) AS n, quantile_cont({column}, 0.25) AS a,
         quantile_cont({column}, 0.5) AS m, quantile_cont({column}, 0.75) AS z FROM {uses} {tail}),
         r AS (SELECT {group} {column} AS x FROM {uses})
-        SELECT {pick} n AS cantidad, round(a + 1e-9, 6) AS q1, round(m + 1e-9, 6) AS mediana, round(z + 1e-9, 6) AS q3,
+        SELECT {pick} n AS cantidad, round(a, 6) AS q1, round(m, 6) AS mediana, round(z, 6) AS q3,
         min(x) FILTER (WHERE x BETWEEN a - (z - a) * 1.5 AND z + (z - a) * 1.5) AS bigote_inferior,
         max(x) FILTER (WHERE x BETWEEN a - (z - a) * 1.5 AND z + (z - a) * 1.5) AS bigote_superior,
         count(*) FILTER (WHERE x < a - (z - a) * 1.5 OR x > z + (z - a) * 1.5) AS atipicos
@@ -557,24 +555,24 @@ oracle(
 )
 oracle(
     "avg_price_yearly_stats", "por_nombre",
-    """SELECT anio, round(avg(precio_promedio) + 1e-9, 6) AS mean, round(quantile_cont(precio_promedio, 0.5) + 1e-9, 6) AS median,
+    """SELECT anio, round(avg(precio_promedio), 6) AS mean, round(quantile_cont(precio_promedio, 0.5), 6) AS median,
     min(precio_promedio) AS min, max(precio_promedio) AS max FROM por_nombre GROUP BY anio""",
 )
 oracle(
     "basket_store_stats", "canasta_lider",
-    """SELECT supermercado, round(avg(costo_canasta) + 1e-9, 6) AS mean, round(quantile_cont(costo_canasta, 0.5) + 1e-9, 6) AS median,
-    min(costo_canasta) AS min, max(costo_canasta) AS max, round(stddev_samp(costo_canasta) + 1e-9, 6) AS std
+    """SELECT supermercado, round(avg(costo_canasta), 6) AS mean, round(quantile_cont(costo_canasta, 0.5), 6) AS median,
+    min(costo_canasta) AS min, max(costo_canasta) AS max, round(stddev_samp(costo_canasta), 6) AS std
     FROM canasta_lider GROUP BY supermercado""",
 )
 FOUR = ("precio_promedio", "variacion_pct", "indice_dispersion", "costo_canasta")
 oracle(
     "dashboard_monthly", "meses",
-    "SELECT anio, mes, fecha, " + ", ".join(f"round({c} + 1e-9, 6) AS {c}" for c in FOUR) + " FROM meses",
+    "SELECT anio, mes, fecha, " + ", ".join(f"round({c}, 7) AS {c}" for c in FOUR) + " FROM meses",
 )
 oracle(
     "dashboard_trend", "meses",
     union([
-        f"""SELECT '{c}' AS metrica, round(avg({c}) + 1e-9, 6) AS promedio,
+        f"""SELECT '{c}' AS metrica, round(avg({c}), 6) AS promedio,
         CASE WHEN max_by({c}, fecha) FILTER (WHERE {c} IS NOT NULL) > min_by({c}, fecha) FILTER (WHERE {c} IS NOT NULL)
         THEN '↑' ELSE '↓' END AS tendencia FROM meses"""
         for c in FOUR
@@ -582,7 +580,7 @@ oracle(
 )
 oracle(
     "dispersion_trimmed_monthly", "disp_corta",
-    """SELECT make_date(anio, mes, 1) AS fecha, round(avg(indice_dispersion) + 1e-9, 6) AS indice_dispersion
+    """SELECT make_date(anio, mes, 1) AS fecha, round(avg(indice_dispersion), 6) AS indice_dispersion
     FROM disp_corta GROUP BY anio, mes""",
 )
 
@@ -590,7 +588,7 @@ oracle(
 def leaders(key: str, uses: str, statistic: str, direction: str) -> None:
     oracle(
         key, uses,
-        f"""SELECT producto, round(v + 1e-9, 6) AS valor FROM (SELECT producto, {statistic} AS v FROM {uses}
+        f"""SELECT producto, round(v, 6) AS valor FROM (SELECT producto, {statistic} AS v FROM {uses}
         GROUP BY producto) WHERE v IS NOT NULL ORDER BY v {direction}, producto LIMIT 5""",
     )
 
@@ -630,7 +628,7 @@ CORRELATED = ("indice_dispersion", "variacion_pct", "precio_promedio")
 oracle(
     "metric_correlation", "integrado_corto",
     union([
-        f"""SELECT '{a}' AS fila, '{b}' AS columna, round(corr({a}, {b}) + 1e-9, 6) AS correlacion FROM integrado_corto"""
+        f"""SELECT '{a}' AS fila, '{b}' AS columna, round(corr({a}, {b}), 6) AS correlacion FROM integrado_corto"""
         for a in CORRELATED
         for b in CORRELATED
     ]),
@@ -651,19 +649,19 @@ oracle(
 oracle(
     "exec_summary", "dispersion variacion ultimo",
     """SELECT p.*, v.*, d.*, c.*, b.supermercado AS mas_economico, k.supermercado AS mas_caro,
-    round(k.costo_canasta - b.costo_canasta + 1e-9, 6) AS diferencia_precio,
-    round((k.costo_canasta / b.costo_canasta - 1) * 100 + 1e-9, 6) AS diferencia_pct
+    round(k.costo_canasta - b.costo_canasta, 6) AS diferencia_precio,
+    round((k.costo_canasta / b.costo_canasta - 1) * 100, 6) AS diferencia_pct
     FROM (SELECT count(DISTINCT producto) AS productos_analizados,
-    round(avg(precio_promedio) + 1e-9, 6) AS precio_promedio_general, min(precio_promedio) AS precio_minimo,
+    round(avg(precio_promedio), 6) AS precio_promedio_general, min(precio_promedio) AS precio_minimo,
     max(precio_promedio) AS precio_maximo FROM por_nombre) p,
-    (SELECT round(avg(variacion_pct) + 1e-9, 6) AS variacion_promedio, max(variacion_pct) AS mayor_aumento,
+    (SELECT round(avg(variacion_pct), 6) AS variacion_promedio, max(variacion_pct) AS mayor_aumento,
     min(variacion_pct) AS mayor_caida FROM variacion) v,
-    (SELECT round(avg(indice_dispersion) + 1e-9, 6) AS dispersion_promedio,
-    round(quantile_cont(indice_dispersion, 0.5) + 1e-9, 6) AS dispersion_mediana,
+    (SELECT round(avg(indice_dispersion), 6) AS dispersion_promedio,
+    round(quantile_cont(indice_dispersion, 0.5), 6) AS dispersion_mediana,
     count(*) FILTER (WHERE indice_dispersion > 1.0) AS registros_alta_dispersion FROM dispersion) d,
-    (SELECT count(DISTINCT supermercado) AS supermercados_analizados, round(avg(costo_canasta) + 1e-9, 6) AS costo_promedio,
+    (SELECT count(DISTINCT supermercado) AS supermercados_analizados, round(avg(costo_canasta), 6) AS costo_promedio,
     min(costo_canasta) AS costo_minimo, max(costo_canasta) AS costo_maximo,
-    round(max(costo_canasta) - min(costo_canasta) + 1e-9, 6) AS costo_diferencia FROM canasta) c,
+    round(max(costo_canasta) - min(costo_canasta), 6) AS costo_diferencia FROM canasta) c,
     (SELECT * FROM ultimo ORDER BY ranking LIMIT 1) b, (SELECT * FROM ultimo ORDER BY ranking DESC LIMIT 1) k""",
 )
 
@@ -683,6 +681,6 @@ oracle(
     FROM obs JOIN prod p USING (producto_id) JOIN tienda t USING (establecimiento_id)
     WHERE p.categoria IN ('ECONOMY', 'PROMO') GROUP BY ALL)
     SELECT establecimiento_id, establecimiento_nombre, anio, mes,
-    round(sum(precio_promedio) + 1e-9, 6) AS costo_total_canasta, count(producto_id) AS num_productos_canasta
+    round(sum(precio_promedio), 6) AS costo_total_canasta, count(producto_id) AS num_productos_canasta
     FROM articulo GROUP BY ALL""",
 )

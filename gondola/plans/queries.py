@@ -45,9 +45,7 @@ def query(build: Query) -> Query:
 
 
 def rounded(rows: DataFrame, digits: int, *columns: str) -> DataFrame:
-    """Rounded a hair above the value: a mean of 32 two-decimal prices lies exactly between
-    two six-digit numbers, where the last bit of a sum would decide."""
-    return rows.withColumns({c: F.round(F.col(c) + 1e-9, digits) for c in columns})
+    return rows.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
 
 def on_mart(name: str, build: Callable[[Mart], DataFrame]) -> None:
@@ -482,7 +480,7 @@ def overview(mart: Mart) -> DataFrame:
 
 
 MONTHLY = ("precio_promedio", "variacion_pct", "indice_dispersion", "costo_canasta")
-on_mart("dashboard_monthly", lambda m: rounded(overview(m), 6, *MONTHLY))
+on_mart("dashboard_monthly", lambda m: rounded(overview(m), 7, *MONTHLY))
 on_mart("dashboard_trend", lambda m: rounded(dashboard.trend(overview(m)), 6, "promedio"))
 on_mart(
     "dispersion_trimmed_monthly",
