@@ -543,6 +543,7 @@ box("box_basket_store", "canasta_lider", "costo_canasta", "supermercado")
 oracle("variation_trimmed", "var_corta", "SELECT * FROM var_corta")
 oracle("dispersion_trimmed", "disp_corta", "SELECT * FROM disp_corta")
 oracle("integrated_dispersion_variation", "integrado", "SELECT * FROM integrado")
+oracle("integrated_join", "integrado", "SELECT * FROM integrado")
 oracle("integrated_filtered", "integrado_corto", "SELECT * FROM integrado_corto")
 oracle(
     "top10_products_series", "por_nombre",
@@ -684,3 +685,7 @@ oracle(
     round(sum(precio_promedio), 6) AS costo_total_canasta, count(producto_id) AS num_productos_canasta
     FROM articulo GROUP BY ALL""",
 )
+oracle(
+    "display_rounded_quantities", "",
+    "SELECT l_orderkey, l_linenumber, round_even(l_quantity / 8, 2) AS octavo FROM lineitem",
+)

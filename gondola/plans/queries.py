@@ -453,6 +453,7 @@ def price_sample(spark, folder):
 on_mart("variation_trimmed", lambda m: dashboard.trim_variation(variation(m)))
 on_mart("dispersion_trimmed", lambda m: dashboard.trim_dispersion(dispersion(m)))
 on_mart("integrated_dispersion_variation", integrated)
+on_mart("integrated_join", lambda m: dashboard.integrate(dispersion(m), variation(m)))
 on_mart("integrated_filtered", lambda m: dashboard.trim_integrated(integrated(m)))
 on_mart(
     "top10_products_series", lambda m: dashboard.top_series(names(m), "producto", "precio_promedio", 10)
@@ -543,3 +544,10 @@ def exec_summary(spark, folder):
         found, 6, "precio_promedio_general", "variacion_promedio", "dispersion_promedio",
         "dispersion_mediana", "costo_promedio", "costo_diferencia", "diferencia_precio", "diferencia_pct",
     )
+
+
+@query
+def display_rounded_quantities(spark, folder):
+    """Eighths of quantities, many of them exactly between two cents, rounded half to even."""
+    lines = tables.table(spark, folder, "lineitem")
+    return dashboard.display_rounded(lines.select("l_orderkey", "l_linenumber", (F.col("l_quantity") / 8).alias("octavo")))
