@@ -6,7 +6,8 @@ repeated alone with the same result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -19,6 +20,13 @@ from gondola.streaming.arrivals import raw_prices
 CUBE = "cubo_mensual"
 
 
+def together(*actions: Callable[[], object]) -> list:
+    """Results of independent jobs, submitted at once so that small ones fill the cluster side
+    by side; the first error is raised after all have ended."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return [done.result() for done in [pool.submit(a) for a in actions]]
+
+
 def ingest(spark: SparkSession, source: str, base: str) -> DataFrame:
     """Check the headers of the three source files, then store the files in landing in the
     same format, with an audit table. Fields keep their blanks; the text of rows with too few
@@ -31,8 +39,8 @@ def ingest(spark: SparkSession, source: str, base: str) -> DataFrame:
     if any(gaps.values()):
         bad = [f"{name}: {','.join(columns)}" for name, columns in gaps.items() if columns]
         raise ValueError("source files do not meet their contract: " + "; ".join(bad))
-    counts = []
-    for file in found:
+
+    def land(file: csvfiles.CsvFile) -> tuple[str, int, int]:
         seen = Observation(file.name)
         rows = csvfiles.read_marked(spark, file, f"{source}/{file.name}.csv")
         bad = F.col(csvfiles.MALFORMED)
@@ -44,7 +52,9 @@ def ingest(spark: SparkSession, source: str, base: str) -> DataFrame:
         key = F.col(f"`{rows.columns[0]}`").alias("clave")  # a CSV source must be asked for some field of its own
         lost = rows.filter(F.coalesce(bad, F.lit("")) != "").select(key, bad.alias("texto"))  # not pushed into the scan
         lake.replace("landing", f"_malformadas/{file.name}", lost)
-        counts.append((file.name, seen.get["filas"], seen.get["malformadas"]))
+        return file.name, seen.get["filas"], seen.get["malformadas"]
+
+    counts = together(*[partial(land, file) for file in found])
     log = spark.createDataFrame(counts, "archivo string, filas bigint, malformadas bigint").withColumn(
         "ingerido_en", F.current_timestamp()
     )
@@ -60,18 +70,22 @@ def build_raw(spark: SparkSession, base: str) -> None:
     stores = csvfiles.read(spark, csvfiles.STORES, f"{landing}/establecimientos.csv")
     yearly = csvfiles.read_yearly_prices(spark, landing).drop("anio_archivo")
     prices = prices.unionByName(yearly, allowMissingColumns=True)
-    lake.replace("raw", "precios", cleaning.clean_prices(prices))
-    lake.replace("raw", "productos", cleaning.clean_products(products))
-    lake.replace("raw", "establecimientos", cleaning.clean_stores(stores))
+    together(
+        lambda: lake.replace("raw", "precios", cleaning.clean_prices(prices)),
+        lambda: lake.replace("raw", "productos", cleaning.clean_products(products)),
+        lambda: lake.replace("raw", "establecimientos", cleaning.clean_stores(stores)),
+    )
 
 
 def build_dims(spark: SparkSession, base: str) -> None:
     lake = Lake(spark, base)
     stores = lake.read("raw", "establecimientos")
-    lake.replace("refined", "dim_tiempo", dimensions.dim_time(raw_prices(spark, base)))
-    lake.replace("refined", "dim_producto", dimensions.dim_product(lake.read("raw", "productos")))
-    lake.replace("refined", "dim_establecimiento", dimensions.dim_store(stores))
-    lake.replace("refined", "dim_ubicacion", dimensions.dim_location(stores))
+    together(
+        lambda: lake.replace("refined", "dim_tiempo", dimensions.dim_time(raw_prices(spark, base))),
+        lambda: lake.replace("refined", "dim_producto", dimensions.dim_product(lake.read("raw", "productos"))),
+        lambda: lake.replace("refined", "dim_establecimiento", dimensions.dim_store(stores)),
+        lambda: lake.replace("refined", "dim_ubicacion", dimensions.dim_location(stores)),
+    )
 
 
 def stored_dimensions(lake: Lake) -> list[facts.Dimension]:
@@ -122,14 +136,22 @@ def build_metrics(
     lake = Lake(spark, base)
     mart = load_mart(spark, base, price_scale)
     states = lake.read("refined", CUBE)
-    prices = lake.replace("refined", "precios_mensuales", cube.by_name_month(mart, states))
     export = partial(lake.replace, "exports_dashboard")
-    export("precio_promedio", metrics.average_by_name(prices))
-    export("min_max_precios", metrics.min_max(prices, metrics.NAME_KEYS))
-    export("dispersion_precios", metrics.dispersion(prices, metrics.NAME_KEYS))
-    export("variacion_mensual", metrics.variation_by_name(prices))
-    costs = export("canasta_basica", basket.cost_by_observation(mart, names, states))
-    export("ranking_supermercados", basket.rank_by_observation(costs))
+
+    def of_prices() -> None:
+        prices = lake.replace("refined", "precios_mensuales", cube.by_name_month(mart, states))
+        together(
+            lambda: export("precio_promedio", metrics.average_by_name(prices)),
+            lambda: export("min_max_precios", metrics.min_max(prices, metrics.NAME_KEYS)),
+            lambda: export("dispersion_precios", metrics.dispersion(prices, metrics.NAME_KEYS)),
+            lambda: export("variacion_mensual", metrics.variation_by_name(prices)),
+        )
+
+    def of_baskets() -> None:
+        costs = export("canasta_basica", basket.cost_by_observation(mart, names, states))
+        export("ranking_supermercados", basket.rank_by_observation(costs))
+
+    together(of_prices, of_baskets)
 
 
 def build_metrics_by_id(
@@ -143,18 +165,27 @@ def build_metrics_by_id(
     lake = Lake(spark, base)
     mart = load_mart(spark, base, price_scale)
     states = lake.read("refined", CUBE)
-    prices = lake.replace("refined", "precios_mensuales_producto", cube.by_product_month(mart, states))
-
     def export(table: str, rows: DataFrame) -> DataFrame:
         return lake.replace("exports_dashboard", f"por_producto/{table}", rows)
 
-    export("precio_promedio_producto", metrics.average_by_product(prices))
-    export("variacion_diaria", metrics.variation_daily(cube.by_product_day(mart)))
-    export("variacion_mensual", metrics.variation_by_product(prices))
-    export("min_max_precios", metrics.price_extremes(mart, states))
-    export("dispersion_precios", metrics.dispersion(prices, metrics.ID_KEYS))
-    costs = export("canasta_basica", basket.cost_by_average(mart, names, "categoria", states))
-    export("ranking_supermercados", basket.rank_by_average(costs))
+    def of_prices() -> None:
+        prices = lake.replace("refined", "precios_mensuales_producto", cube.by_product_month(mart, states))
+        together(
+            lambda: export("precio_promedio_producto", metrics.average_by_product(prices)),
+            lambda: export("variacion_mensual", metrics.variation_by_product(prices)),
+            lambda: export("dispersion_precios", metrics.dispersion(prices, metrics.ID_KEYS)),
+        )
+
+    def of_baskets() -> None:
+        costs = export("canasta_basica", basket.cost_by_average(mart, names, "categoria", states))
+        export("ranking_supermercados", basket.rank_by_average(costs))
+
+    together(
+        of_prices,
+        of_baskets,
+        lambda: export("variacion_diaria", metrics.variation_daily(cube.by_product_day(mart))),
+        lambda: export("min_max_precios", metrics.price_extremes(mart, states)),
+    )
 
 
 def run_quality(spark: SparkSession, base: str) -> bool:
