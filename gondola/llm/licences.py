@@ -1,17 +1,24 @@
-"""License scans (2): lines and whole texts against licence templates by Dice over word bigrams.
+"""License scans (2): windows of a text against licence templates by Dice over word bigrams.
 
-Texts are normalised to words of a-z, 0-9 and non-ASCII bytes, lower-cased. Every line of a text, and the whole
-text, is compared with the templates: 2 |A and B| / (|A| + |B|) over the sets of word bigrams. At a Dice limit d
-a match has at least d/(2-d) and at most (2-d)/d times the template's bigrams, so by its size alone most
-prose is never looked at; hashes of the bigrams then give the exact intersection with each template left.
+Texts are normalised to words of a-z, 0-9 and non-ASCII bytes, lower-cased; a window is any run of a text's
+words, over line ends too. Its value for a template is 2 |A and B| / (|A| + |B|) over the sets of word
+bigrams. At a Dice limit d a match holds at least d/(2-d) of the template's bigrams and has at most (2-d)/d
+times as many; a text that lacks the first for a template is not looked at again.
 
-Defined results: null and blank texts, and lines of fewer than two words, match nothing. Of equally good
-matches the first template (by name), then the first line is named; the whole text is line -1 and comes
-last. Repeated lines count as often as they occur.
+For the rest all windows are compared, not a choice of sizes: a best window begins and ends with a bigram of
+the template that it holds once at that end, as it could be shortened otherwise. So each such start is
+followed up to the next time its bigram occurs, or to the size bound, with running counts of distinct
+bigrams. A position is passed by at most as many starts as the template has bigrams.
+
+Defined results: null and blank texts match nothing. Of equally good matches the first template (by name),
+then the first line is named; a window that runs over a line end is line -1 and comes last. n_lines counts
+the lines that hold a match of their own; repeated lines count as often as they occur.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,71 +56,98 @@ TEMPLATES: dict[str, list[str]] = {
     "reserved": ["All rights reserved."],
 }
 
-_NEWLINE = np.zeros(256, dtype=bool)
-_NEWLINE[0x0A] = True
-
-
-def _distinct(run: W.Words, owner: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct bigram hashes by unit, and where each unit's begin."""
-    pairs = W.window_hashes(run.hashes, 2)
-    same = owner[: len(pairs)] == owner[1:] if len(pairs) else np.empty(0, dtype=bool)
-    pairs, at = pairs[same], owner[: len(pairs)][same]
-    order = np.lexsort((pairs, at))
-    pairs, at = pairs[order], at[order]
-    new = np.ones(len(pairs), dtype=bool)
-    new[1:] = (pairs[1:] != pairs[:-1]) | (at[1:] != at[:-1])
-    return pairs[new], np.searchsorted(at[new], np.arange(count + 1))
-
 
 class Scanner:
     def __init__(self, templates: dict[str, list[str]], limit: float):
-        self.limit, self.known = limit, []
+        self.limit, self.names, self.sets = limit, [], []
         for name in sorted(templates):
             for text in templates[name]:
                 (run,) = W.runs(pa.array([text]), W.NOT_ALPHANUMERIC)
-                self.known.append((name, np.unique(W.window_hashes(run.hashes, 2))))
-
-    def matches(self, pairs: np.ndarray, first: np.ndarray) -> list[tuple[int, float, str]]:
-        """(unit, Dice, name) of each unit's best match at the limit or above."""
-        size = np.diff(first)
-        best = np.zeros(len(size))
-        name = np.full(len(size), -1)
-        for k, (_, own) in enumerate(self.known):
-            near = np.flatnonzero((size * (2 - self.limit) >= self.limit * len(own)) & (size * self.limit <= (2 - self.limit) * len(own)))
-            if not len(near):
-                continue
-            row = np.repeat(np.arange(len(near)), size[near])
-            take = np.arange(len(row)) - np.repeat(np.cumsum(size[near]) - size[near], size[near]) + first[near][row]
-            common = np.bincount(row, np.isin(pairs[take], own), len(near))
-            dice = 2 * common / (size[near] + len(own))
-            better = dice > best[near]
-            best[near[better]], name[near[better]] = dice[better], k
-        return [(int(u), float(best[u]), self.known[name[u]][0]) for u in np.flatnonzero(best >= self.limit)]
+                own = np.unique(W.window_hashes(run.hashes, 2))
+                if len(own):
+                    self.names.append(name)
+                    self.sets.append(own)
+        every = np.concatenate(self.sets) if self.sets else np.empty(0, dtype=np.uint64)
+        self.bigrams, code = np.unique(every, return_inverse=True)
+        order = np.argsort(code, kind="stable")
+        self.templates = np.repeat(np.arange(len(self.sets)), [len(own) for own in self.sets])[order]  # of each bigram
+        self.first = np.searchsorted(code[order], np.arange(len(self.bigrams) + 1))
+        # the fewest common bigrams and the most bigrams of a match, by the very division that decides
+        self.least = np.array([1 + np.flatnonzero(2 * (c := np.arange(1, len(own) + 1)) / (c + len(own)) >= limit)[0] for own in self.sets], dtype=np.int64)
+        self.most = [int(len(own) * (2 - limit) / limit) + 1 for own in self.sets]
+
+    def candidates(self, hashes: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+        """(text, template) pairs where the text holds enough of the template's bigrams, by text."""
+        if not len(hashes) or not len(self.bigrams):
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        code = np.minimum(np.searchsorted(self.bigrams, hashes), len(self.bigrams) - 1)
+        known = self.bigrams[code] == hashes
+        text, code = np.divmod(np.unique(owner[known] * len(self.bigrams) + code[known]), len(self.bigrams))
+        times = self.first[code + 1] - self.first[code]
+        at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(self.first[code], times)
+        pair, common = np.unique(np.repeat(text, times) * len(self.sets) + self.templates[at], return_counts=True)
+        text, template = np.divmod(pair, len(self.sets))
+        enough = common >= self.least[template]
+        return text[enough], template[enough]
+
+    def windows(self, text: _Text, k: int) -> Iterator[tuple[float, int]]:
+        """(Dice, line) of the best window from each start that has one at the limit, in one line and over line ends."""
+        own, size, most = np.isin(text.hashes, self.sets[k]), len(self.sets[k]), self.most[k]
+        ahead = np.cumsum((own & (text.after == len(own)))[::-1])[::-1]  # distinct ones from here on
+        for i in np.flatnonzero(own & (ahead >= self.least[k])):
+            reach = 2 * most
+            while True:
+                stop = min(int(text.after[i]), i + reach)
+                new = text.before[i:stop] < i
+                distinct = np.cumsum(new)
+                if distinct[-1] > most or stop < i + reach:
+                    break
+                reach *= 2
+            ends = np.flatnonzero(new & own[i:stop])
+            dice = 2 * np.arange(1, len(ends) + 1) / (distinct[ends] + size)
+            alone = text.line[i + ends + 1] == text.line[i]
+            for line, some in ((int(text.line[i]), dice[alone]), (-1, dice[~alone])):
+                if len(some) and some.max() >= self.limit:
+                    yield float(some.max()), line
+
+
+class _Text:
+    """The bigrams of a text: hashes, where each occurs before and after (-1 and their number if nowhere), lines of its words."""
+
+    def __init__(self, hashes: np.ndarray, line: np.ndarray):
+        self.hashes, self.line = hashes, line
+        order = np.argsort(hashes, kind="stable")
+        same = hashes[order[1:]] == hashes[order[:-1]]
+        self.before, self.after = np.full(len(hashes), -1), np.full(len(hashes), len(hashes))
+        self.before[order[1:][same]] = order[:-1][same]
+        self.after[order[:-1][same]] = order[1:][same]
 
 
 def _column(batch: pa.RecordBatch, text: str, scanner: Scanner) -> list[pa.Array]:
-    n, best, dice, place = [], [], [], []
+    n, best, dice, place, names = [], [], [], [], []
     for run in W.runs(batch.column(text), W.NOT_ALPHANUMERIC):
+        hashes, at = W.windows(run, 2)
+        bounds = np.searchsorted(at, run.first)
         breaks = np.concatenate([[0], np.cumsum(run.data == 0x0A)])
-        line = breaks[run.starts] + run.owner  # a text's end parts lines too
-        base = breaks[run.offsets[:-1]] + np.arange(run.texts)
-        lines = int(breaks[-1]) + run.texts
-        found: list[list[tuple[int, float, str]]] = [[] for _ in range(run.texts)]
-        of = np.searchsorted(base, np.arange(lines), side="right") - 1
-        for unit, value, name in scanner.matches(*_distinct(run, line, lines)):
-            found[of[unit]].append((unit - int(base[of[unit]]), value, name))
-        whole = {unit: (-1, value, name) for unit, value, name in scanner.matches(*_distinct(run, run.owner, run.texts))}
-        for k, own in enumerate(found):
-            n.append(len(own))
-            own = own + ([whole[k]] if k in whole else [])
-            top = min(own, key=lambda m: (-m[1], m[2], m[0] < 0, m[0]), default=(None, None, None))
-            place.append(top[0])
-            dice.append(top[1])
-            best.append(top[2])
-    return [pa.array(n, pa.int64()), pa.array(best, pa.string()), pa.array(dice, pa.float64()), pa.array(place, pa.int64())]
+        found: dict[int, list[tuple[float, str, bool, int]]] = {}
+        last, own = -1, None
+        for t, k in zip(*(x.tolist() for x in scanner.candidates(hashes, run.owner[at], run.texts))):
+            if t != last:
+                line = breaks[run.starts[run.first[t] : run.first[t + 1]]] - breaks[run.offsets[t]]
+                last, own = t, _Text(hashes[bounds[t] : bounds[t + 1]], line)
+            found.setdefault(t, []).extend((-value, scanner.names[k], where < 0, where) for value, where in scanner.windows(own, k))
+        for t in range(run.texts):
+            all_ = found.get(t, [])
+            top = min(all_, default=None)
+            n.append(len({m[3] for m in all_ if not m[2]}))
+            best.append(top and top[1])
+            dice.append(top and -top[0])
+            place.append(top and top[3])
+            names.append(sorted({m[1] for m in all_}))
+    return [pa.array(n, pa.int64()), pa.array(best, pa.string()), pa.array(dice, pa.float64()), pa.array(place, pa.int64()), pa.array(names, pa.list_(pa.string()))]
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, *, limit: float = LIMIT, text: str = "text", added: str = "licence") -> DataFrame:
-    """The documents with a struct column `added`: n_lines (that match), name, dice and line of the best match."""
+    """The documents with a struct column `added`: n_lines (that match), name, dice and line of the best match, all names that match."""
     scanner = Scanner(templates, limit)
-    return by_batch(docs, added, "n_lines bigint, name string, dice double, line bigint", lambda batch: _column(batch, text, scanner))
+    return by_batch(docs, added, "n_lines bigint, name string, dice double, line bigint, names array<string>", lambda batch: _column(batch, text, scanner))

@@ -1,6 +1,8 @@
 """Edge rows, defined results and hard cases of each operator."""
 
 import random
+import re
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +71,52 @@ def test_licences_of_odd_rows(spark, odd_docs, no_docs):
     assert found == {1: (1, "MIT", 1), 2: (0, "reserved", -1), 3: (2, "CC-BY-NC-4.0", 0), 4: (0, None, None)}
 
 
+def brute_licence(text, templates, limit):
+    grams = lambda words: set(zip(words, words[1:]))
+    split = lambda t: re.findall("[^\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f]+", t.lower())
+    words, line = [], []
+    for k, part in enumerate((text or "").split("\n")):
+        words += split(part)
+        line += [k] * (len(words) - len(line))
+    found = []
+    for name in sorted(templates):
+        for own in (grams(split(t)) for t in templates[name]):
+            for i in range(len(words)):
+                for j in range(i + 2, len(words) + 1):
+                    seen = grams(words[i:j])
+                    value = 2 * len(seen & own) / (len(seen) + len(own))
+                    if value >= limit:
+                        found.append((-value, name, line[i] != line[j - 1], line[i] if line[i] == line[j - 1] else -1))
+    top = min(found, default=(None, None, None, None))
+    return len({m[3] for m in found if not m[2]}), top[1], top[0] and -top[0], top[3], sorted({m[1] for m in found})
+
+
+@pytest.mark.parametrize("limit", [0.9, 0.6])
+def test_windows_equal_brute_force(limit):
+    random_ = random.Random(8)
+    templates = {"x": ["a b c", "a b a b c d e"], "y": ["b c d e f g h i j k", "c c c"], "z": ["a"]}
+    texts = [None, "", "a", "\n", "a b c"]
+    for _ in range(150):
+        words = []
+        while len(words) < random_.randrange(1, 34):
+            words += random_.choice([t.split() for ts in templates.values() for t in ts] + [[random_.choice("abcdefghijk")] for _ in range(4)])
+        texts.append("".join(w + random_.choice([" ", " ", " ", ", ", "\n"]) for w in words))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    columns = licences._column(batch, "text", licences.Scanner(templates, limit))
+    assert list(zip(*(c.to_pylist() for c in columns))) == [brute_licence(t, templates, limit) for t in texts]
+
+
+def test_notices_inside_lines_and_over_lines(spark):
+    mit = textwrap.wrap(licences.TEMPLATES["MIT"][2], 76)
+    docs = make(spark, [
+        (1, 'Some words.\nLicensed under the Apache License, Version 2.0 (the "License");\nyou may', "a"),
+        (2, "x = 1\n# Licensed under the Apache License,\n# Version 2.0. See below.", "a"), (3, "y\nCopyright 2024 Acme. All rights reserved. z", "a"),
+        (4, "/*\n * The MIT License\n *\n" + "".join(f" * {line}\n" for line in mit) + " */\n" + prose(4, 400), "a"),
+    ])
+    found = {r.doc_id: (r.n_lines, r.name, r.dice, r.line) for r in licences.scan(docs).select("doc_id", "licence.*").collect()}
+    assert found == {1: (1, "Apache-2.0", 1.0, 1), 2: (0, "Apache-2.0", 1.0, -1), 3: (1, "reserved", 1.0, 1), 4: (0, "MIT", 1.0, -1)}
+
+
 # --- chat -------------------------------------------------------------------------------
 
 
