@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame
 
 from gondola.llm import words as W
 from gondola.llm.common import by_batch
+from gondola.llm.licence_texts import BODIES
 
 LIMIT = 0.9
 
 #: Published licence notices, by a name of the SPDX list (or "reserved").
-TEMPLATES: dict[str, list[str]] = {
+NOTICES: dict[str, list[str]] = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
     "BSD-2-Clause": ["Released under the BSD 2-Clause License."],
     "BSD-3-Clause": ["Released under the BSD 3-Clause License."],
@@ -56,6 +57,9 @@ TEMPLATES: dict[str, list[str]] = {
     "reserved": ["All rights reserved."],
 }
 
+#: Notices first, then bodies and file headers.
+TEMPLATES = {name: NOTICES.get(name, []) + BODIES.get(name, []) for name in NOTICES | BODIES}
+
 
 class Scanner:
     def __init__(self, templates: dict[str, list[str]], limit: float):
@@ -149,5 +153,5 @@ def _column(batch: pa.RecordBatch, text: str, scanner: Scanner) -> list[pa.Array
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, *, limit: float = LIMIT, text: str = "text", added: str = "licence") -> DataFrame:
     """The documents with a struct column `added`: n_lines (that match), name, dice and line of the best match, all names that match."""
-    scanner = Scanner(templates, limit)
-    return by_batch(docs, added, "n_lines bigint, name string, dice double, line bigint, names array<string>", lambda batch: _column(batch, text, scanner))
+    sent = docs.sparkSession.sparkContext.broadcast(Scanner(templates, limit))
+    return by_batch(docs, added, "n_lines bigint, name string, dice double, line bigint, names array<string>", lambda batch: _column(batch, text, sent.value))

@@ -117,6 +117,25 @@ def test_notices_inside_lines_and_over_lines(spark):
     assert found == {1: (1, "Apache-2.0", 1.0, 1), 2: (0, "Apache-2.0", 1.0, -1), 3: (1, "reserved", 1.0, 1), 4: (0, "MIT", 1.0, -1)}
 
 
+def test_whole_licences_are_found_and_told_apart(spark):
+    bodies = {name: max(texts, key=len) for name, texts in licences.TEMPLATES.items() if name != "reserved"}
+    assert all(len(t.split()) > 100 for t in bodies.values())
+    random_ = random.Random(4)
+    data = {}
+    for name, text in bodies.items():
+        words = text.split()
+        for k in random_.sample(range(len(words)), len(words) // 60):
+            words[k] = "changed"
+        data[name] = prose(1, 300) + "\n" + "\n".join(textwrap.wrap(" ".join(words), 80)) + "\n" + prose(2, 300)
+    header = 'Copyright 2020 X\n// Licensed under the Apache License, Version 2.0 (the "License");\n// you may not use this file except in compliance with the License.'
+    gpl = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version {} of the License, or\n(at your option) any later version."
+    data |= {"header": header, "gpl 2": gpl.format(2), "gpl 3": gpl.format(3)}
+    found = {r.source: r for r in licences.scan(make(spark, [(k, t, s) for k, (s, t) in enumerate(data.items())])).select("source", "licence.*").collect()}
+    assert all(name in found[name].names and found[name].dice >= 0.9 for name in bodies)
+    assert all(found[name].name == name for name in bodies)
+    assert [found[s].name for s in ("header", "gpl 2", "gpl 3")] == ["Apache-2.0", "GPL-2.0", "GPL-3.0"]
+
+
 # --- chat -------------------------------------------------------------------------------
 
 
