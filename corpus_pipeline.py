@@ -26,8 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each group of documents linked at 0.8 the one with the smallest id stays."""
-    return near_dedup.keep(docs, percent=80, bands=40, rows=5)
+    """Operator 7: of each group of documents linked at 0.8 one row stays, with the smallest id."""
+    return near_dedup.keep(docs, percent=80, bands=40, rows=5, repeats=False)
 
 
 def benchmark_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,8 +23,9 @@ So no bucket is capped and no bucket emits all of its pairs: members of one comp
 
 Defined results: null, empty and blank texts have an empty set and are alone; a text of fewer words than
 `width` has its whole sequence as its set. A null id is larger than all others; a group without any other
-has a null component_id and all of its rows are kept, as are rows that repeat the kept id. Empty tables
-give no rows.
+has a null component_id and all of its rows are kept, as are rows that repeat the kept id (`keep` can leave
+one of them). Rows are told apart by id and set, so an id may be kept with one text and go with another. Empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -238,10 +239,8 @@ def links(docs: DataFrame, classes: DataFrame, key: str, text: str, width: int,
     return found if more.isEmpty() else components(star.where("linked").select("a", "b").union(more))
 
 
-def groups(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = 85, bands: int = 32, rows: int = 6,
-) -> DataFrame:
-    """(id, n, component, kept) of every document: set size, smallest id of its group, whether it is that one."""
+def _grouped(docs: DataFrame, key: str, text: str, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """(id, n, c, g, component, kept) of every document; g is its group, null if the document is alone."""
     documents = cut(sketch(docs, key, text, width, bands * rows))
     full = documents.where("n > 0").groupBy("c")
     classes = cut(full.agg(F.min("id").alias("id"), F.max("n").alias("n"), F.first("registers").alias("registers"), F.count("*").alias("copies")))
@@ -249,14 +248,62 @@ def groups(
     named = classes.join(found, F.col("c") == F.col("node"), "left").where("node is not null or copies > 1")
     named = cut(named.select("c", "id", F.coalesce("component", "c").alias("g")))
     lowest = named.groupBy("g").agg(F.min("id").alias("component"))
-    named = small(cut(named.join(lowest, "g").select("c", "component", F.lit(True).alias("grouped"))))
+    named = small(cut(named.join(lowest, "g").select("c", "component", "g")))
     told = documents.select("id", "n", "c").join(named, "c", "left")
-    component = F.when(F.col("grouped") & (F.col("n") > 0), F.col("component")).otherwise(F.col("id"))
-    return told.select("id", "n", component.alias("component"), F.col("id").eqNullSafe(component).alias("kept"))
+    component = F.when(F.col("g").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("id"))
+    return told.select("id", "n", "c", "g", component.alias("component"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def groups(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = 85, bands: int = 32, rows: int = 6,
+) -> DataFrame:
+    """(id, n, component, kept) of every document: set size, smallest id of its group, whether it is that one."""
+    return _grouped(docs, key, text, width, percent, bands, rows).select("id", "n", "component", "kept")
+
 
+def keep(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = 85, bands: int = 32, rows: int = 6, repeats: bool = True,
+) -> DataFrame:
+    """The documents' own columns, of one document of each group.
+
+    With `repeats`, all rows that `groups` marks as kept stay: also those that repeat the kept id, and groups of null
+    ids. Without, exactly one row of each group stays. An id of one row goes by its id; rows whose id occurs
+    again are told apart by their sets.
+    """
+    told = _grouped(docs, key, text, width, percent, bands, rows)
+    known = told.groupBy(F.col("id").alias("_id")).agg(F.count("*").alias("times"), F.count_if(~F.col("kept")).alias("out"))
+    known = small(cut(known.where("out > 0" if repeats else "out > 0 or times > 1")))
+    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).alias("id"), F.col(text).alias("text"))
+    marked = whole.join(known, F.col("id").eqNullSafe(F.col("_id")), "left")
+    sure = marked.where("times is null").select("row.*")
+    several = known.where("times > 1")
+    if several.isEmpty():
+        return sure
 
-def keep(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
-    """The documents' own columns, of one document of each group."""
-    gone = groups(docs, key=key, **options).where(~F.col("kept")).select(F.col("id").alias("_gone"), F.lit(True).alias("_out"))
-    gone = small(cut(gone.distinct()))
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left").where("_out is null").drop("_gone", "_out")
+    def work(batch: pa.RecordBatch) -> list[pa.Array]:
+        c, n = [], []
+        for hashes, first in _sets(batch.column("text"), width):
+            c.append(_fingerprints(hashes, first))
+            n.append(np.diff(first))
+        c, n = np.concatenate(c), np.concatenate(n)
+        ids = batch.column("id").dictionary_encode().indices.fill_null(-1).to_numpy()
+        hashed = batch.column("h").to_numpy()
+        order = np.lexsort((hashed, c[:, 1], c[:, 0], ids))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (c[order[1:]] != c[order[:-1]]).any(1) | (ids[order[1:]] != ids[order[:-1]])
+        lowest = np.zeros(len(order), dtype=bool)
+        lowest[order[new]] = True
+        return [_binary(c), pa.array(lowest | (n == 0))]
+
+    # equal rows of a batch leave before any shuffle; h orders the others (maps can't be hashed)
+    hashed = F.xxhash64(*[F.col(f"row.{f.name}") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    own = by_batch(marked.where("times > 1").select("row", "id", "text", hashed.alias("h")), "s", "c binary, lowest boolean", work)
+    own = own.select("row", "id", "h", F.col("s.c").alias("c"), F.col("s.lowest").alias("lowest")).where("true" if repeats else "lowest")
+    again = told.where("kept").join(several.select("_id"), F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+    again = small(cut(again.select(F.col("id").alias("_id"), F.col("c").alias("_c"), "g").distinct()))
+    own = own.join(again, F.col("id").eqNullSafe(F.col("_id")) & (F.col("c") == F.col("_c")))
+    if repeats:
+        return sure.unionAll(own.select("row.*"))
+    own = cut(own.select("row", "h", "c", "g"))
+    one = own.where("g is not null").groupBy("g").agg(F.min_by("row", F.struct("c", "h")).alias("row"))
+    return sure.unionAll(own.where("g is null").select("row.*")).unionAll(one.select("row.*"))

@@ -294,6 +294,27 @@ def test_groups_of_odd_rows(odd_docs, no_docs):
     assert near_dedup.keep(odd_docs).count() == odd_docs.count() - 1
 
 
+def test_rows_go_by_id_and_set(spark):
+    one, two, three, four, five = (prose(600 + k, 40) for k in range(5))
+    data = [
+        (None, one), (1, one), (None, two),  # a null-id copy, and a clean null-id document
+        (5, three), (5, four), (6, four), (2, three), (7, four),  # id 5: one text a copy of 2, the other its group's first
+        (8, five), (8, five), (8, five.upper()), (9, None), (9, None), (None, ""),
+    ]
+    docs = make(spark, [(i, t, "s") for i, t in data])
+    told = lambda frame: collected(frame, "doc_id", "text")
+    stay = [(1, one), (None, two), (5, four), (2, three), (9, None), (9, None), (None, "")]
+    key = lambda r: tuple((v is not None, str(v)) for v in r)
+    assert told(near_dedup.keep(docs)) == sorted([*stay, (8, five), (8, five), (8, five.upper())], key=key)
+    once = told(near_dedup.keep(docs.repartition(3), repeats=False))
+    assert once in [sorted([*stay, (8, t)], key=key) for t in (five, five.upper())]
+    assert once == told(near_dedup.keep(docs.coalesce(1), repeats=False))
+    nulls = make(spark, [(None, one, "s"), (None, one, "s"), (None, two, "s"), (None, two, "s")])
+    assert told(near_dedup.keep(nulls, repeats=False)) == sorted([(None, one), (None, two)], key=key)
+    near = make(spark, [(3, one + " a", "s"), (3, one, "s"), (4, one, "s")])
+    assert near_dedup.keep(near, repeats=False).count() == 1 and near_dedup.keep(near).count() == 2
+
+
 def test_sketches_merge_and_estimate():
     random_ = np.random.default_rng(3)
     a = random_.integers(0, 2**63, 3000).astype(np.uint64)
