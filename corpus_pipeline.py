@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents whose posterior of being good is below one half go."""
-    return rules.keep(docs)
+    """Operator 8: documents whose posterior of being good is below one half, or that fail its base rules, go."""
+    return rules.keep(docs, failed=rules.base_failed())
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -188,8 +188,13 @@ def assess(docs: DataFrame, *, text: str = "text", carry: list[str] | None = Non
     return told.withColumn("posterior", judge(told, learn(told)))
 
 
-def keep(docs: DataFrame, *, text: str = "text", least: float = KEEP) -> DataFrame:
-    """The documents' own columns, of those whose posterior is at least `least`.
+def base_failed() -> Column:
+    """Under ten words, or over a fifth of them in repeated windows; over the columns of `STATISTICS`."""
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
+def keep(docs: DataFrame, *, text: str = "text", least: float = KEEP, failed: Column | None = None) -> DataFrame:
+    """The documents' own columns, of those whose posterior is at least `least` and that have not `failed`.
 
     Reads the texts twice, once to learn and once to judge, as keeping them meanwhile would cost more disk.
     """
@@ -197,4 +202,5 @@ def keep(docs: DataFrame, *, text: str = "text", least: float = KEEP) -> DataFra
     told = lambda *more: statistics(docs.select(*more, F.col(text).alias("_text")), "_text").withColumns(votes())
     judgement = learn(told())
     judged = told(row)
-    return judged.where(judge(judged, judgement) >= least).select("row.*")
+    good = judge(judged, judgement) >= least
+    return judged.where(good if failed is None else good & ~failed).select("row.*")

@@ -347,6 +347,18 @@ def test_rules_of_odd_rows(odd_docs, no_docs):
     assert rules.keep(odd_docs, least=0.0).columns == odd_docs.columns and rules.keep(odd_docs, least=0.0).count() == odd_docs.count()
 
 
+def test_hard_failures_go_whatever_the_posterior(spark, odd_docs):
+    import corpus_pipeline
+    from gondola.llm.queries import REGISTRY
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    queried = REGISTRY["op8_weak_rules"](spark, folder).where("kept").collect()
+    staged = corpus_pipeline.quality_rules(spark, docs, folder).collect()
+    assert sorted(r.doc_id for r in staged) == sorted(r.doc_id for r in queried)
+    assert {r.doc_id for r in rules.keep(odd_docs, least=0.0, failed=rules.base_failed()).collect()} == set()
+
+
 def test_expectation_maximisation_finds_the_accuracies():
     random_ = random.Random(2)
     names, truth = list("abcdef"), {"a": (0.95, 0.9), "b": (0.9, 0.7), "c": (0.98, 0.6), "d": (0.9, 0.9), "e": (0.97, 0.4), "f": (0.6, 0.5)}
