@@ -61,6 +61,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, fo
     return docs.select(key, "text").join(F.broadcast(usable), key).select("text", F.col("_y").alias("y"))
 
 
+def texts(column: pa.Array) -> Iterator[str]:
+    """The texts of an Arrow column; a null is an empty one, and bytes that are not UTF-8 are read as U+FFFD."""
+    for value in column.cast(pa.large_binary()):
+        yield (value.as_py() or b"").decode("utf-8", "replace")
+
+
 def by_batch(frame: DataFrame, added: str, schema: str, work: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
     """The frame and, last, a struct column `added` made per Arrow batch by `work` (one array a field).
 

@@ -6,12 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gondola.llm import chat, decontaminate, language_model, licences, mixing, near_dedup, quality_model, rules, token_counts, toxicity
+from gondola.llm import (
+    alignment, byte_bpe, chat, decontaminate, language_model, licences, mixing, near_dedup, quality_model, rules, token_counts, toxicity, whitening,
+)
 from gondola.llm.common import fold, table
 
+#: Setting that names the driver's folder of vocabulary files; without it that of the installed package of public ones.
+VOCABULARIES = "spark.gondola.vocabularies"
 
-#: Pieces of a public tokenizer, outside the repository.
-VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+def vocabulary(spark: SparkSession, file: str) -> str:
+    """The driver's path of a public tokenizer's file; workers get what they need of it by broadcast."""
+    folder = spark.conf.get(VOCABULARIES, None)
+    if folder is None:
+        try:
+            import public_tokenizers
+        except ModuleNotFoundError as missing:
+            raise FileNotFoundError(f"set {VOCABULARIES} to the folder that holds {file}") from missing
+        return public_tokenizers.path(file)
+    return f"{folder}/{file}"
 
 
 def held(folds: int, one: int) -> Column:
@@ -75,9 +88,9 @@ def op8_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("row.doc_id", *base, failed.alias("base_failed"), kept.alias("kept"))
 
 
-def op9_token_counts(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -> DataFrame:
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    counted = token_counts.count(docs, token_counts.load_pieces(vocabulary))
+    counted = token_counts.count(docs, token_counts.load_pieces(vocabulary(spark, "piece_bpe_32k.model")))
     return counted.select("doc_id", "tokens.n_words", "tokens.n_tokens", F.col("tokens.most").alias("most_tokens"))
 
 
@@ -90,10 +103,31 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """A deviation beyond 64 bits is null here; the operator has it as a decimal."""
+    white = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return white.select(
+        "row.vec_id", "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened", "explained", "identity_error",
+    )
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    own = alignment.load(vocabulary(spark, "byte_bpe_50k.json"), vocabulary(spark, "piece_bpe_32k.model"))
+    return alignment.align(docs, own, alignment.count(docs, own)).select("doc_id", "links.*")
+
+
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    ranks = byte_bpe.load_ranks(vocabulary(spark, "byte_bpe_multi_50k.tiktoken"))
+    return byte_bpe.digests(docs, ranks, byte_bpe.PATTERN).select("doc_id", "bpe.*")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pareto_mix, op2_licence_scan, op3_chat_format, op4_decontaminate, op5_quality_trees, op6_toxicity_ftrl,
-        op7_setsketch_dedup, op8_weak_rules, op9_token_counts, op10_kneser_ney,
+        op7_setsketch_dedup, op8_weak_rules, op9_token_counts, op10_kneser_ney, op11_whitening, op12_alignment,
+        op13_byte_bpe,
     )
 }

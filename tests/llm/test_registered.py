@@ -144,7 +144,7 @@ def test_token_counts_equal_an_independent_unigram_tokenizer(spark, texts):
 
     from gondola.llm import queries, token_counts
 
-    pieces = token_counts.load_pieces(queries.VOCABULARY)
+    pieces = token_counts.load_pieces(queries.vocabulary(spark, "piece_bpe_32k.model"))
     unknown = min(pieces.values()) - 10
     other = Tokenizer(models.Unigram([("<unk>", 0.0), *pieces.items()], 0))
     other.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
