@@ -53,6 +53,20 @@ def variation_by_name(prices: DataFrame) -> DataFrame:
     )
 
 
+def months_after(prices: DataFrame, months: list[tuple[int, int]]) -> set[tuple[int, int]]:
+    """The (year, month) pairs, `months` aside, in which a product's row may follow one of `months`,
+    present or gone: for each of these, the first month a product has after it. Any row between
+    would be the first itself, so these are all rows whose previous price can be another now."""
+    number = F.col("anio") * 12 + F.col("mes")
+    changed = sorted(y * 12 + m for y, m in months)
+    if not changed:
+        return set()
+    later = [F.min(F.when((number > c) & ~number.isin(changed), number)).alias(f"_{k}") for k, c in enumerate(changed)]
+    firsts = prices.groupBy("producto").agg(*later)
+    found = firsts.select(F.explode(F.array(*[f"_{k}" for k in range(len(changed))])).alias("n")).filter("n IS NOT NULL").distinct()
+    return {((r.n - 1) // 12, (r.n - 1) % 12 + 1) for r in found.collect()}  # months, not rows
+
+
 def combined_by_name(prices: DataFrame) -> DataFrame:
     """Average, extremes, dispersion and monthly change side by side, from one aggregate
     and one window. The change is null in the first month of a series."""

@@ -4,43 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gondola.operators.quantiles import steps
-
-# Ranges that the rows of a group are numbered in.
-RANGES = 1_000
+from gondola.operators import scale
 
 
 def number_rows(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
-    """1..n (bigint) in every group by `order`, which must identify a row within its group and
-    begin with a number.
-
-    A sketch of that number cuts each group into ranges; rows are numbered inside their range
-    and shifted by the sizes of the earlier ones, so a huge group is shared by many tasks. Rows
-    with equal numbers are in one range. The ranges depend on the data alone: a task that is
-    run again deals its rows out in the same way.
+    """1..n (bigint) in every group by `order`, which must identify a row within its group.
+
+    One range exchange over group and order deals the rows out, so that a huge group, or one
+    value that most of it shares, is split over as many tasks as its rows need. The rows are kept
+    with their place in their partition: a task that runs again finds the same places. A group's
+    part of a partition is numbered from there, shifted by the group's rows in earlier
+    partitions, of which there is one line each. `rows` is read twice, for the ranges and for the
+    exchange; pass stored rows where it is expensive.
     """
-    first = F.col(order[0]).cast("double")
-    ends = rows.groupBy(*group).agg(steps(first, RANGES, 10 * RANGES).alias("_cortes"))
-    ends = ends.select(*[F.col(c).alias(f"_de_{c}") for c in group], F.array_distinct("_cortes").alias("_cortes"))
-    same = [F.col(c).eqNullSafe(F.col(f"_de_{c}")) for c in group]
-    place = F.when(first.isNotNull(), F.size(F.filter("_cortes", lambda e: e < first))).otherwise(-1)
-    dealt = rows.join(ends, same).select(*rows.columns, place.alias("_rango"))
-    earlier = Window.partitionBy(*group).orderBy("_rango").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        dealt.groupBy(*group, "_rango")
-        .agg(F.count("*").alias("_filas"))
-        .select(
-            *[F.col(c).alias(f"_de_{c}") for c in [*group, "_rango"]],
-            F.coalesce(F.sum("_filas").over(earlier), F.lit(0)).alias("_previas"),
-        )
-    )
-    inside = F.row_number().over(Window.partitionBy(*group, "_rango").orderBy(*order))
-    same = [F.col(c).eqNullSafe(F.col(f"_de_{c}")) for c in [*group, "_rango"]]
-    return (
-        dealt.withColumn("_dentro", inside)
-        .join(shifts, same)
-        .select(*rows.columns, (F.col("_dentro") + F.col("_previas")).alias(name))
-    )
+    dealt = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    placed = scale.cut(dealt.withColumn("_lugar", F.monotonically_increasing_id()))
+    part = F.shiftright("_lugar", 33)
+    parts = placed.groupBy(*group, part.alias("_parte")).agg(F.min("_lugar").alias("_primero"), F.count("*").alias("_filas"))
+    earlier = Window.partitionBy(*group).orderBy("_parte").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_filas").over(earlier), F.lit(0)) - F.col("_primero") + 1
+    shifts = parts.select(*[F.col(c).alias(f"_de_{c}") for c in group], "_parte", shift.alias("_salto"))
+    same = [F.col(c).eqNullSafe(F.col(f"_de_{c}")) for c in group] + [part == F.col("_parte")]
+    return placed.join(shifts, same).select(*rows.columns, (F.col("_lugar") + F.col("_salto")).alias(name))
 
 
 def top(rows: DataFrame, k: int, *order) -> DataFrame:

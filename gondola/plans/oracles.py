@@ -203,6 +203,19 @@ oracle(
     AND l_suppkey IN (SELECT s_suppkey FROM supplier)""",
 )
 oracle("fact_partitions", "obs", "SELECT fecha, count(*) AS filas FROM obs GROUP BY fecha")
+oracle(
+    "arrivals_current", "",
+    """WITH l AS (SELECT CAST(l_shipdate AS DATE) AS d, l_partkey AS p, l_suppkey % 50 AS s, l_extendedprice AS precio, l_linenumber AS n FROM lineitem),
+    fuentes AS (SELECT d, p, s, precio, n AS oferta, 3 AS t, '' AS f FROM l WHERE n <= 5
+        UNION ALL SELECT d, p, s, precio, n + 100, n % 7, 'd' || n FROM l WHERE n >= 2),
+    puestas AS (SELECT *, rank() OVER (PARTITION BY d, p, s ORDER BY t DESC, f = '' DESC, f DESC) AS lugar FROM fuentes)
+    SELECT CAST(oferta AS INT) AS oferta, count(*) AS filas, min(precio) AS minimo FROM puestas WHERE lugar = 1 GROUP BY oferta""",
+)
+oracle(
+    "cube_incremental", "obs",
+    f"""SELECT anio, mes, count(*) AS num_observaciones, min(precio) AS precio_minimo, max(precio) AS precio_maximo,
+    {EXACT_MEAN} AS precio_promedio FROM obs GROUP BY anio, mes""",
+)
 
 # --- metrics
 

@@ -7,18 +7,21 @@ result can be compared with them; figures built on whole-unit sums are left as t
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import reduce
+from dataclasses import replace
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.functions import parsing
 from gondola.operators import (
-    basket, cleaning, cube, dashboard, dimensions, facts, metrics, profile, quality, ranking,
+    basket, cleaning, cube, dashboard, dimensions, facts, metrics, ownership, profile, quality, ranking, scale,
 )
 from gondola.operators.facts import Mart
-from gondola.plans import tables
+from gondola.plans import jobs, tables
 from gondola.sources import csvfiles
+from gondola.sources.lake import Lake
 
 # Parameters that make the operators bite on the test tables.
 BASKET = (
@@ -69,7 +72,8 @@ def costs(mart: Mart) -> DataFrame:
 
 
 def ranked(mart: Mart) -> DataFrame:
-    return basket.rank_by_observation(costs(mart))
+    """The ranking of kept costs, as the batch job ranks its stored ones."""
+    return basket.rank_by_observation(scale.cut(costs(mart)))
 
 
 def combined(mart: Mart) -> DataFrame:
@@ -151,9 +155,22 @@ def raw_stores(spark, folder):
 
 @query
 def multi_year_prices(spark, folder):
-    """Valid observations per yearly file; line number 7 sits in a file of another year."""
-    text = price_text(spark, folder)
-    yearly = csvfiles.with_file_year(text, F.col("ruta"))
+    """Valid observations per yearly file, read back from files: a folder a year in the shared
+    folder, of which even years have their columns in another order. Line number 7 stands in a
+    file that is named after another year than its folder."""
+    text = scale.cut(price_text(spark, folder))
+    landing = f"{scale.shared_folder(spark)}/anual-{uuid.uuid4().hex}"
+    columns = list(csvfiles.PRICES.required)
+
+    def write(path: str) -> None:
+        year = int(path.split("/")[-2])
+        rows = text.filter(F.col("ruta") == path).select(columns[::-1] if year % 2 == 0 else columns)
+        name = "/".join(path.split("/")[-2:])
+        rows.write.options(**csvfiles.PRICES.options, header="true", emptyValue="").csv(f"{landing}/{name}")
+
+    paths = [r.ruta for r in text.select("ruta").distinct().collect()]  # two a year
+    jobs.together(*[partial(write, path) for path in paths])
+    yearly = csvfiles.read_yearly_prices(spark, landing)
     valid = yearly.filter(parsing.as_price(F.col("Precio")) > 0)
     return valid.groupBy("anio_archivo").agg(F.count("*").alias("filas"))
 
@@ -227,8 +244,52 @@ def fact_prices(spark, folder):
 
 @query
 def fact_partitions(spark, folder):
-    """Rows per partition of the fact by date."""
-    return tables.fact(spark, folder).groupBy("fecha").agg(F.count("*").alias("filas"))
+    """Rows per day of a fact written by month, after its months from FIRST_YEAR on were
+    replaced: their first writing had these observations forty years later."""
+    lake = Lake(spark, f"{scale.shared_folder(spark)}/lago-{uuid.uuid4().hex}")
+    fact = tables.fact(spark, folder)
+    recent = F.year("fecha") >= FIRST_YEAR
+    wrong = F.when(recent, F.add_months("fecha", 480)).otherwise(F.col("fecha"))
+
+    def write(rows, within=None):
+        dated = rows.withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")})
+        return lake.replace_partitions("refined", "fact_precios", dated, jobs.MONTH, ("fecha",), within=within)
+
+    write(fact.withColumn("fecha", wrong))
+    right = write(fact.filter(recent), lambda p: int(p["anio"]) >= FIRST_YEAR)
+    return right.groupBy("fecha").agg(F.count("*").alias("filas"))
+
+
+@query
+def arrivals_current(spark, folder):
+    """Observations that count when line numbers 1 to 5 are a load, written on day 3, and the lines
+    2 to 7 came as daily files written on day `line number mod 7`: per line number and source
+    the rows that are left."""
+    line = tables.table(spark, folder, "lineitem").selectExpr(
+        "CAST(l_shipdate AS DATE) AS fecha", "CAST(l_partkey AS STRING) AS producto_id", "CAST(l_suppkey % 50 AS STRING) AS establecimiento_id",
+        "l_extendedprice AS precio", "l_linenumber AS oferta",
+    )
+    on = lambda day: F.timestamp_add("DAY", day, F.lit("2025-01-01").cast("timestamp"))
+    loaded = line.filter("oferta <= 5").withColumn(ownership.WRITTEN, on(F.lit(3)))
+    arrived = line.filter("oferta >= 2").withColumns({
+        ownership.WRITTEN: on(F.col("oferta") % 7), ownership.FILE: F.concat(F.lit("d"), F.col("oferta").cast("string")), "oferta": F.col("oferta") + 100,
+    })
+    return ownership.current(loaded, arrived).groupBy("oferta").agg(F.count("*").alias("filas"), F.min("precio").alias("minimo"))
+
+
+@query
+def cube_incremental(spark, folder):
+    """Monthly figures from a cube that was built without the observations of every third supplier
+    in two years and then had those years' months replaced."""
+    lake = Lake(spark, f"{scale.shared_folder(spark)}/lago-{uuid.uuid4().hex}")
+    mart = tables.mart(spark, folder)
+    dated = F.year("fecha").isin(FIRST_YEAR - 2, FIRST_YEAR)
+    months = [(y, m) for y in (FIRST_YEAR - 2, FIRST_YEAR) for m in range(1, 13)]
+    early = replace(mart, fact=mart.fact.filter(~dated | (F.col("establecimiento_id") % 3 != 0)))
+    late = replace(mart, fact=mart.fact.filter(dated))
+    lake.replace_partitions("refined", jobs.CUBE, cube.monthly_cube(early), jobs.MONTH)
+    merged = lake.replace_partitions("refined", jobs.CUBE, cube.monthly_cube(late), jobs.MONTH, within=jobs.named_months(months))
+    return cube.priced(cube.roll_up(merged, "anio", "mes"), mart.price_scale, "anio", "mes")
 
 
 def model(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -276,7 +337,7 @@ def basket_cost_avg_category(spark, folder):
 @query
 def store_ranking_avg(spark, folder):
     mart = tables.mart(spark, folder)
-    found = basket.cost_by_average(mart, BASKET, "nombre")
+    found = scale.cut(basket.cost_by_average(mart, BASKET, "nombre"))
     return rounded(basket.rank_by_average(found), 6, "costo_total_canasta")
 
 

@@ -66,23 +66,29 @@ def with_file_year(rows: DataFrame, path: Column) -> DataFrame:
     )
 
 
-def read_yearly_prices(spark: SparkSession, landing: str) -> DataFrame:
+def read_yearly_prices(spark: SparkSession, landing: str, carry: dict[str, Column] | None = None) -> DataFrame:
     """Every landing/<year>/precios_<year>.csv with its year; years without a file are
-    simply absent, and without any there are no rows. Each year is read under its own header
-    and years are put together by column name; a required column that a year lacks is an error."""
-    years = []
-    for path in _yearly_paths(spark, landing):
+    simply absent, and without any there are no rows. Files of the same header are one scan, whose
+    rows get their year from the file's path; scans are put together by column name. A required
+    column that a file lacks is an error. `carry` adds columns made from a file's metadata."""
+    carry = carry or {}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in yearly_paths(spark, landing):
         rows = read(spark, PRICES, path)
         if gaps := missing_columns(PRICES, rows):
             raise ValueError(f"{path} lacks {','.join(gaps)}")
-        years.append(with_file_year(rows, F.lit(path)))
-    if not years:
+        by_header.setdefault(tuple(rows.columns), []).append(path)
+    scans = [
+        with_file_year(read(spark, PRICES, paths).withColumns({**carry, "_ruta": F.col("_metadata.file_path")}), F.col("_ruta")).drop("_ruta")
+        for paths in by_header.values()
+    ]
+    if not scans:
         empty = ", ".join(f"`{c}` string" for c in PRICES.required)
-        return spark.createDataFrame([], f"{empty}, anio_archivo int")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), years)
+        return spark.createDataFrame([], f"{empty}, anio_archivo int").withColumns({c: F.lit(None).cast("timestamp") for c in carry})
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def _yearly_paths(spark: SparkSession, landing: str) -> list[str]:
+def yearly_paths(spark: SparkSession, landing: str) -> list[str]:
     """The yearly price files (or folders of part files) there are; a listing, no contents."""
     found = []
     for pattern in (f"{landing}/[0-9]*/precios_[0-9]*.csv", f"{landing}/[0-9]*/precios_[0-9]*.csv/part-*"):
@@ -92,7 +98,8 @@ def _yearly_paths(spark: SparkSession, landing: str) -> list[str]:
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
-    return sorted(set(found))
+    named = re.compile(r"/([0-9]+)/precios_([0-9]+)\.csv$")  # a folder and a name that disagree are no yearly file
+    return sorted({path for path in found if (years := named.search(path)) and years[1] == years[2]})
 
 
 def missing_columns(file: CsvFile, rows: DataFrame | None) -> list[str]:
