@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from gondola.operators.scale import cut, shared_folder
+
+__all__ = ["WORD", "BROADCAST_ROWS", "by_batch", "cut", "fold", "labelled_sample", "shared_folder", "small", "table", "texts"]
+
 #: Words of a text for every contract that does not say otherwise.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -19,23 +22,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
-
-    Only a session that names no such folder (a test on one machine) gets one of its own.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-    return context.getCheckpointDir()
-
-
-def cut(frame: DataFrame) -> DataFrame:
-    """The frame, computed once and kept in the shared checkpoint folder."""
-    shared_folder(frame.sparkSession)
-    return frame.checkpoint()
-
-
 def small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A frame that was cut, marked for broadcast if it has at most `rows` rows."""
     return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
@@ -47,10 +33,11 @@ def fold(key: str, folds: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, folds: int, held: int, rows: int) -> DataFrame:
-    """Documents with a usable label outside the held-out fold: (text, y), at most `rows` ids.
+    """Documents with a usable label outside the held-out fold: (text, y), at most `rows` rows, one an id.
 
     The ids with the smallest hashes are taken, so the sample is the same in each run. It bounds what
-    fitting costs; scoring is never sampled. An id with several labels has its largest.
+    fitting costs; scoring is never sampled. An id with several labels has its largest, one with
+    several texts that of the smallest hash, so an id that a third of all rows share is one row too.
     """
     usable = (
         labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & (fold(key, folds) != held))
@@ -58,7 +45,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, fo
         .orderBy(F.xxhash64(key), key)
         .limit(rows)
     )
-    return docs.select(key, "text").join(F.broadcast(usable), key).select("text", F.col("_y").alias("y"))
+    chosen = docs.select(key, "text").join(F.broadcast(usable), key)
+    one = chosen.groupBy(key, "_y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.select("text", F.col("_y").alias("y"))
 
 
 def texts(column: pa.Array) -> Iterator[str]:

@@ -14,7 +14,8 @@ better document is likelier within its source; null or not positive counts as 1.
 Finding where a source's sample ends needs no sorted source: quotients fall into 4096 ranges, the one with
 the end into 4096 more, and only that one's documents are sorted, after equal ones were counted. A source
 with a third of all rows is one row per range before any shuffle. u comes from the md5 of the key, so reruns
-agree. Documents that agree in source, key and size are taken or left together.
+agree. Rows that agree in source, key and size draw the same u; where the sample ends among them, as many
+are taken as fit, by their place in the written rows: some of them, whichever, as they are alike to the mix.
 
 Defined results: a null text has size 0 and is taken 0 times; null is a source of its own, the last one;
 an empty table gives no rows; sources without words have target 0. Other columns pass through.
@@ -111,10 +112,13 @@ def ends(drawn: DataFrame, plan: DataFrame) -> DataFrame:
     units = last.groupBy("source", "rest", "r1", "r2", "q", "k", "size").agg(words)
     unit = Window.partitionBy("source").orderBy("q", "k", "size").rowsBetween(Window.unboundedPreceding, -1)
     units = units.withColumn("before", F.coalesce(F.sum("words").over(unit), F.lit(0)))
-    fits = F.col("before") + F.col("words") / 2 <= F.col("rest")
-    found = units.groupBy("source").agg(
+    fits = F.col("before") + F.col("size") / 2 <= F.col("rest")
+    # of a unit of repeats, the number of rows that comes nearest
+    many = F.when(F.col("size") > 0, F.round(F.col("words") / F.col("size"))).otherwise(0).cast("bigint")
+    take = F.when(F.col("size") > 0, F.floor((F.col("rest") - F.col("before")) / F.col("size") + 0.5)).otherwise(0)
+    found = units.withColumn("many", many).withColumn("take", F.least(take, "many")).groupBy("source").agg(
         F.min((F.col("r1") + F.col("r2") / RANGES) / RANGES).alias("floor"),
-        F.max(F.when(fits, F.struct("q", "k", "size"))).alias("last"),
+        F.max(F.when(fits, F.struct("q", "k", "size", "many", "take"))).alias("last"),
     )
     return (
         plan.alias("p").join(found.alias("f"), F.expr("p.source <=> f.source"), "left")
@@ -140,11 +144,32 @@ def mix(
     rows = docs.select(F.struct(*docs.columns).alias("row"), sized.alias("s")).select("row", "s.*")
     rows = draw(rows.join(plan, rows.source.eqNullSafe(plan.source)).drop(plan.source))
     q, k, s = F.col("q"), F.col("k"), F.col("size")
+    at_end = (q == F.col("last.q")) & (k == F.col("last.k")) & (s == F.col("last.size"))
     upto = (q < F.col("last.q")) | ((q == F.col("last.q")) & ((k < F.col("last.k")) | ((k == F.col("last.k")) & (s <= F.col("last.size")))))
-    more = F.when((F.col("rest") > 0) & ((q < F.col("floor")) | F.coalesce(upto, F.lit(False))), 1).otherwise(0)
+    inside = (q < F.col("floor")) | F.coalesce(upto, F.lit(False))
+    if not plan.where("last.take < last.many").isEmpty():
+        parted = F.coalesce(at_end & (F.col("last.take") < F.col("last.many")), F.lit(False))
+        shared = _placed(rows.where(parted))
+        rows = rows.where(~parted).withColumn("_in", inside).unionByName(shared.withColumn("_in", F.col("_nth") < F.col("last.take")).drop("_nth"))
+        inside = F.col("_in")
+    more = F.when((F.col("rest") > 0) & inside, 1).otherwise(0)
     copies = F.when(s > 0, F.col("copies") + more).otherwise(0).cast("bigint")
     told = rows.withColumn("n", copies)
     return told.select(
         "row.*",
         F.struct("size", "source_size", "target", F.col("n").alias("copies"), (F.col("n") * s).alias("taken")).alias(added),
     )
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """The rows, written, with `_nth`: 0, 1, 2 ... within a source. Rows count up inside their partition,
+    shifted by the source's rows in the partitions before: one line each, however large the source."""
+    kept = cut(rows.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    inner = F.row_number().over(Window.partitionBy("source", "_part").orderBy("_id"))
+    kept = kept.withColumn("_part", part)
+    sizes = kept.groupBy("source", "_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = cut(sizes.select(F.col("source").alias("_s"), F.col("_part").alias("_p"), F.coalesce(before, F.lit(0)).alias("_start")))
+    counted = kept.withColumn("_k", inner).join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p")))
+    return counted.withColumn("_nth", F.col("_start") + F.col("_k") - 1).drop("_id", "_part", "_k", "_s", "_p", "_start")

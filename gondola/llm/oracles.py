@@ -28,7 +28,8 @@ drawn AS (
 ranked AS (
   SELECT *, target - copies * source_size AS rest,
          CASE WHEN target - copies * source_size > 0 THEN
-           u / (1 - u) / (((target - copies * source_size) / source_size) / (1 - (target - copies * source_size) / source_size)) END AS x
+           u / (1 - u) / (((target - copies * source_size) / source_size) / (1 - (target - copies * source_size) / source_size)
+           * CASE WHEN size > 0 THEN sqrt(size::DOUBLE) ELSE 1 END) END AS x
   FROM drawn),
 units AS (
   SELECT source, x / (1 + x) AS q, k, size, sum(size) AS words, any_value(rest) AS rest FROM ranked WHERE rest > 0 GROUP BY ALL),

@@ -166,7 +166,9 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str
 
     found = by_batch(rows, "_x", "x array<double>", work).select("y", "_x.x").toArrow()
     y = found["y"].to_numpy().astype(np.float64)
-    return fit(np.array(found["x"].to_pylist()).reshape(len(y), -1 if len(y) else 1), y, **options)
+    x = np.array(found["x"].to_pylist()).reshape(len(y), -1 if len(y) else 1)
+    order = np.lexsort(np.column_stack([x, y]).T)  # sums of a histogram depend on it
+    return fit(x[order], y[order], **options)
 
 
 def score(docs: DataFrame, model: Trees, *, text: str = "text", added: str = "quality") -> DataFrame:

@@ -32,8 +32,9 @@ def held(folds: int, one: int) -> Column:
 
 
 def op1_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Within a source, a document's inclusion odds grow with the root of its words."""
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
-    mixed = mixing.mix(docs)
+    mixed = mixing.mix(docs, odds=F.sqrt(mixing.word_count()))
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 

@@ -1,8 +1,10 @@
 """Edge rows, defined results and hard cases of each operator."""
 
+import math
 import random
 import re
 import textwrap
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -13,13 +15,13 @@ from llm.conftest import make, prose
 from llm.test_registered import brute_groups, shingles
 from pyspark.sql import functions as F
 
-from gondola.llm import chat, components, decontaminate, language_model, licences, mixing, near_dedup, quality_model, rules, template, token_counts, toxicity
+from gondola.llm import chat, common, components, decontaminate, language_model, licences, mixing, near_dedup, quality_model, rules, template, token_counts, toxicity
 
 BENCHMARK = "item_id bigint, text string"
 
 
 def collected(frame, *columns):
-    return sorted((tuple(r) for r in frame.select(*columns).collect()), key=lambda r: tuple((v is not None, str(v)) for v in r))
+    return sorted((tuple(r) for r in frame.select(*(columns or ["*"])).collect()), key=lambda r: tuple((v is not None, str(v)) for v in r))
 
 
 # --- mixing -----------------------------------------------------------------------------
@@ -57,6 +59,22 @@ def test_better_odds_are_taken_more_often(spark):
     assert abs(sum(count.values()) * 3 - 3000) <= 2
 
 
+def test_a_group_of_repeats_is_split(spark):
+    """4,000 rows of one source without ids, 5 words each; another source of which a third shares its key."""
+    alike = spark.range(4000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'one two three four five' AS text", "'a' AS source", "CAST(id AS STRING) AS note")
+    other = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", "'six seven eight' AS text", "'b' AS source", "'x' AS note")
+    docs = alike.unionByName(other).repartition(7)
+    for share in (0.5, 0.77, 1.5):
+        rows = mixing.mix(docs, weights=(1, 1), share=share).select("doc_id", "source", "note", "mix.*").collect()
+        assert len(rows) == 7000
+        for source, size in (("a", 5), ("b", 3)):
+            own = [r for r in rows if r.source == source]
+            assert abs(sum(r.taken for r in own) - own[0].target) <= size / 2
+            assert {r.taken for r in own} <= {0, size, 2 * size}
+    again = mixing.mix(docs.coalesce(2), weights=(1, 1), share=0.77).select("doc_id", "mix.taken")
+    assert collected(again) == collected(mixing.mix(docs, weights=(1, 1), share=0.77).select("doc_id", "mix.taken"))
+
+
 # --- licences ---------------------------------------------------------------------------
 
 
@@ -247,6 +265,102 @@ def test_trees_learn_an_interaction():
     assert one == pytest.approx(model.score(x[:5])[:1])
 
 
+def plain_trees(model, row):
+    total = model.start
+    for feature, threshold, leaf in zip(model.feature.tolist(), model.threshold.tolist(), model.leaf.tolist()):
+        node = 0
+        while node < len(feature):
+            node = 2 * node + (2 if row[feature[node]] > threshold[node] else 1)
+        total += leaf[node - len(feature)]
+    return 1 / (1 + math.exp(-total))
+
+
+def best_split(x, slope, curve, edges, ridge=1.0, least=2.0):
+    """(gain, feature, threshold) of the best split, tried one by one."""
+    g, h, found = slope.sum(), curve.sum(), (1e-9, None, None)
+    for f in range(x.shape[1]):
+        for e in edges[f]:
+            left = x[:, f] <= e
+            gl, hl = slope[left].sum(), curve[left].sum()
+            if hl >= least and h - hl >= least:
+                gain = gl**2 / (hl + ridge) + (g - gl) ** 2 / (h - hl + ridge) - g**2 / (h + ridge)
+                if gain > found[0] + 1e-9:
+                    found = (gain, f, e)
+    return found
+
+
+def test_trees_equal_plain_ones():
+    random_ = np.random.default_rng(8)
+    x = np.round(random_.random((400, 5)), 2)
+    y = (x[:, 1] + 0.5 * random_.random(400) > 0.8).astype(float)
+    model = quality_model.fit(x, y, trees=12, depth=3)
+    assert model.score(x) == pytest.approx([plain_trees(model, row) for row in x.tolist()])
+    edges = [np.unique(np.quantile(c, np.linspace(0, 1, 65)[1:-1])) for c in x.T]
+    margin = np.full(len(y), model.start)
+    for t in range(3):  # splits and leaves of the first trees, by trying every edge
+        p = 1 / (1 + np.exp(-margin))
+        slope, curve, node = p - y, p * (1 - p), np.zeros(len(y), dtype=int)
+        for k in range(7):
+            here = node == k
+            gain, f, e = best_split(x[here], slope[here], curve[here], edges)
+            if f is None:
+                assert model.threshold[t, k] == np.inf
+            else:
+                left = x[here][:, model.feature[t, k]] <= model.threshold[t, k]  # as good as the best
+                parts = [(slope[here][m].sum(), curve[here][m].sum()) for m in (left, ~left, np.ones(here.sum(), bool))]
+                assert sum((-1 if i == 2 else 1) * g * g / (h + 1) for i, (g, h) in enumerate(parts)) == pytest.approx(gain)
+            node[here] = 2 * k + 1 + (x[here, model.feature[t, k]] > model.threshold[t, k])
+        for leaf in range(8):
+            here = node == 7 + leaf
+            assert model.leaf[t, leaf] == pytest.approx(-0.15 * slope[here].sum() / (curve[here].sum() + 1))
+        margin += model.leaf[t, node - 7]
+
+
+def test_training_order_does_not_matter(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    hot = docs.unionByName(docs.where("doc_id = 3").withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("_k"))
+    for module in (quality_model, toxicity):
+        one, two, three = (module.train(d, labels) for d in (docs.coalesce(1), docs.repartition(6), hot.repartition(3)))
+        for name, value in vars(one).items():
+            if not name.startswith("_"):
+                assert np.array_equal(value, getattr(two, name)) and np.array_equal(value, getattr(three, name)), name
+    assert common.labelled_sample(hot, labels, "doc_id", "quality", 4, 2, 1000).count() <= labels.select("doc_id").distinct().count()
+
+
+def plain_ftrl(rows, y, epochs, alpha, beta, l1, l2, seed):
+    z, n = {}, {}
+
+    def weight(i):
+        a = z.get(i, 0.0)
+        rate = (beta + math.sqrt(n.get(i, 0.0))) / alpha
+        if i == "bias":
+            return -a / rate
+        return 0.0 if abs(a) <= l1 else -(a - math.copysign(l1, a)) / (rate + l2)
+
+    random_ = np.random.default_rng(seed)
+    for _ in range(epochs):
+        for k in random_.permutation(len(rows)):
+            own = [*rows[k].tolist(), "bias"]
+            w = {i: weight(i) for i in own}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y[k]
+            for i in own:
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return weight("bias"), {i: weight(i) for i in z if i != "bias" and weight(i)}
+
+
+def test_ftrl_equals_a_plain_one():
+    random_ = np.random.default_rng(3)
+    rows = [np.unique(random_.integers(0, 60, 8)) for _ in range(150)]
+    y = np.array([float(5 in r or 9 in r) for r in rows])
+    model = toxicity.fit(rows, y, epochs=2, alpha=0.7, beta=1.0, l1=0.8, l2=0.5, seed=4)
+    bias, weights = plain_ftrl(rows, y, 2, 0.7, 1.0, 0.8, 0.5, 4)
+    assert model.bias == pytest.approx(bias) and dict(zip(model.places.tolist(), model.values.tolist())) == pytest.approx(weights)
+    assert 0 < len(weights) < 60
+
+
 def test_ftrl_is_sparse_and_finds_skip_grams():
     texts = [f"{prose(k, 30)} you {'filler' if k % 3 else 'x'} fool {prose(k + 9000, 5)}" if k % 2 else prose(k, 36) + " you and fool apart from" for k in range(600)]
     places = toxicity.features(pa.array(texts))
@@ -376,6 +490,23 @@ def test_expectation_maximisation_finds_the_accuracies():
         assert found.accuracy[name] == pytest.approx(truth[name], abs=0.05)
 
 
+def test_posteriors_equal_plain_ones(spark, odd_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    judged = rules.assess(docs, carry=["doc_id"]).collect()
+    names = list(rules.votes())
+    judgement = rules.estimate(sorted(Counter(tuple(r[n] for n in names) for r in judged).items()), names)
+    for r in judged:
+        good, bad = judgement.good, 1 - judgement.good
+        for name in names:
+            a, b = judgement.accuracy[name]
+            if r[name]:
+                good *= a if r[name] == 1 else 1 - a
+                bad *= 1 - b if r[name] == 1 else b
+        assert r.posterior == pytest.approx(good / (good + bad))
+    kept = {r.row.doc_id for r in judged if r.posterior >= rules.KEEP}
+    assert {r.doc_id for r in rules.keep(docs).collect()} == kept
+
+
 # --- token counts and language model ----------------------------------------------------
 
 
