@@ -16,8 +16,10 @@ each document that holds it linked.
 A pair that every document holds is one row per task of the first pass. No step holds all pairs at once.
 
 The A ids come from the rank form of the vocabulary, which gives the same ids where merges are listed in the
-order of their ids (checked when it is loaded). A B token never reaches from a word into the blank after it
-(checked too), so a text is cut at its blanks and workers remember the ids of short words.
+order of their ids (checked when it is loaded). On neither side does a token reach from a word into the white
+space after it (A's pattern does not; of B's pieces it is looked up, and the few characters for which it does not
+hold, like a carriage return, hold words together), nor from a letter into most punctuation. So a text is linked
+word by word, with the white space before it, and workers remember the links of words: up to `CACHE` characters of them, then they start anew.
 
 Defined results: texts that are null, empty, or not given back byte for byte by both sides have no tokens, so
 zeros and an empty digest. Repeated rows count as documents each. Empty tables give no rows. Special
@@ -45,9 +47,10 @@ from gondola.llm.common import by_batch, cut, shared_folder, texts
 #: Characters that are linked together; pairs a task sums before it hands them on.
 RUN, MERGE = 1 << 20, 2_000_000
 SHARD, LEAST_SHARDS, SLOTS, BRANCHES = 1 << 15, 256, 1 << 16, 16
-#: Words that a worker remembers, and the most characters of one.
-CACHE, SHORT = 500_000, 32
+CACHE = 6_000_000
 BLANK = "▁"
+#: Latin letters, and punctuation before which a word of such letters is linked on its own if no piece forbids it.
+LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", ",.;:!?)\""
 
 DIGEST = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
@@ -67,6 +70,8 @@ class Vocabularies:
     model: bytes
     size_a: int
     size_b: int
+    glue: str  # white space other than a blank that is part of longer pieces
+    marks: str  # punctuation that no piece has after a letter
 
 
 def load(byte_level: str, pieces: str) -> Vocabularies:
@@ -88,16 +93,20 @@ def load(byte_level: str, pieces: str) -> Vocabularies:
         data = file.read()
     reader = sentencepiece.SentencePieceProcessor(model_proto=data)
     size = reader.get_piece_size()
-    if any(re.search(f"[^{BLANK}]{BLANK}", reader.id_to_piece(i)) for i in range(size)):
+    names = [reader.id_to_piece(i) for i in range(size)]
+    if any(re.search(f"[^{BLANK}]{BLANK}", name) for name in names):
         raise ValueError(f"{pieces} has pieces that reach over a blank")
+    glue = "".join(sorted({c for name in names if len(name) > 1 for c in name if c.isspace()}))
+    marks = "".join(c for c in MARKS if not any(re.search(f"[{LETTERS}]{re.escape(c)}", name) for name in names))
+    marks = marks if f"{BLANK}a" in names else ""
     size_a = max(model["vocab"].values()) + 1
     if max(size_a, size) > 1 << 20:
         raise ValueError(f"{max(size_a, size)} tokens are too many")
-    return Vocabularies(ranks, data, size_a, size)
+    return Vocabularies(ranks, data, size_a, size, glue, marks)
 
 
 class Cutter:
-    """Both tokenizers of a worker."""
+    """Both tokenizers of a worker, and the words it has linked: by word, its tokens, groups and links."""
 
     def __init__(self, own: Vocabularies):
         import sentencepiece
@@ -108,81 +117,96 @@ class Cutter:
         self.a_length = np.zeros(own.size_a, dtype=np.int64)
         for token, i in own.ranks.items():
             self.a_length[i] = len(token)
+        self.a_sizes = self.a_length.tolist()
         self.b_bytes = [self._piece(i) for i in range(own.size_b)]
         self.b_length = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
         self.blank = self.b.piece_to_id(BLANK)
-        self.known: dict[str, bytes | None] = {}
         self.size_b = own.size_b
+        # a word with the white space before it, or the last white space; glue holds a word and the next together
+        glue = f"[{re.escape(own.glue)}]" if own.glue else "(?!)"
+        alone = rf"\s*[{LETTERS}]+(?=[ \n{re.escape(own.marks)}])|" if own.marks and "\n" not in own.glue else ""
+        self.word = re.compile(rf"{alone}\s*\S+(?:{glue}\s*\S+)*(?:{glue}\s*\Z)?|\s+")
+        self.marks = own.marks
         # an id and what follows it in the written groups: A's ids first
         self.names = [f"{i}{end}" for i in range(own.size_a) for end in ",|"] + [f"{i}{end}" for i in range(own.size_b) for end in ",;"]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.characters = 0
+        self.written: list[str] = []  # each word's groups, with a semicolon after each
+        self.counts = np.empty((0, 4), dtype=np.int64)  # A tokens, B tokens, groups, links
+        self.pairs = np.empty(0, dtype=np.uint64)
+        self.first = np.zeros(1, dtype=np.int64)  # where each word's pairs begin
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(BLANK, " ").encode()
 
-    def _word(self, word: str) -> bytes | None:
-        """The ids of a word with the blanks before it; None if they don't give its bytes back."""
-        ids = [self.blank] if word == " " else self.b.encode(word[1:], num_threads=1)
-        same = b"".join([self.b_bytes[i] for i in ids]) == word.encode("utf-8", "surrogatepass")
-        return np.array(ids, dtype="<i4").tobytes() if same else None
+    def cut(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """The A and B ids of each word; none on both sides if they don't give its bytes back."""
+        a = [self.a.encode_ordinary(word) for word in words]
+        # B puts a blank before each text; a mark gets a letter too, which it never joins
+        b = self.b.encode([word[1:] if word[0] == " " else f"a{word}" if word[0] in self.marks else word for word in words], num_threads=1)
+        for k, word in enumerate(words):
+            if word == " ":
+                b[k] = [self.blank]
+            elif word[0] != " ":
+                b[k] = b[k][1:]
+            data = word.encode()
+            if b"".join([self.b_bytes[i] for i in b[k]]) != data or sum([self.a_sizes[i] for i in a[k]]) != len(data):
+                a[k], b[k] = [], []
+        return a, b
 
-    def b_ids(self, text: str) -> np.ndarray | None:
-        """The ids of a text that begins with a blank."""
-        found = re.findall(" +[^ ]*", text)
-        known = self.known
+    def learn(self, words: list[str]) -> None:
+        """Links words that are not known yet."""
+        found = link(self, *self.cut(words))
+        counts = np.column_stack([
+            np.diff(found.a_first), np.diff(found.b_first),
+            np.bincount(found.owner[found.last], minlength=len(words)), np.bincount(found.owner, minlength=len(words)),
+        ])
+        pairs = (found.a[found.of_a] * self.size_b + found.b[found.of_b]).astype(np.uint64)
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.characters += sum(map(len, words))
+        self.written += written(self, found)
+        self.counts = np.concatenate([self.counts, counts])
+        self.pairs = np.concatenate([self.pairs, pairs])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts[:, 3])])
+
+    def look(self, run: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(word, text) of a run of texts, each with a blank in front; a text that a side doesn't give back has no words."""
+        if self.characters > CACHE:
+            self.forget()
+        parts = [self.word.findall(" " + text) if text else [] for text in run]
+        flat = [word for part in parts for word in part]
         try:
-            parts = [known[word] for word in found]
+            words = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
         except KeyError:
-            if len(known) > CACHE:
-                known.clear()
-            parts = []
-            for word in found:
-                ids = known[word] if word in known else self._word(word)
-                if len(word) <= SHORT:
-                    known[word] = ids
-                parts.append(ids)
-        if None in parts:
-            return None
-        return np.frombuffer(b"".join(parts), dtype="<i4").astype(np.int64)
-
-    def cut(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """The A and B ids of a blank and the text; None if there are none."""
-        if not text:
-            return None
-        text = " " + text
-        b = self.b_ids(text)
-        if b is None:
-            return None
-        a = np.array(self.a.encode_ordinary(text), dtype=np.int64)
-        size = len(text.encode("utf-8", "surrogatepass"))
-        if int(self.a_length[a].sum()) != size or int(self.b_length[b].sum()) != size:
-            return None
-        return a, b
+            self.learn(list(dict.fromkeys(word for word in flat if word not in self.known)))
+            words = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
+        owner = np.repeat(np.arange(len(run)), [len(part) for part in parts])
+        lost = np.zeros(len(run), dtype=bool)
+        lost[owner[self.counts[words, 0] == 0]] = True
+        return words[~lost[owner]], owner[~lost[owner]]
 
 
 @dataclass
 class Links:
-    """The links of a run of texts: ids of both sides' tokens, and by link its tokens and text."""
+    """The links of words: ids of both sides' tokens, and by link its tokens and word."""
 
     a: np.ndarray
     b: np.ndarray
-    a_first: np.ndarray  # where each text's A tokens begin
+    a_first: np.ndarray  # where each word's A tokens begin
     b_first: np.ndarray
     of_a: np.ndarray  # each link's A token
     of_b: np.ndarray
     owner: np.ndarray
     last: np.ndarray  # whether both sides' tokens end with the link: the end of a group
 
-    @property
-    def texts(self) -> int:
-        return len(self.a_first) - 1
 
-
-def link(cutter: Cutter, run: list[str]) -> Links:
-    none = np.empty(0, dtype=np.int64)
-    parts = [cutter.cut(text) or (none, none) for text in run]
-    a, b = (np.concatenate([none, *x]) for x in zip(*parts))
-    first = [np.concatenate([[0], np.cumsum([len(x) for x in side])]) for side in zip(*parts)]
+def link(cutter: Cutter, ids_a: list[list[int]], ids_b: list[list[int]]) -> Links:
+    a, b = (np.fromiter((i for ids in side for i in ids), dtype=np.int64) for side in (ids_a, ids_b))
+    first = [np.concatenate([[0], np.cumsum([len(ids) for ids in side])]) for side in (ids_a, ids_b)]
     end_a, end_b = np.cumsum(cutter.a_length[a]), np.cumsum(cutter.b_length[b])
     flags = np.zeros(int(end_a[-1]) + 1 if len(a) else 1, dtype=np.uint8)
     flags[end_a] = 1
@@ -190,20 +214,12 @@ def link(cutter: Cutter, run: list[str]) -> Links:
     flags = flags[np.flatnonzero(flags)]
     ends_a, ends_b = flags & 1, flags >> 1
     of_a, of_b = (np.cumsum(x, dtype=np.int64) - x for x in (ends_a, ends_b))
-    owner = np.repeat(np.arange(len(run)), np.diff(first[0]))[of_a] if len(a) else none
+    owner = np.repeat(np.arange(len(ids_a)), np.diff(first[0]))[of_a] if len(a) else a
     return Links(a, b, *first, of_a, of_b, owner, flags == 3)
 
 
-def pairs_by_text(cutter: Cutter, found: Links) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, pair, links) of each text's distinct pairs; a pair is a * size of B + b."""
-    most = np.uint64(len(cutter.a_length) * cutter.size_b)
-    pair = (found.a[found.of_a] * cutter.size_b + found.b[found.of_b]).astype(np.uint64)
-    code, times = np.unique(found.owner.astype(np.uint64) * most + pair, return_counts=True)
-    return (code // most).astype(np.int64), code % most, times
-
-
-def digest(cutter: Cutter, found: Links) -> list[str]:
-    """By text, the hash of its groups written as `a1,a2|b1;a3|b2,b3`."""
+def written(cutter: Cutter, found: Links) -> list[str]:
+    """Each word's groups as `a1,a2|b1;a3|b2,b3;`."""
     size = len(found.a) + len(found.b)
     group = np.cumsum(found.last) - found.last  # of each link
     group_a, group_b = np.empty(len(found.a), np.int64), np.empty(len(found.b), np.int64)
@@ -214,16 +230,34 @@ def digest(cutter: Cutter, found: Links) -> list[str]:
     at_a = np.arange(len(found.a)) + (before_b - many_b)[group_a]
     at_b = np.arange(len(found.b)) + before_a[group_b]
     code = np.empty(size, dtype=np.int64)
-    code[at_a], code[at_b] = found.a * 2, found.b * 2
+    code[at_a], code[at_b] = found.a * 2, found.b * 2 + 2 * len(cutter.a_length)
     code[at_a[before_a - 1]] += 1  # the last A token of a group is followed by a bar, the last B token by a semicolon
     code[at_b[before_b - 1]] += 1
-    side = np.zeros(size, dtype=bool)
-    side[at_b] = True
-    code[side] += 2 * len(cutter.a_length)
+    code, first = code.tolist(), (found.a_first + found.b_first).tolist()
     names = cutter.names
-    first, out = found.a_first + found.b_first, []
-    for low, high in zip(first[:-1].tolist(), first[1:].tolist()):
-        text = "".join([names[k] for k in code[low:high].tolist()])
+    return ["".join([names[k] for k in code[low:high]]) for low, high in zip(first, first[1:])]
+
+
+def pairs_by_text(cutter: Cutter, words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, pair, links) of each text's distinct pairs; a pair is a * size of B + b."""
+    most = int(owner[-1]) + 1 if len(owner) else 1
+    code, times = np.unique(words * most + owner, return_counts=True)  # each word of a text once
+    words, owner = code // most, code % most
+    many = cutter.counts[words, 3]
+    at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(cutter.first[words], many)
+    pair, text, times = cutter.pairs[at], np.repeat(owner, many), np.repeat(times, many)
+    order = np.lexsort((pair, text))
+    pair, text, times = pair[order], text[order], times[order]
+    new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])])) if len(pair) else np.empty(0, np.int64)
+    return text[new], pair[new], np.add.reduceat(times, new) if len(new) else times
+
+
+def digests(cutter: Cutter, words: np.ndarray, owner: np.ndarray, count: int) -> list[str]:
+    """By text, the hash of its groups written as `a1,a2|b1;a3|b2,b3`."""
+    bounds = np.searchsorted(owner, np.arange(count + 1)).tolist()
+    words, known, out = words.tolist(), cutter.written, []
+    for low, high in zip(bounds, bounds[1:]):
+        text = "".join([known[k] for k in words[low:high]])
         out.append(hashlib.sha256(text[:-1].encode()).hexdigest() if text else "")
     return out
 
@@ -232,9 +266,9 @@ _cutters: dict[str, Cutter] = {}
 
 
 def _on_worker(docs: DataFrame, own: Vocabularies):
-    """Gives the worker's tokenizers, one pair a broadcast."""
+    """Gives the worker's tokenizers; both passes find the same ones."""
     sent = docs.sparkSession.sparkContext.broadcast(own)
-    name = str(sent._jbroadcast.id())
+    name = hashlib.sha256(own.model + b"".join(own.ranks)).hexdigest()
 
     def cutter() -> Cutter:
         if name not in _cutters:
@@ -286,7 +320,7 @@ def _pair_counts(cutter, text: str):
         waiting = 0
         for batch in batches:
             for run in _runs(batch.column(text)):
-                pair, k = np.unique(pairs_by_text(cutter(), link(cutter(), run))[1], return_counts=True)
+                pair, k = np.unique(pairs_by_text(cutter(), *cutter().look(run))[1], return_counts=True)
                 kept.append((pair, k.astype(np.int64)))
                 waiting += len(pair)
                 if waiting > MERGE:
@@ -446,17 +480,17 @@ def align(docs: DataFrame, own: Vocabularies, counts: Counts, *, text: str = "te
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
         parts = []
         for run in _runs(batch.column(text)):
-            found = link(cutter(), run)
-            owner, pair, times = pairs_by_text(cutter(), found)
+            words, texts_of = cutter().look(run)
+            owner, pair, times = pairs_by_text(cutter(), words, texts_of)
             distinct, back = np.unique(pair, return_inverse=True)
             value = counts.of(distinct)
             best = value == counts.top[(distinct // np.uint64(own.size_b)).astype(np.int64)]
-            sums = np.zeros((2, found.texts), dtype=np.int64)
-            np.add.at(sums[0], owner, times * best[back])
-            np.add.at(sums[1], owner, times * value[back])
-            groups = np.bincount(found.owner[found.last], minlength=found.texts)
-            links = np.bincount(found.owner, minlength=found.texts)
-            parts.append([np.diff(found.a_first), np.diff(found.b_first), groups, links, *sums, digest(cutter(), found)])
+            sums = np.zeros((6, len(run)), dtype=np.int64)
+            for row, values in zip(sums, cutter().counts[words].T):
+                np.add.at(row, texts_of, values)
+            np.add.at(sums[4], owner, times * best[back])
+            np.add.at(sums[5], owner, times * value[back])
+            parts.append([*sums, digests(cutter(), words, texts_of, len(run))])
         return [pa.array(np.concatenate(x)) if not isinstance(x[0], list) else pa.array(sum(x, [])) for x in zip(*parts)]
 
     return by_batch(docs, added, DIGEST, work)
