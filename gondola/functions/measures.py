@@ -13,7 +13,7 @@ def units(value: Column, scale: int | None) -> Column:
     if scale is None:
         return value
     scaled = value * 10**scale
-    near = F.abs(scaled - F.round(scaled)) <= 1e-4 + F.abs(scaled) * 1e-12
+    near = F.abs(scaled - F.rint(scaled)) <= 1e-4 + F.abs(scaled) * 1e-12
     exact = near & (F.abs(scaled) < 2.0**53)
     return F.when(value.isNull() | exact, F.floor(scaled + 0.5)).otherwise(
         F.raise_error(F.format_string("price %s does not fit a scale of %s", value.cast("string"), F.lit(str(scale)))).cast("bigint")

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, functions as F
 
 from gondola.functions import calendar, parsing
-from gondola.operators import scale
+from gondola.operators import scale, skew
 
 
 class Dimension:
@@ -43,6 +43,13 @@ class Dimension:
         return F.broadcast(narrow) if self.small else narrow
 
 
+    def match(self, rows: DataFrame, *columns, how: str = "inner") -> DataFrame:
+        """rows joined to key and chosen columns: by broadcast if measured small enough, otherwise by a
+        shuffle that splits keys measured hot."""
+        side = self.side(*columns)
+        return rows.join(side, self.key, how) if self.small else skew.join(rows, side, self.key, how)
+
+
 @dataclass(frozen=True)
 class Mart:
     """Fact and dimensions. price_scale is the number of decimals prices are known to
@@ -68,8 +75,8 @@ def fact_prices(
     Observations of unknown products or stores and those without a date are left out. The
     product join adds nothing but existence, hence a semi join. Stores and locations have the
     same key and are put together first, so that the observations are joined to them once; each
-    join of a dimension too large to broadcast thus has a shuffle of its own, whose hot
-    partitions the engine can split. The date key is computed from the date; pass `times` to
+    join of a dimension too large to broadcast thus has a shuffle of its own, in which the
+    keys that a count sketch finds hot are split. The date key is computed from the date; pass `times` to
     also restrict the fact to a given calendar.
     """
     typed = prices.withColumns(
@@ -82,10 +89,8 @@ def fact_prices(
     places = locations.side("ubicacion_id").join(stores.side(), "establecimiento_id", "left_semi")
     if times is not None:
         typed = typed.join(times.side(), "fecha", "left_semi")
-    return (
-        typed.join(products.side(), "producto_id", "left_semi")
-        .join(F.broadcast(places) if locations.small else places, "establecimiento_id")
-        .select(
-            "fecha_id", "producto_id", "establecimiento_id", "ubicacion_id", "precio", "oferta", "fecha"
-        )
+    known = products.match(typed, how="left_semi")
+    placed = known.join(F.broadcast(places), "establecimiento_id") if locations.small else skew.join(known, places, "establecimiento_id")
+    return placed.select(
+        "fecha_id", "producto_id", "establecimiento_id", "ubicacion_id", "precio", "oferta", "fecha"
     )

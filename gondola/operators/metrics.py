@@ -42,6 +42,28 @@ def with_previous(rows: DataFrame, series: str, order: list[str], value: str, na
     return rows.withColumn(name, F.lag(value).over(Window.partitionBy(series).orderBy(*order)))
 
 
+def carried(rows: DataFrame, series: str, order: list[str], value: str) -> DataFrame:
+    """The last row of each series: all that the changes of later periods need of the past."""
+    return rows.groupBy(series).agg(F.max(F.struct(*order, value)).alias("_u")).select(series, "_u.*")
+
+
+def with_carried(rows: DataFrame, past: DataFrame, series: str, order: list[str], value: str, name: str) -> DataFrame:
+    """with_previous of the rows of new periods, all later than what `past` (from `carried`) stands
+    for; equal to it over the whole history, of which nothing else is read. A series that only the
+    past has gives no row; its state stays in past."""
+    known = past.select(series, F.struct(*order).alias("_o"), value, F.lit(True).alias("_v"))
+    new = rows.withColumns({"_o": F.struct(*order), "_v": F.lit(False)})
+    whole = new.unionByName(known, allowMissingColumns=True)
+    before = F.lag(value).over(Window.partitionBy(series).orderBy("_o"))
+    return whole.withColumn(name, before).filter("NOT _v").drop("_o", "_v")
+
+
+def advance(past: DataFrame, rows: DataFrame, series: str, order: list[str], value: str) -> DataFrame:
+    """The carried rows after the new periods: the two merge like any last rows."""
+    columns = [series, *order, value]
+    return carried(past.select(columns).unionByName(rows.select(columns)), series, order, value)
+
+
 def variation_by_name(prices: DataFrame) -> DataFrame:
     """Monthly change per product name; the first month of a series has none."""
     months = prices.select(*NAME_KEYS, F.col("precio_promedio").alias("precio_mes"))
@@ -112,28 +134,25 @@ def price_extremes(mart: Mart, monthly: DataFrame | None = None) -> DataFrame:
     """Monthly extremes per product id with the store that had them.
 
     Among stores sharing an extreme price the smallest name is given, a missing name only
-    when all of them lack one. The figures are numeric aggregates over states dealt out once
-    by product and month; only the states at an extreme then look their store's name up.
+    when all of them lack one. A state that knows its store's name merges with others like the
+    sums do: of two, the lower price with its name stays, and the higher one. So one
+    aggregation of the states gives figures and names, without going back to the states.
     """
     monthly = cube.monthly_cube(mart) if monthly is None else monthly
     keys = ["producto_id", "anio", "mes"]
-    dealt = monthly.join(mart.stores.side(), "establecimiento_id", "left_semi").repartition(*keys)
-    figures = cube.roll_up(dealt, *keys).select(*keys, *[F.col(c).alias(f"_{c}") for c in cube.STATE])
-    won = dealt.join(figures, keys).filter("bajo = _bajo OR alto = _alto")
-    named = won.join(mart.stores.side(F.col("nombre").alias("local")), "establecimiento_id")
-    missing = F.col("local").isNull()
-    of = lambda hit: F.min(F.when(F.expr(hit), F.struct(missing.alias("falta"), "local")))
+    named = monthly.join(mart.stores.side(F.col("nombre").alias("local")), "establecimiento_id")
+    at = lambda price: F.min(F.struct(price.alias("precio"), F.col("local").isNull().alias("falta"), "local"))
     extremes = named.groupBy(*keys).agg(
-        of("bajo = _bajo").alias("barato"), of("alto = _alto").alias("caro"),
-        *[F.first(f"_{c}").alias(c) for c in cube.STATE],
+        F.sum("n").alias("n"), measures.total(F.col("total")).alias("total"),
+        at(F.col("bajo")).alias("barato"), at(-F.col("alto")).alias("caro"),
     )
     return extremes.join(
         mart.products.side(F.col("nombre").alias("producto_nombre")), "producto_id"
     ).select(
         *ID_KEYS,
-        F.col("bajo").alias("precio_minimo"),
+        F.col("barato.precio").alias("precio_minimo"),
         F.col("barato.local").alias("establecimiento_mas_barato"),
-        F.col("alto").alias("precio_maximo"),
+        (-F.col("caro.precio")).alias("precio_maximo"),
         F.col("caro.local").alias("establecimiento_mas_caro"),
         (measures.money(F.col("total"), mart.price_scale) / F.col("n")).alias("precio_promedio"),
     )

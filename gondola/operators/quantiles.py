@@ -5,20 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gondola.functions import measures
+from gondola.operators import scale
 
-# Equal steps of a sketch, and the sketch's accuracy: its rank error, rows / ACCURACY, is well inside a step.
-STEPS = 2_000
+# The sketch's accuracy: its rank error is at most rows / ACCURACY. Cells that a bracket is cut into.
 ACCURACY = 20_000
+STEPS = 2_000
 
 FIGURES = ("n", "media", "desviacion", "minimo", "maximo")
 
 
-def steps(value: Column | str, count: int = STEPS, accuracy: int = ACCURACY) -> Column:
-    """Sketch of the 0, 1/count, ... 1 quantiles of a numeric column, ascending, as an array."""
-    shares = F.expr(f"array({', '.join(f'{k / count}D' for k in range(count + 1))})")
-    return F.percentile_approx(value, shares, accuracy)
-
-
 def attach(rows: DataFrame, figures: DataFrame, by: list[str]) -> DataFrame:
     """The rows with their group's figures; without groups a scalar subquery, not a join."""
     if by:
@@ -27,11 +22,25 @@ def attach(rows: DataFrame, figures: DataFrame, by: list[str]) -> DataFrame:
     return rows.withColumns({c: found[c] for c in figures.columns})
 
 
-def _around(sketch: Column, rank: Column, size: Column, count: int) -> Column:
-    """Values two steps or more to either side of the rank (0 for the smallest value) among `size` values."""
-    at = rank / F.greatest(size, F.lit(1)) * count
-    low, high = F.greatest(F.floor(at) - 2, F.lit(0)), F.least(F.ceil(at) + 3, F.lit(count))
-    return F.struct(F.get(sketch, low.cast("int")).alias("lo"), F.get(sketch, high.cast("int")).alias("hi"))
+def _brackets(n: Column, sketch: Column, count: int, accuracy: int) -> Column:
+    """Per probability the values (lo, hi) between which its rank lies. In groups of few rows, where the
+    sketch's error is no whole rank, that is everything."""
+    few = n < 4 * accuracy
+    ends = lambda k: (F.when(few, F.col("minimo")).otherwise(sketch[2 * k]), F.when(few, F.col("maximo")).otherwise(sketch[2 * k + 1]))
+    return F.array(*[F.struct(lo.alias("lo"), hi.alias("hi")) for lo, hi in map(ends, range(count))])
+
+
+def _cell(value: Column, count: int, steps: int) -> tuple[Column, Column]:
+    """(zone, cell) of a value: both rise with it, and a value outside of all brackets has no cell.
+
+    Zones are what the ends of the brackets part the line into; in a zone, the first bracket around
+    it is cut into equal steps."""
+    zone, cell = F.lit(0), F.lit(None).cast("int")
+    for k in reversed(range(count)):
+        lo, hi = F.col("_w")[k]["lo"], F.col("_w")[k]["hi"]
+        zone = zone + (value >= lo).cast("int") + (value > hi).cast("int")
+        cell = F.when((value >= lo) & (value <= hi), measures.bin_index(value, lo, hi, steps)).otherwise(cell)
+    return zone, cell
 
 
 def exact_quantiles(
@@ -40,53 +49,53 @@ def exact_quantiles(
     """One row per group: FIGURES and `cuantiles`, an array with one linearly interpolated
     quantile per probability. Nulls and NaN are left out.
 
-    The same three passes for every size. A sketch brackets the rank of each quantile within
-    five of its `count` steps; a second sketch of the rows inside does the same again and counts
-    the rows below; then the rows inside the last bracket, at most 25 in count**2 of the group,
-    are counted per value and walked in order. Rows below a bracket are a count and rows above
-    it a minimum, so no pass carries a group to one task. A sketch's rank error is bounded, and
-    the steps to spare on both sides exceed it, so a bracket always holds its rank.
+    Two passes over the rows, for every size. The first takes the figures and a sketch, whose
+    values a little below and above each probability bracket its rank: the distance is twice the
+    sketch's error. The second counts each row once, by its value inside a bracket and by its zone
+    outside, map-side first; a bracket holds some 4 in ACCURACY of a group. What was counted is kept, and cut
+    into `count` cells a bracket: a running count over the cells finds the one with the rank, and only
+    that cell's values are walked in order. So neither a group nor a bracket is sorted by one task.
     """
-    data = rows.filter(measures.is_number(F.col(value))).select(*by, F.col(value).alias("_v"))
+    slack = 2 / accuracy
+    keys = by or ["_g"]
+    order = sorted(set(map(float, probabilities)))
+    shares = [min(max(p + d, 0.0), 1.0) for p in order for d in (-slack, slack)]
+    data = rows.filter(measures.is_number(F.col(value))).select(*by, F.col(value).cast("double").alias("_v"))
+    sketch = F.percentile_approx("_v", F.array(*map(F.lit, shares)), accuracy)
     figures = data.groupBy(*by).agg(
         F.count("*").alias("n"),
         F.avg("_v").alias("media"),
         F.stddev_samp("_v").alias("desviacion"),
         F.min("_v").alias("minimo"),
         F.max("_v").alias("maximo"),
-        steps("_v", count, accuracy).alias("_s"),
+        sketch.alias("_s"),
     ).filter("n > 0")
-    ranks = [F.floor(F.lit(float(p)) * (F.col("n") - 1)) for p in probabilities]
-    wide = figures.select(*by, F.array(*[_around(F.col("_s"), r, F.col("n"), count) for r in ranks]).alias("_w"))
-    below = F.count_if(F.col("_v") < F.col("_e.lo"))
-    in_wide = F.when(F.col("_v") >= F.col("_e.lo"), F.col("_v"))
-    second = (
-        attach(data, wide, by)
-        .select(*by, "_v", F.posexplode("_w").alias("_i", "_e"))
-        .filter("_v <= _e.hi")
-        .groupBy(*by, "_i")
-        .agg(below.alias("_b"), F.count(in_wide).alias("_k"), steps(in_wide, count, accuracy).alias("_s"))
-    )
-    rank = F.floor(F.element_at(F.array(*[F.lit(float(p)) for p in probabilities]), F.col("_i") + 1) * (F.col("n") - 1))
-    with_n = attach(second, figures.select(*by, "n"), by)
-    close = with_n.select(*by, "_i", _around(F.col("_s"), rank - F.col("_b"), F.col("_k"), count).alias("_e"))
-    narrow = close.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_i", "_e"))).alias("_w"))
-    inside = F.col("_v").between(F.col("_e.lo"), F.col("_e.hi"))
-    counted = (
-        attach(data, narrow, by)
-        .select(*by, "_v", F.inline("_w"))
-        .withColumn("_zona", F.when(F.col("_v") < F.col("_e.lo"), 0).when(inside, 1).otherwise(2))
-        .groupBy(*by, "_i", "_zona", F.when(inside, F.col("_v")).alias("_x"))
+    marked = lambda frame: frame if by else frame.withColumn("_g", F.lit(0))
+    figures = scale.cut(marked(figures))
+    brackets = figures.select(*by, _brackets(F.col("n"), F.col("_s"), len(order), accuracy).alias("_w"))
+    zone, cell = _cell(F.col("_v"), len(order), count)
+    placed = attach(data, brackets, by).select(*by, "_v", zone.alias("_zona"), cell.alias("_celda"))
+    counted = scale.cut(marked(
+        placed.groupBy(*by, "_zona", "_celda", F.when(F.col("_celda").isNotNull(), F.col("_v")).alias("_x"))
         .agg(F.count("*").alias("_filas"), F.min("_v").alias("_m"))
-    )
-    upto = Window.partitionBy(*by, "_i").orderBy("_zona", "_x").rowsBetween(Window.unboundedPreceding, 0)
-    reached = attach(counted.withColumn("_hasta", F.sum("_filas").over(upto)), figures.select(*by, "n"), by)
-    position = F.element_at(F.array(*[F.lit(float(p)) for p in probabilities]), F.col("_i") + 1) * (F.col("n") - 1)
-    reached = reached.withColumn("_pos", position)
-    at = lambda k: F.min(F.when((F.col("_zona") > 0) & (F.col("_hasta") > F.floor("_pos") + k), F.col("_m")))
-    found = reached.groupBy(*by, "_i").agg(at(0).alias("_a"), at(1).alias("_c"), F.first("_pos").alias("_pos"))
-    between = F.col("_a") + (F.col("_pos") - F.floor("_pos")) * F.coalesce(F.col("_c") - F.col("_a"), F.lit(0.0))
-    gathered = found.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_i", between.alias("q")))).alias("_q"))
-    answer = gathered.select(*by, F.col("_q.q").alias("cuantiles"))
-    told = figures.select(*by, *FIGURES)
-    return told.join(answer, by) if by else attach(told, answer.limit(1), by)
+    ))
+    place = [*keys, "_zona", F.coalesce("_celda", F.lit(-1)).alias("_celda")]
+    counted = counted.select(*place, "_filas", "_m")
+    cells = counted.groupBy(*keys, "_zona", "_celda").agg(F.sum("_filas").alias("_filas"))
+    earlier = Window.partitionBy(*keys).orderBy("_zona", "_celda").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_antes", F.coalesce(F.sum("_filas").over(earlier), F.lit(0)))
+    position = [F.lit(float(p)) * (F.col("n") - 1) for p in probabilities]
+    wanted = [F.struct(F.lit(i).alias("_i"), F.lit(d).alias("_d"), (F.floor(at) + d).alias("_rango")) for i, at in enumerate(position) for d in (0, 1)]
+    ranks = figures.select(*keys, F.inline(F.array(*wanted)))
+    reached = cells.join(ranks, keys).filter("_antes <= _rango AND _rango < _antes + _filas").drop("_filas")
+    upto = Window.partitionBy(*keys, "_i", "_d").orderBy("_m").rowsBetween(Window.unboundedPreceding, 0)
+    walked = reached.join(counted, [*keys, "_zona", "_celda"]).withColumn("_hasta", F.col("_antes") + F.sum("_filas").over(upto))
+    at = lambda d: F.min(F.when((F.col("_hasta") > F.col("_rango")) & (F.col("_d") == d), F.col("_m")))
+    found = walked.groupBy(*keys, "_i").agg(at(0).alias("_a"), at(1).alias("_c"))
+    gathered = found.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", "_a", "_c"))).alias("_q"))
+    share = lambda i, at: at - F.floor(at)
+    between = [
+        F.col("_q")[i]["_a"] + share(i, at) * F.coalesce(F.col("_q")[i]["_c"] - F.col("_q")[i]["_a"], F.lit(0.0))
+        for i, at in enumerate(position)
+    ]
+    return figures.join(gathered, keys).select(*by, *FIGURES, F.array(*between).alias("cuantiles"))

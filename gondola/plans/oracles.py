@@ -211,6 +211,22 @@ oracle(
     puestas AS (SELECT *, rank() OVER (PARTITION BY d, p, s ORDER BY t DESC, f = '' DESC, f DESC) AS lugar FROM fuentes)
     SELECT CAST(oferta AS INT) AS oferta, count(*) AS filas, min(precio) AS minimo FROM puestas WHERE lugar = 1 GROUP BY oferta""",
 )
+oracle(
+    "variation_daily_carried", "por_dia",
+    """SELECT * EXCLUDE (anterior) FROM (SELECT producto_id, producto_nombre, fecha, precio_promedio,
+    lag(precio_promedio) OVER (PARTITION BY producto_id ORDER BY fecha) AS anterior,
+    (precio_promedio - anterior) / anterior * 100 AS variacion_diaria_pct FROM por_dia)
+    WHERE anterior IS NOT NULL AND year(fecha) >= 1998""",
+)
+oracle(
+    "distinct_products_rollup", "obs lugar",
+    """SELECT anio, count(DISTINCT producto_id) AS productos, TRUE AS cerca FROM obs JOIN lugar USING (establecimiento_id) GROUP BY anio""",
+)
+oracle(
+    "fact_prices_salted", "obs prod",
+    """SELECT producto_id, marca, count(*) AS filas, max(precio) AS precio_maximo
+    FROM (SELECT CASE WHEN day(fecha) <= 10 THEN 1 ELSE producto_id END AS producto_id, precio FROM obs) JOIN prod USING (producto_id) GROUP BY ALL""",
+)
 oracle(
     "cube_incremental", "obs",
     f"""SELECT anio, mes, count(*) AS num_observaciones, min(precio) AS precio_minimo, max(precio) AS precio_maximo,

@@ -14,9 +14,9 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gondola.functions import parsing
+from gondola.functions import measures, parsing
 from gondola.operators import (
-    basket, cleaning, cube, dashboard, dimensions, facts, metrics, ownership, profile, quality, ranking, scale,
+    basket, cleaning, cube, dashboard, dimensions, facts, metrics, ownership, profile, quality, ranking, scale, skew,
 )
 from gondola.operators.facts import Mart
 from gondola.plans import jobs, tables
@@ -321,6 +321,40 @@ on_mart("basket_cost_variation", lambda m: basket.cost_variation(costs(m)))
 on_mart("store_ranking_sum", ranked)
 
 
+@query
+def variation_daily_carried(spark, folder):
+    """Daily changes from FIRST_YEAR on, of which only each product's last earlier day is known."""
+    prices = scale.cut(cube.by_product_day(tables.mart(spark, folder)).select("producto_id", "producto_nombre", "fecha", "precio_promedio"))
+    new = F.year("fecha") >= FIRST_YEAR
+    of = ("producto_id", ["fecha"], "precio_promedio")
+    past = metrics.advance(metrics.carried(prices.filter(F.year("fecha") < FIRST_YEAR - 1), *of), prices.filter(F.year("fecha") == FIRST_YEAR - 1), *of)
+    found = metrics.with_carried(prices.filter(new), past, *of, "anterior")
+    change = measures.pct_change(F.col("precio_promedio"), F.col("anterior"))
+    return found.withColumn("variacion_diaria_pct", change).filter("variacion_diaria_pct IS NOT NULL").drop("anterior")
+
+
+@query
+def distinct_products_rollup(spark, folder):
+    """Products priced per year: exact, and whether what is rolled up from states by region is within 4 %."""
+    mart = tables.mart(spark, folder)
+    priced = cube.attach(cube.observations(mart), mart.locations, ["anio", "producto_id"], departamento="departamento")
+    states = profile.distinct_states(priced, ["anio", "departamento"], "producto_id")
+    about = profile.distinct_rollup(states, ["anio"])
+    exact = priced.groupBy("anio").agg(F.count_distinct("producto_id").alias("productos"))
+    near = F.abs(F.col("distintos") - F.col("productos")) <= 0.04 * F.col("productos")
+    return exact.join(about, "anio").select("anio", "productos", near.alias("cerca"))
+
+
+@query
+def fact_prices_salted(spark, folder):
+    """Rows and units per product of a fact of which one product has a third, joined by a shuffle
+    with hot keys split."""
+    prices = tables.prices(spark, folder)
+    hot = prices.withColumn("producto_id", F.when(F.dayofmonth("fecha") <= 10, F.lit(1)).otherwise(F.col("producto_id")))
+    found = skew.join(hot, tables.dim_product(spark, folder).select("producto_id", "marca"), "producto_id")
+    return found.groupBy("producto_id", "marca").agg(F.count("*").alias("filas"), F.max("precio").alias("precio_maximo"))
+
+
 @query
 def basket_cost_avg(spark, folder):
     found = basket.cost_by_average(tables.mart(spark, folder), BASKET, "nombre")
@@ -600,7 +634,7 @@ on_mart("dispersion_bands", lambda m: dashboard.dispersion_bands(dispersion(m)))
 @query
 def exec_summary(spark, folder):
     mart = tables.mart(spark, folder)
-    found = dashboard.executive_summary(combined(mart), costs(mart))
+    found = dashboard.executive_summary(scale.cut(combined(mart)), scale.cut(costs(mart)))
     return rounded(
         found, 6, "precio_promedio_general", "variacion_promedio", "dispersion_promedio",
         "dispersion_mediana", "costo_promedio", "costo_diferencia", "diferencia_precio", "diferencia_pct",

@@ -100,3 +100,59 @@ def test_overwritten_dimension_is_measured_again(spark, tmp_path):
     for rows_now in (3, 5_000):
         spark.range(rows_now).write.mode("overwrite").parquet(path)
         assert Dimension(lambda: spark.read.parquet(path), "id").rows == rows_now
+
+
+def test_hot_keys_are_split(spark):
+    """A third of the rows has one key, another key a tenth; no broadcast, no splitting by the engine."""
+    from gondola.operators import skew
+
+    for name, value in {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}.items():
+        spark.conf.set(name, value)
+    try:
+        rows_ = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 10 = 1 THEN 8 WHEN id % 97 = 2 THEN NULL ELSE id % 5000 END AS k", "id AS v").repartition(8)
+        side = spark.range(4_000).selectExpr("id AS k", "id * 2 AS w").unionAll(spark.sql("SELECT 7L, -1L"))
+        assert set(skew.hot_keys(rows_, "k")) == {7, 8}
+        found = skew.join(rows_, side, "k")
+        plain = rows_.join(side, "k")
+        assert rows(found.select("k", "v", "w")) == rows(plain.select("k", "v", "w"))
+        semi = skew.join(rows_, side, "k", "left_semi")
+        assert rows(semi.select("k", "v")) == rows(rows_.join(side, "k", "left_semi").select("k", "v"))
+        sizes = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+        worst = sorted(r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect())
+        assert worst[-1] > 4 * worst[len(worst) // 2]
+        assert rows(skew.join(side, side.withColumnRenamed("w", "x"), "k").select("k", "x")) == rows(side.join(side.withColumnRenamed("w", "x"), "k").select("k", "x"))
+        assert skew.hot_keys(rows_.limit(0), "k") == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_large_dimensions_give_the_same_fact(spark, small_mart, monkeypatch):
+    from gondola.operators import facts
+
+    text = small_mart.fact.selectExpr("fecha", "CAST(producto_id AS STRING) producto_id", "CAST(establecimiento_id AS STRING) establecimiento_id", "precio", "oferta")
+    small = rows(facts.fact_prices(text, small_mart.products, small_mart.stores, small_mart.locations))
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", 0)
+    assert rows(facts.fact_prices(text, small_mart.products, small_mart.stores, small_mart.locations)) == small != []
+
+
+def test_carried_states_equal_the_whole_window(spark):
+    from gondola.operators import metrics
+
+    of = ("s", ["y", "m"], "v")
+    data = [(s, 2020 + k // 12, k % 12 + 1, float(k * 7 % 11)) for s in ("a", "b", None) for k in range(30) if (k * (3 if s else 5)) % 7]
+    history = spark.createDataFrame([*data, ("new", 2022, 6, 1.0), ("old", 2020, 1, 2.0)], "s string, y int, m int, v double")
+    whole = metrics.with_previous(history, *of, "p").filter("y = 2022")
+    past = metrics.advance(metrics.carried(history.filter("y = 2020"), *of), history.filter("y = 2021"), *of)
+    assert rows(past) == rows(metrics.carried(history.filter("y < 2022"), *of))
+    found = metrics.with_carried(history.filter("y = 2022"), past, *of, "p")
+    assert found.columns == whole.columns and rows(found) == rows(whole)
+    assert rows(metrics.with_carried(history, past.limit(0), *of, "p")) == rows(metrics.with_previous(history, *of, "p"))
+
+
+def test_distinct_states_merge(spark):
+    table = spark.range(30_000).selectExpr("id % 3 AS a", "id % 7 AS b", "id % 5000 AS v")
+    found = profile.distinct_rollup(profile.distinct_states(table, ["a", "b"], "v"), ["a"]).collect()
+    assert len(found) == 3 and all(abs(r.distintos - 5000) <= 200 for r in found)
