@@ -5,12 +5,14 @@ bytes in a linked list, and the neighbours whose joined bytes have the lowest ra
 first, until no neighbours have a rank. The queue has a bucket of positions for each rank that is waiting
 and a bitmap of such ranks in three levels of 64-bit words: find-first-set in each level gives the next
 rank, whatever the number of positions. Merging leaves entries of former neighbours behind; an entry counts
-only if its position still has that rank. So a pre-token of n bytes takes O(n log n) steps at most (the
-logarithm for the order inside a bucket), which keeps a text without any blank cheap.
+only if its position still has that rank. A bucket is taken whole and sorted; if a merge gives rise to a lower rank, the
+rest of it goes back. So n bytes take O(n log n) steps at most (the logarithm for the order inside a bucket),
+which keeps a text without any blank cheap. The pre-tokens of some texts that are not known yet share one
+queue: their lists are apart, so they don't disturb each other.
 
-Workers remember the ids of short pre-tokens (up to `CACHE` of them, then they start anew); long ones are
-encoded each time. Texts never meet in a shuffle. A text is taken in parts of `PART` pre-tokens, so memory
-follows the text and not the number of its tokens.
+Workers remember the ids of short pre-tokens: those met since, or among, the last `CACHE` new ones; long ones
+are encoded each time. Texts never meet in a shuffle. A text of over `PART` characters is taken in parts, so
+memory follows the text and not the number of its tokens.
 
 Defined results: a null or empty text has no ids. Repeated rows count alike. Bytes that are not UTF-8 are
 read as U+FFFD. Empty tables give no rows. A column that is called like `added` is replaced.
@@ -20,9 +22,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
-from heapq import heappop, heappush
-from itertools import islice
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,10 @@ from gondola.llm.common import by_batch, texts
 
 #: The pattern that parts pre-tokens for the public rank files. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pre-tokens that a worker remembers, and the most characters of one.
-CACHE, SHORT = 500_000, 32
-#: Pre-tokens that are encoded together; texts of fewer characters than that are cut in one call.
-PART = 1 << 18
+#: New pre-tokens after which a worker forgets what it has not met meanwhile, and the most characters of one.
+CACHE, SHORT = 600_000, 32
+#: Characters of texts that are encoded together, and pre-tokens of a part of a longer text.
+PART = 1 << 19
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -51,7 +52,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by rank: the lowest rank first, in it the lowest position."""
+    """Positions by rank, the lowest rank first."""
 
     def __init__(self, ranks: int):
         words = (ranks >> 6) + 1
@@ -60,34 +61,32 @@ class RankQueue:
         self.mid = [0] * ((words >> 6) + 1)
         self.top = 0
 
-    def push(self, rank: int, position: int) -> None:
+    def put(self, rank: int, positions: list[int]) -> None:
         bucket = self.buckets.get(rank)
         if bucket is not None:
-            heappush(bucket, position)
+            bucket += positions
             return
-        self.buckets[rank] = [position]
+        self.buckets[rank] = positions
         word = rank >> 6
         self.low[word] |= 1 << (rank & 63)
         self.mid[word >> 6] |= 1 << (word & 63)
         self.top |= 1 << (word >> 6)
 
-    def pop(self) -> tuple[int, int]:
-        """The next rank and position; the queue must not be empty (`top` is 0 then)."""
+    def take(self) -> tuple[int, list[int]]:
+        """The next rank and its positions in order; the queue must not be empty (`top` is 0 then)."""
         group = (self.top & -self.top).bit_length() - 1
         word = self.mid[group]
         word = group << 6 | (word & -word).bit_length() - 1
         bits = self.low[word]
         rank = word << 6 | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[word] = bits = bits & (bits - 1)
-            if not bits:
-                self.mid[group] &= self.mid[group] - 1
-                if not self.mid[group]:
-                    self.top &= self.top - 1
-        return rank, position
+        self.low[word] = bits = bits & (bits - 1)
+        if not bits:
+            self.mid[group] &= self.mid[group] - 1
+            if not self.mid[group]:
+                self.top &= self.top - 1
+        bucket = self.buckets.pop(rank)
+        bucket.sort()
+        return rank, bucket
 
 
 class Encoder:
@@ -100,82 +99,130 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.bytes = {rank: token for token, rank in ranks.items()}
         self.queue = RankQueue(max(ranks.values()) + 1)
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.double = np.full(1 << 16, -1, dtype=np.int64)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.double[token[0] << 8 | token[1]] = rank
         self.known: dict[str, bytes] = {}
-
-    def merge(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token's bytes."""
-        ranks, size = self.ranks, len(piece)
-        if piece in ranks:
-            return [ranks[piece]]
-        push, pop, queue = self.queue.push, self.queue.pop, self.queue
-        end = list(range(1, size + 1))  # where the token that begins at a position ends: the next one's position
-        before = list(range(-1, size - 1))
-        pair = [-1] * size  # rank of the token at a position joined with the next
-        for p in range(size - 1):
-            rank = ranks.get(piece[p : p + 2])
-            if rank is not None:
-                pair[p] = rank
-                push(rank, p)
+        self.before: dict[str, bytes] = {}  # what was known when `known` was emptied last
+        self.long: dict[str, bytes] = {}
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token's bytes, as unsigned 32-bit integers."""
+        get, queue, waiting = self.ranks.get, self.queue, self.queue.buckets
+        data = b"".join(pieces)
+        stops = np.cumsum([len(piece) for piece in pieces])
+        raw = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
+        pair = np.append(self.double[raw[:-1] << 8 | raw[1:]], -1)
+        pair[stops - 1] = -1
+        at = np.flatnonzero(pair >= 0)
+        at = at[np.argsort(pair[at], kind="stable")]
+        ranks, low = np.unique(pair[at], return_index=True)
+        for rank, positions in zip(ranks.tolist(), np.split(at, low[1:])):
+            queue.put(rank, positions.tolist())
+        begins = bytearray(len(data) + 1)  # whether a pre-token begins
+        begins[0] = 1
+        for stop in stops.tolist():
+            begins[stop] = 1
+        token, pair = self.single[raw].tolist(), pair.tolist()
+        end = list(range(1, len(data) + 1))  # where the token that begins at a position ends: the next one's position
+        before = list(range(-1, len(data) - 1))
+        alive = bytearray(b"\1") * len(data)
         while queue.top:
-            rank, p = pop()
-            if pair[p] != rank:
-                continue  # stale: the token or its neighbour has been merged since
-            gone = end[p]
-            stop = end[p] = end[gone]
-            pair[gone] = pair[p] = -1
-            if stop < size:
-                before[stop] = p
-                rank = ranks.get(piece[p : end[stop]])
-                if rank is not None:
-                    pair[p] = rank
-                    push(rank, p)
-            o = before[p]
-            if o >= 0:
-                rank = ranks.get(piece[o:stop])
-                if rank is None:
-                    pair[o] = -1
+            rank, bucket = queue.take()
+            for k, p in enumerate(bucket):
+                if pair[p] != rank:
+                    continue  # stale: the token or its neighbour has been merged since
+                gone = end[p]
+                stop = end[p] = end[gone]
+                alive[gone] = 0
+                token[p] = rank
+                pair[gone] = pair[p] = -1
+                least = rank
+                if not begins[stop]:
+                    before[stop] = p
+                    new = get(data[p : end[stop]])
+                    if new is not None:
+                        pair[p] = least = new
+                        if new in waiting:
+                            waiting[new].append(p)
+                        else:
+                            queue.put(new, [p])
+                if not begins[p]:
+                    o = before[p]
+                    new = get(data[o:stop])
+                    if new is None:
+                        pair[o] = -1
+                    else:
+                        pair[o] = new
+                        if new < least:
+                            least = new
+                        if new in waiting:
+                            waiting[new].append(o)
+                        else:
+                            queue.put(new, [o])
+                if least < rank:
+                    queue.put(rank, bucket[k + 1 :])
+                    break
+        first = np.flatnonzero(np.frombuffer(alive, dtype=np.uint8))
+        ids = np.array(token, dtype=np.uint32)[first].tobytes()
+        bounds = (4 * np.searchsorted(first, np.concatenate([[0], stops]))).tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Finds the ids of pre-tokens that are not known; those of long ones are kept until the next call."""
+        if len(self.known) > CACHE:
+            self.before, self.known = self.known, {}
+        self.long = {}
+        known, before, ranks, new = self.known, self.before, self.ranks, []
+        for piece in dict.fromkeys(pieces):
+            if piece not in known:
+                if piece in before:
+                    known[piece] = before[piece]
+                elif (data := piece.encode("utf-8", "replace")) in ranks:
+                    known[piece] = np.uint32(ranks[data]).tobytes()
                 else:
-                    pair[o] = rank
-                    push(rank, o)
-        out, p = [], 0
-        while p < size:
-            out.append(ranks[piece[p : end[p]]])
-            p = end[p]
-        return out
+                    new.append((piece, data))
+        if new:
+            for (piece, _), ids in zip(new, self.merge([data for _, data in new])):
+                (known if len(piece) <= SHORT else self.long)[piece] = ids
 
     def packed(self, pieces: list[str]) -> bytes:
-        """The ids of successive pre-tokens as little-endian unsigned 32-bit integers."""
-        known = self.known
+        """The ids of successive pre-tokens, all of them learned, as unsigned 32-bit integers of this machine."""
+        known, long = self.known, self.long
         try:
             return b"".join([known[piece] for piece in pieces])
         except KeyError:
-            pass
-        if len(known) > CACHE:
-            known.clear()
-        out = []
-        for piece in pieces:
-            ids = known.get(piece)
-            if ids is None:
-                ids = np.array(self.merge(piece.encode("utf-8", "replace")), dtype="<u4").tobytes()
-                if len(piece) <= SHORT:
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def parts(self, text: str) -> Iterator[list[str]]:
-        """The text's pre-tokens."""
-        if len(text) <= PART:
-            yield self.pattern.findall(text)
-            return
+            return b"".join([known[piece] if piece in known else long[piece] for piece in pieces])
+
+    def encode(self, texts: Iterable[str]) -> Iterator[tuple[int, np.ndarray]]:
+        """(text, ids) of the texts in order; those of a long text come in parts. Texts are taken some `PART`
+        characters at a time, so that what is new in them shares a queue."""
+        waiting: list[tuple[int, list[str]]] = []
+        size = 0
+
+        def done() -> Iterator[tuple[int, np.ndarray]]:
+            self.learn(chain.from_iterable(pieces for _, pieces in waiting))
+            for k, pieces in waiting:
+                yield k, np.frombuffer(self.packed(pieces), dtype=np.uint32).astype("<u4", copy=False)
+            waiting.clear()
+
+        for k, text in enumerate(texts):
+            found = [self.pattern.findall(text)] if len(text) <= PART else self._parts(text)
+            for pieces in found:
+                waiting.append((k, pieces))
+                size += min(len(text), PART)
+                if size >= PART:
+                    yield from done()
+                    size = 0
+        yield from done()
+
+    def _parts(self, text: str) -> Iterator[list[str]]:
         found = self.pattern.finditer(text)
         while part := [m.group() for m in islice(found, PART)]:
             yield part
 
-    def encode(self, text: str) -> Iterator[np.ndarray]:
-        """The text's ids, in parts."""
-        for pieces in self.parts(text):
-            yield np.frombuffer(self.packed(pieces), dtype="<u4")
-
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
@@ -202,9 +249,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str
     encoder = _on_worker(docs, ranks, pattern)
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
-        ids = [np.concatenate([np.empty(0, "<u4"), *encoder().encode(t)]) for t in texts(batch.column(text))]
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-        flat = np.concatenate(ids).astype(np.int32)
+        found = list(encoder().encode(texts(batch.column(text))))
+        counts = np.bincount([k for k, _ in found], [len(ids) for _, ids in found], batch.num_rows)
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        flat = np.concatenate([ids for _, ids in found]).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
 
     return by_batch(docs, added, "ids array<int>", work)
@@ -232,15 +280,13 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str
     encoder = _on_worker(docs, ranks, pattern)
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
-        own, out = encoder(), []
-        for t in texts(batch.column(text)):
-            count, ids_hash, text_hash = 0, hashlib.sha256(), hashlib.sha256()
-            for ids in own.encode(t):
-                count += len(ids)
-                ids_hash.update(ids.tobytes())
-                text_hash.update(own.decode(ids))
-            out.append((count, ids_hash.hexdigest(), text_hash.hexdigest()))
-        n, a, b = zip(*out)
+        own = encoder()
+        out = [[0, hashlib.sha256(), hashlib.sha256()] for _ in range(batch.num_rows)]
+        for k, ids in own.encode(texts(batch.column(text))):
+            out[k][0] += len(ids)
+            out[k][1].update(ids.tobytes())
+            out[k][2].update(own.decode(ids))
+        n, a, b = zip(*[(count, x.hexdigest(), y.hexdigest()) for count, x, y in out])
         return [pa.array(n, pa.int64()), pa.array(a), pa.array(b)]
 
     return by_batch(docs, added, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", work)

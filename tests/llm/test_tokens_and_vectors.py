@@ -41,7 +41,7 @@ def library(ranks):
 
 
 def ids_of(encoder, text):
-    return [i for part in encoder.encode(text) for i in part.tolist()]
+    return [i for _, part in encoder.encode([text]) for i in part.tolist()]
 
 
 def test_ids_equal_the_library(ranks, library):
@@ -66,8 +66,11 @@ def test_parts_and_cache_change_nothing(ranks, library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "PART", 7)
     monkeypatch.setattr(byte_bpe, "CACHE", 3)
     encoder = byte_bpe.Encoder(ranks, byte_bpe.PATTERN)
-    for text in noise(2):
-        assert ids_of(encoder, text) == library.encode_ordinary(text)
+    texts = noise(2)
+    found = [[] for _ in texts]
+    for k, ids in encoder.encode(texts):
+        found[k] += ids.tolist()
+    assert found == [library.encode_ordinary(text) for text in texts]
 
 
 def test_lower_ranks_that_arise_later_come_first():
@@ -84,10 +87,11 @@ def test_the_queue_gives_ranks_and_positions_in_order():
     queue, random_ = byte_bpe.RankQueue(200_000), random.Random(3)
     pushed = [(random_.randrange(200_001), random_.randrange(1000)) for _ in range(5000)]
     for rank, position in pushed:
-        queue.push(rank, position)
+        queue.put(rank, [position])
     found = []
     while queue.top:
-        found.append(queue.pop())
+        rank, positions = queue.take()
+        found += [(rank, p) for p in positions]
     assert found == sorted(pushed)
 
 
@@ -199,16 +203,21 @@ def brute_alignment(libraries, texts):
 COLUMNS = "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
 
 
-def test_both_sides_equal_the_libraries(vocabularies, libraries):
+def test_both_sides_equal_the_libraries(vocabularies, libraries, monkeypatch):
+    monkeypatch.setattr(alignment, "CACHE", 3000)  # words are forgotten now and then
     cutter = alignment.Cutter(vocabularies)
-    texts = [*noise(5), *noise(6), *[f"x{chr(c)} {chr(c)}y  {chr(c)}" for c in range(1, 0x30000, 11) if not 0xD800 <= c < 0xE000]]
+    spaces = "\t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u1680\u2003\u2028\u3000 "
+    texts = [*noise(5), *noise(6), *noise(7, (spaces + "ab", spaces, "\n  a", "\r\n ;)}a", "\r a"))]
+    texts += [f"x{chr(c)} {chr(c)}y  {chr(c)}" for c in range(1, 0x30000, 11) if not 0xD800 <= c < 0xE000]
     none = 0
-    for text in texts:
-        wanted, found = plain(libraries, text), cutter.cut(text)
-        none += wanted is None
-        assert (wanted is None) == (found is None)
-        if found:
-            assert (found[0].tolist(), found[1].tolist()) == (wanted[0], wanted[2])
+    for start in range(0, len(texts), 50):
+        run = ["", *texts[start : start + 50]]
+        words, owner = cutter.look(run)
+        found = alignment.digests(cutter, words, owner, len(run))
+        for text, digest in zip(run, found):
+            wanted = plain(libraries, text)
+            none += wanted is None
+            assert digest == (hashlib.sha256(";".join(plain_groups(wanted)).encode()).hexdigest() if wanted else "")
     assert 0 < none < len(texts) / 2
 
 
@@ -237,7 +246,8 @@ def test_alignment_of_odd_rows(spark, vocabularies, libraries, odd_docs, no_docs
 def test_counts_of_pairs_are_summed_over_tasks(spark, vocabularies):
     docs = make(spark, [(k, "one shared line", "x") for k in range(500)]).repartition(40)
     counts = alignment.count(docs, vocabularies)
-    a, b = alignment.Cutter(vocabularies).cut("one shared line")
+    cutter = alignment.Cutter(vocabularies)
+    a, b = (np.concatenate(side) for side in cutter.cut([" one", " shared", " line"]))
     pair = (a * vocabularies.size_b + b).astype(np.uint64)
     assert counts.of(pair).tolist() == [500] * len(pair) and counts.top[a].tolist() == [500] * len(a)
     assert counts.of(pair + np.uint64(1)).tolist() == [0] * len(pair)
