@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from gondola.operators.scale import cut, shared_folder
 
-__all__ = ["WORD", "BROADCAST_ROWS", "by_batch", "cut", "fold", "labelled_sample", "shared_folder", "small", "table", "texts"]
+__all__ = ["WORD", "BROADCAST_ROWS", "by_batch", "cut", "fold", "free", "labelled_sample", "shared_folder", "small", "table", "texts"]
 
 #: Words of a text for every contract that does not say otherwise.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,6 +50,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, fo
     return one.select("text", F.col("_y").alias("y"))
 
 
+def free(frame: DataFrame, name: str) -> str:
+    """The name, with as many underscores after it as it takes to be no column's."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts(column: pa.Array) -> Iterator[str]:
     """The texts of an Arrow column; a null is an empty one, and bytes that are not UTF-8 are read as U+FFFD."""
     for value in column.cast(pa.large_binary()):

@@ -25,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gondola.llm import words as W
-from gondola.llm.common import by_batch, cut
+from gondola.llm.common import by_batch, cut, free
 
 WINDOW = 10
-BLOCK_BYTES = 64 << 20
+#: Bytes of benchmark text in a block at most; its arrays take some five times as much.
+BLOCK_BYTES = 16 << 20
 FIELDS = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<start: bigint, stop: bigint>>"
 _FILTER_BITS = 20
 _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
@@ -36,31 +37,50 @@ _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
 @dataclass
 class Windows:
-    """Distinct windows of some items: sorted hashes, and the words and items of each."""
+    """The windows of some items as arrays, in the order of their hashes: each is an item and a first word.
 
+    The items' words are kept once, as bytes with their bounds; a window costs 16 bytes, however many
+    words it has."""
+
+    names: list[str]  # of the items
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
     hashes: np.ndarray
+    item: np.ndarray
+    first: np.ndarray  # word
+    width: np.ndarray  # of each item's windows
     widths: list[int]
-    texts: list[list[tuple[bytes, list[str]]]]  # by hash: its distinct windows, each with its items
     filter: np.ndarray
 
     @classmethod
     def of(cls, items: list[tuple[str, str]], window: int) -> Windows:
-        found: dict[int, dict[bytes, set[str]]] = {}
-        widths: set[int] = set()
+        parts, words, size = [], 0, 0
+        width = np.zeros(len(items), dtype=np.int64)
         for run in W.runs(pa.array([text for _, text in items], pa.large_string()), W.NOT_ALPHANUMERIC):
-            for k in range(run.texts):
-                low, high = int(run.first[k]), int(run.first[k + 1])
-                width = min(window, high - low)
-                if not width:
-                    continue
-                widths.add(width)
-                for p, h in enumerate(W.window_hashes(run.hashes[low:high], width).tolist(), low):
-                    text = b" ".join(run.word(q) for q in range(p, p + width))
-                    found.setdefault(h, {}).setdefault(text, set()).add(items[run.at + k][0])
-        hashes = np.array(sorted(found), dtype=np.uint64)
+            count = np.diff(run.first)
+            width[run.at : run.at + run.texts] = np.minimum(count, window)
+            hashes, place = W.windows(run, window)
+            short = [(W.window_hashes(run.hashes[run.first[k] : run.first[k + 1]], int(count[k])), run.first[k : k + 1]) for k in np.flatnonzero((count > 0) & (count < window))]
+            hashes, place = (np.concatenate(x) for x in zip((hashes, place), *short))
+            parts.append((run.data, run.starts + size, run.ends + size, hashes, run.owner[place] + run.at, place + words))
+            words, size = words + len(run.starts), size + len(run.data)
+        empty = [np.empty(0, t) for t in (np.uint8, np.int64, np.int64, np.uint64, np.int64, np.int64)]
+        data, starts, ends, hashes, item, first = (np.concatenate(x) for x in zip(empty, *parts))
+        order = np.argsort(hashes, kind="stable")
+        narrow = lambda x: x.astype(np.int32 if size < 2**31 else np.int64)
         known = np.zeros(1 << _FILTER_BITS, dtype=bool)
         known[hashes >> np.uint64(64 - _FILTER_BITS)] = True
-        return cls(hashes, sorted(widths), [[(t, sorted(i)) for t, i in found[int(h)].items()] for h in hashes], known)
+        widths = sorted(set(width[width > 0].tolist()))
+        return cls([name for name, _ in items], data, narrow(starts), narrow(ends), hashes[order], narrow(item[order]), narrow(first[order]), width, widths, known)
+
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in vars(self).values() if isinstance(x, np.ndarray))
+
+    def _text(self, first: int, width: int) -> bytes:
+        bounds = zip(self.starts[first : first + width].tolist(), self.ends[first : first + width].tolist())
+        return b" ".join([self.data[a:b].tobytes() for a, b in bounds])
 
     def hits(self, run: W.Words, width: int) -> list[tuple[int, list[str]]]:
         """(first word, items) of each verified window of this width."""
@@ -68,15 +88,15 @@ class Windows:
         maybe = np.flatnonzero(self.filter[hashes >> np.uint64(64 - _FILTER_BITS)])
         if not len(maybe):
             return []
-        at = np.searchsorted(self.hashes, hashes[maybe])
-        at[at == len(self.hashes)] = 0
+        low = np.searchsorted(self.hashes, hashes[maybe], side="left")
+        high = np.searchsorted(self.hashes, hashes[maybe], side="right")
         out = []
-        for k, place in zip(maybe[self.hashes[at] == hashes[maybe]], at[self.hashes[at] == hashes[maybe]]):
-            p = int(position[k])
-            text = b" ".join(run.word(q) for q in range(p, p + width))
-            items = next((items for known, items in self.texts[place] if known == text), None)
-            if items:
-                out.append((p, items))
+        for k in np.flatnonzero(low < high):
+            p = int(position[maybe[k]])
+            text = b" ".join([run.word(q) for q in range(p, p + width)])
+            same = [j for j in range(low[k], high[k]) if self.width[self.item[j]] == width and self._text(int(self.first[j]), width) == text]
+            if same:
+                out.append((p, [self.names[self.item[j]] for j in same]))
         return out
 
 
@@ -169,17 +189,18 @@ def _merged(docs: DataFrame, parts: list[DataFrame], text: str, added: str) -> D
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", remove: str = "documents", **options) -> DataFrame:
     """The documents' own columns without contamination: `remove` is "documents" or "spans"."""
-    found = scan(docs, benchmark, text=text, added="_hits", **options)
+    own = free(docs, "_hits")
+    found = scan(docs, benchmark, text=text, added=own, **options)
     if remove == "documents":
-        return found.where("_hits.n_hit = 0").drop("_hits")
+        return found.where(F.col(f"{own}.n_hit") == 0).drop(own)
     if remove != "spans":
         raise ValueError(remove)
     raw = F.encode(F.col(text), "utf-8")
     kept = F.aggregate(
-        F.col("_hits.spans"),
+        F.col(f"{own}.spans"),
         F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(b"").alias("done")),
         lambda a, s: F.struct(s.stop.alias("at"), F.concat(a.done, F.substring(raw, (a.at + 1).cast("int"), (s.start - a.at).cast("int"))).alias("done")),
         lambda a: F.decode(F.concat(a.done, F.substring(raw, (a.at + 1).cast("int"), F.octet_length(raw))), "utf-8"),
     )
-    changed = F.when(F.size("_hits.spans") > 0, kept).otherwise(F.col(text))
-    return found.withColumn(text, changed).drop("_hits")
+    changed = F.when(F.size(f"{own}.spans") > 0, kept).otherwise(F.col(text))
+    return found.withColumn(text, changed).drop(own)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gondola.llm import words as W
-from gondola.llm.common import by_batch, labelled_sample
+from gondola.llm.common import by_batch, free, labelled_sample
 
 #: Labelled documents that a model is fitted on, at most.
 SAMPLE = 20_000
@@ -179,4 +179,5 @@ def score(docs: DataFrame, model: Trees, *, text: str = "text", added: str = "qu
 
 def keep(docs: DataFrame, model: Trees, *, text: str = "text", least: float = KEEP) -> DataFrame:
     """The documents' own columns, of those whose score is at least `least`."""
-    return score(docs, model, text=text, added="_quality").where(F.col("_quality.score") >= least).drop("_quality")
+    own = free(docs, "_quality")
+    return score(docs, model, text=text, added=own).where(F.col(f"{own}.score") >= least).drop(own)
