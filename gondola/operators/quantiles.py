@@ -10,6 +10,10 @@ from gondola.operators import scale
 # The sketch's accuracy: its rank error is at most rows / ACCURACY. Cells that a bracket is cut into.
 ACCURACY = 20_000
 STEPS = 2_000
+# Size of a stored KLL sketch, and the distance at which its values bracket a rank: some four times the error that
+# 99 of 100 sketches of that size keep within. The cell of values outside of all brackets.
+KLL, SLACK = 4_096, 0.005
+OUTSIDE = -1
 
 FIGURES = ("n", "media", "desviacion", "minimo", "maximo")
 
@@ -57,7 +61,6 @@ def exact_quantiles(
     that cell's values are walked in order. So neither a group nor a bracket is sorted by one task.
     """
     slack = 2 / accuracy
-    keys = by or ["_g"]
     order = sorted(set(map(float, probabilities)))
     shares = [min(max(p + d, 0.0), 1.0) for p in order for d in (-slack, slack)]
     data = rows.filter(measures.is_number(F.col(value))).select(*by, F.col(value).cast("double").alias("_v"))
@@ -70,32 +73,86 @@ def exact_quantiles(
         F.max("_v").alias("maximo"),
         sketch.alias("_s"),
     ).filter("n > 0")
-    marked = lambda frame: frame if by else frame.withColumn("_g", F.lit(0))
-    figures = scale.cut(marked(figures))
-    brackets = figures.select(*by, _brackets(F.col("n"), F.col("_s"), len(order), accuracy).alias("_w"))
-    zone, cell = _cell(F.col("_v"), len(order), count)
-    placed = attach(data, brackets, by).select(*by, "_v", zone.alias("_zona"), cell.alias("_celda"))
-    counted = scale.cut(marked(
+    figures = scale.cut(figures if by else figures.withColumn("_g", F.lit(0)))
+    brackets = _brackets(F.col("n"), F.col("_s"), len(order), accuracy)
+    return _walk(data, figures.withColumn("_w", brackets), probabilities, by, count).select(*by, *FIGURES, "cuantiles")
+
+
+def _counted(data: DataFrame, figures: DataFrame, brackets: int, by: list[str], count: int) -> DataFrame:
+    """The rows counted by zone, cell and value inside a bracket, kept; `_m` is the lowest value."""
+    keys = by or ["_g"]
+    zone, cell = _cell(F.col("_v"), brackets, count)
+    placed = attach(data, figures.select(*by, "_w"), by).select(*by, "_v", zone.alias("_zona"), cell.alias("_celda"))
+    counted = (
         placed.groupBy(*by, "_zona", "_celda", F.when(F.col("_celda").isNotNull(), F.col("_v")).alias("_x"))
         .agg(F.count("*").alias("_filas"), F.min("_v").alias("_m"))
-    ))
-    place = [*keys, "_zona", F.coalesce("_celda", F.lit(-1)).alias("_celda")]
-    counted = counted.select(*place, "_filas", "_m")
+    )
+    counted = scale.cut(counted if by else counted.withColumn("_g", F.lit(0)))
+    return counted.select(*keys, "_zona", F.coalesce("_celda", F.lit(OUTSIDE)).alias("_celda"), "_filas", "_m")
+
+
+def _reached(counted: DataFrame, figures: DataFrame, probabilities: list[float], keys: list[str]) -> DataFrame:
+    """The cells that hold the ranks on both sides of each quantile."""
     cells = counted.groupBy(*keys, "_zona", "_celda").agg(F.sum("_filas").alias("_filas"))
     earlier = Window.partitionBy(*keys).orderBy("_zona", "_celda").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("_antes", F.coalesce(F.sum("_filas").over(earlier), F.lit(0)))
-    position = [F.lit(float(p)) * (F.col("n") - 1) for p in probabilities]
-    wanted = [F.struct(F.lit(i).alias("_i"), F.lit(d).alias("_d"), (F.floor(at) + d).alias("_rango")) for i, at in enumerate(position) for d in (0, 1)]
+    wanted = [
+        F.struct(F.lit(i).alias("_i"), F.lit(d).alias("_d"), (F.floor(_position(p)) + d).alias("_rango"))
+        for i, p in enumerate(probabilities) for d in (0, 1)
+    ]
     ranks = figures.select(*keys, F.inline(F.array(*wanted)))
-    reached = cells.join(ranks, keys).filter("_antes <= _rango AND _rango < _antes + _filas").drop("_filas")
+    return cells.join(ranks, keys).filter("_antes <= _rango AND _rango < _antes + _filas").drop("_filas")
+
+
+def _position(probability: float) -> Column:
+    return F.lit(float(probability)) * (F.col("n") - 1)
+
+
+def _walk(data: DataFrame, figures: DataFrame, probabilities: list[float], by: list[str], count: int, sure: bool = True) -> DataFrame:
+    """The figures with `cuantiles`, from one pass over the rows (by, _v).
+
+    `_w` brackets the ranks of the probabilities in order. If they are not `sure` to, groups in which a
+    rank fell outside get everything as a bracket, in a second pass."""
+    keys = by or ["_g"]
+    brackets = len(set(map(float, probabilities)))
+    counted = _counted(data, figures, brackets, by, count)
+    reached = _reached(counted, figures, probabilities, keys)
+    if not sure and not (missed := reached.filter((F.col("_celda") == OUTSIDE) & (F.col("_d") == 0))).isEmpty():
+        wide = F.array(*[F.struct(F.col("minimo").alias("lo"), F.col("maximo").alias("hi"))] * brackets)
+        lost = missed.select(*keys).distinct().withColumn("_mal", F.lit(True))
+        figures = scale.cut(figures.join(lost, keys, "left").withColumn("_w", F.when(F.col("_mal"), wide).otherwise(F.col("_w"))).drop("_mal"))
+        counted = _counted(data, figures, brackets, by, count)
+        reached = _reached(counted, figures, probabilities, keys)
     upto = Window.partitionBy(*keys, "_i", "_d").orderBy("_m").rowsBetween(Window.unboundedPreceding, 0)
     walked = reached.join(counted, [*keys, "_zona", "_celda"]).withColumn("_hasta", F.col("_antes") + F.sum("_filas").over(upto))
     at = lambda d: F.min(F.when((F.col("_hasta") > F.col("_rango")) & (F.col("_d") == d), F.col("_m")))
     found = walked.groupBy(*keys, "_i").agg(at(0).alias("_a"), at(1).alias("_c"))
     gathered = found.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", "_a", "_c"))).alias("_q"))
-    share = lambda i, at: at - F.floor(at)
-    between = [
-        F.col("_q")[i]["_a"] + share(i, at) * F.coalesce(F.col("_q")[i]["_c"] - F.col("_q")[i]["_a"], F.lit(0.0))
-        for i, at in enumerate(position)
-    ]
-    return figures.join(gathered, keys).select(*by, *FIGURES, F.array(*between).alias("cuantiles"))
+    between = []
+    for i, p in enumerate(probabilities):
+        low, step = F.col("_q")[i]["_a"], F.col("_q")[i]["_c"] - F.col("_q")[i]["_a"]
+        between.append(low + (_position(p) - F.floor(_position(p))) * F.coalesce(step, F.lit(0.0)))
+    return figures.join(gathered, keys).withColumn("cuantiles", F.array(*between))
+
+
+def states(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """Mergeable states of a column per group: n, lowest, highest and a KLL sketch."""
+    numbers = rows.filter(measures.is_number(F.col(value))).withColumn("_v", F.col(value).cast("double"))
+    sketch = F.kll_sketch_agg_double("_v", F.lit(KLL))
+    return numbers.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_v").alias("minimo"), F.max("_v").alias("maximo"), sketch.alias("estado"))
+
+
+def quantiles_from_states(rows: DataFrame, value: str, probabilities: list[float], stored: DataFrame, by: list[str], count: int = STEPS) -> DataFrame:
+    """One row per group: n, minimo, maximo and the exact `cuantiles` of the rows, whose states are
+    `stored` under finer or the same groups. The merged sketches bracket the ranks, so the rows
+    are read once; as a sketch may err by more than SLACK, though hardly ever, a group whose rank is not
+    where its sketch says is counted again without a bracket."""
+    order = sorted(set(map(float, probabilities)))
+    merged = stored.filter("n > 0").groupBy(*by).agg(
+        F.sum("n").alias("n"), F.min("minimo").alias("minimo"), F.max("maximo").alias("maximo"), F.kll_merge_agg_double("estado").alias("_s"),
+    ).filter("n > 0")
+    at = lambda share: F.kll_sketch_get_quantile_double("_s", F.lit(min(max(share, 0.0), 1.0)))
+    brackets = F.array(*[F.struct(at(p - SLACK).alias("lo"), at(p + SLACK).alias("hi")) for p in order])
+    figures = scale.cut((merged if by else merged.withColumn("_g", F.lit(0))).withColumn("_w", brackets).drop("_s"))
+    data = rows.filter(measures.is_number(F.col(value))).select(*by, F.col(value).cast("double").alias("_v"))
+    return _walk(data, figures, probabilities, by, count, sure=False).select(*by, "n", "minimo", "maximo", "cuantiles")

@@ -227,6 +227,11 @@ oracle(
     """SELECT producto_id, marca, count(*) AS filas, max(precio) AS precio_maximo
     FROM (SELECT CASE WHEN day(fecha) <= 10 THEN 1 ELSE producto_id END AS producto_id, precio FROM obs) JOIN prod USING (producto_id) GROUP BY ALL""",
 )
+oracle(
+    "quartiles_by_year_from_states", "obs",
+    """SELECT anio, count(*) AS cantidad, round(quantile_cont(precio, 0.25), 6) AS q1, round(quantile_cont(precio, 0.5), 6) AS mediana,
+    round(quantile_cont(precio, 0.75), 6) AS q3 FROM obs GROUP BY anio""",
+)
 oracle(
     "cube_incremental", "obs",
     f"""SELECT anio, mes, count(*) AS num_observaciones, min(precio) AS precio_minimo, max(precio) AS precio_maximo,

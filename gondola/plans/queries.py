@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.functions import measures, parsing
 from gondola.operators import (
-    basket, cleaning, cube, dashboard, dimensions, facts, metrics, ownership, profile, quality, ranking, scale, skew,
+    basket, cleaning, cube, dashboard, dimensions, facts, metrics, ownership, profile, quality, quantiles, ranking, scale, skew,
 )
 from gondola.operators.facts import Mart
 from gondola.plans import jobs, tables
@@ -534,6 +534,16 @@ on_mart(
 on_mart("approx_quartiles_price", lambda m: profile.approx_quartiles(m.fact, "precio", 10_000_000))
 
 
+@query
+def quartiles_by_year_from_states(spark, folder):
+    """Exact quartiles of each year's prices; states kept per month bracket them."""
+    dated = tables.fact(spark, folder).withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")})
+    stored = scale.cut(quantiles.states(dated, "precio", ["anio", "mes"]))
+    found = quantiles.quantiles_from_states(dated, "precio", [0.25, 0.5, 0.75], stored, ["anio"])
+    named = [F.col("cuantiles")[i].alias(q) for i, q in enumerate(("q1", "mediana", "q3"))]
+    return rounded(found.select("anio", F.col("n").alias("cantidad"), *named), 6, "q1", "mediana", "q3")
+
+
 @query
 def price_sample(spark, folder):
     """A tenth of the lines, by a hash of their keys: the same lines on any cluster."""

@@ -156,3 +156,22 @@ def test_distinct_states_merge(spark):
     table = spark.range(30_000).selectExpr("id % 3 AS a", "id % 7 AS b", "id % 5000 AS v")
     found = profile.distinct_rollup(profile.distinct_states(table, ["a", "b"], "v"), ["a"]).collect()
     assert len(found) == 3 and all(abs(r.distintos - 5000) <= 200 for r in found)
+
+
+@pytest.mark.parametrize("slack, size", [(quantiles.SLACK, quantiles.KLL), (1e-6, 8)])
+def test_quantiles_from_stored_sketches_are_exact(skewed, monkeypatch, slack, size):
+    """Also where small sketches bracket the wrong values."""
+    monkeypatch.setattr(quantiles, "SLACK", slack)
+    monkeypatch.setattr(quantiles, "KLL", size)
+    wanted = [0.1, 0.5, 0.93]
+    table = skewed.filter("g IS NOT NULL").withColumn("m", F.col("k") % 5)
+    stored = scale.cut(quantiles.states(table, "v", ["g", "m"]))
+    data = table.toPandas()
+    for by in (["g"], []):
+        found = quantiles.quantiles_from_states(table, "v", wanted, stored, by).collect()
+        assert len(found) == (2 if by else 1)
+        for r in found:
+            values = data.v[data.g == r.g] if by else data.v
+            assert (r.n, r.minimo, r.maximo) == (len(values), values.min(), values.max())
+            np.testing.assert_allclose(r.cuantiles, np.quantile(values, wanted), rtol=1e-12)
+    assert quantiles.quantiles_from_states(table.limit(0), "v", wanted, stored.limit(0), ["g"]).count() == 0
