@@ -22,14 +22,24 @@ def daily_profile(mart: Mart) -> DataFrame:
 
 
 def category_profile(mart: Mart) -> DataFrame:
-    """Count, average, extremes and sample standard deviation of prices per category."""
-    rows = mart.fact.select("producto_id", "precio").join(mart.products.side("categoria"), "producto_id")
-    return rows.groupBy("categoria").agg(
-        F.count("*").alias("cantidad_registros"),
-        measures.mean(F.col("precio"), mart.price_scale).alias("precio_promedio"),
-        F.min("precio").alias("precio_minimo"),
-        F.max("precio").alias("precio_maximo"),
-        F.stddev_samp("precio").alias("desviacion_std"),
+    """Count, average, extremes and sample standard deviation of prices per category.
+
+    Observations are summed up per product before the catalogue is joined; the squares about a
+    category's mean are those about its products' means and those of the means."""
+    price = F.col("precio")
+    products = mart.fact.groupBy("producto_id").agg(
+        F.count("*").alias("filas"), F.count(price).alias("n"), measures.total(measures.units(price, mart.price_scale)).alias("total"),
+        F.min(price).alias("bajo"), F.max(price).alias("alto"), F.avg(price).alias("media"), F.var_pop(price).alias("varianza"),
+    )
+    n, mean = F.col("n"), F.col("media")
+    merged = mart.products.match(products, "categoria").groupBy("categoria").agg(
+        F.sum("filas").alias("filas"), F.sum(n).alias("n"), measures.total(F.col("total")).alias("total"), F.min("bajo").alias("bajo"), F.max("alto").alias("alto"),
+        F.sum(n * F.col("varianza")).alias("dentro"), F.sum(n * mean).alias("suma"), F.sum(n * mean * mean).alias("cuadrados"),
+    )
+    squares = F.greatest(F.col("dentro") + F.col("cuadrados") - F.col("suma") * F.col("suma") / n, F.lit(0.0))
+    return merged.select(
+        "categoria", F.col("filas").alias("cantidad_registros"), (measures.money(F.col("total"), mart.price_scale) / n).alias("precio_promedio"),
+        F.col("bajo").alias("precio_minimo"), F.col("alto").alias("precio_maximo"), F.when(n > 1, F.sqrt(squares / (n - 1))).alias("desviacion_std"),
     )
 
 
