@@ -1,20 +1,24 @@
-"""LM scoring (10): an interpolated modified Kneser-Ney bigram model, counted in Spark.
+"""LM scoring (10): an interpolated modified Kneser-Ney model of any order, counted in Spark.
 
-Tokens are the words of a text, then one end; a start marker precedes the first one. Words are 64-bit hashes.
+Tokens are the words of a text, then one end; start markers precede the first one. Words are 64-bit hashes, and
+so are histories: the `order` - 1 tokens before a token. A history and a token are a pair.
 
-* Counting. Executors reduce the word pairs of some million tokens at a time to distinct ones and pack them
-  by shard of the first word; a shard's packs meet in one task, which sums them. A frequent word is thus one
-  entry per pair and pack before any shuffle. How many different words precede a word, its continuation
-  count, is summed over shards by a DataFrame aggregation.
+* Counting. Executors reduce the pairs of some million tokens at a time to distinct ones and pack them
+  by shard of the history; a shard's packs meet in one task, which sums them. A frequent history is thus one
+  entry per pair and pack before any shuffle. How many different tokens precede a pair of the next lower order,
+  its continuation count, is summed over shards by a DataFrame aggregation; these counts are the lower
+  order's, down to single words.
 * Model. Each shard is a file of sorted hash arrays in the shared checkpoint folder: pair hash and count;
-  first word, its total and how many of its pairs occur once, twice, more often; word, count, continuation
-  count. Files are renamed into place when complete, so a task that is run again just writes them again.
+  history, its total and how many of its pairs occur once, twice, more often; word, count, continuation
+  count. Files are renamed into place when complete, so a task that is run again just writes them again. There
+  is a shard for each `SHARD` bytes of text at least, so a task's shards stay the same size as the input grows.
 * Scoring. Workers map the files into memory and look the sorted pairs of a run of texts up. Pages are
   shared by the workers of a machine and dropped under pressure; nothing of the model is broadcast but its
-  discounts. Where the folder is no local mount, a worker fetches a file to an unlinked local one first.
+  discounts. Where the folder is no local mount, a worker keeps a bounded number of fetched files in memory.
 
-P(w|v) = (c(vw) - D)/c(v.) + (D1 n1(v) + D2 n2(v) + D3 n3(v))/c(v.) * P(w), likewise P(w) over continuation counts, and
-below it 1/(V+1) for each of V words and all unknown ones together. Discounts come from the counts of counts.
+P(w|v) = (c(vw) - D)/c(v.) + (D1 n1(v) + D2 n2(v) + D3 n3(v))/c(v.) * P(w|v'), v' being v without its first token; lower
+orders are the same over continuation counts, and below single words is 1/(V+1) for each of V words and all
+unknown ones together. Discounts come from each order's counts of counts.
 
 Defined results: a null or blank text is one end token; without training tokens every P is 1/(V+1) = 1.
 Repeated documents count as often as they occur.
@@ -22,8 +26,6 @@ Repeated documents count as often as they occur.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,32 +33,34 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from gondola.llm import words as W
+from gondola.llm import stores, words as W
 from gondola.llm.common import by_batch, cut, shared_folder
 
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 #: Tokens whose pairs are reduced together before they are sent on.
 PACK = 2_000_000
+#: Bytes of text that a shard is made for.
+SHARD = 64 << 20
 
-PAIRS = [("key", np.uint64), ("count", np.uint32)]
-CONTEXTS = [("key", np.uint64), ("total", np.uint64), ("n1", np.uint32), ("n2", np.uint32), ("n3", np.uint32)]
-WORDS = [("key", np.uint64), ("count", np.uint64), ("before", np.uint32)]
 
-
-def tokens(run: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token before, token, text) of all tokens of a run, in order."""
+def tokens(run: W.Words, order: int = 2) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(histories of `order` - 1 tokens down to one, token, text) of all tokens of a run, in order."""
     counts = np.diff(run.first) + 1
     last = np.cumsum(counts) - 1
     token = np.empty(int(counts.sum()), dtype=np.uint64)
     word = np.ones(len(token), dtype=bool)
     word[last] = False
     token[word], token[last] = run.hashes, END
-    before = np.empty_like(token)
-    before[1:] = token[:-1]
-    before[np.concatenate([[0], last[:-1] + 1])] = START
-    return before, token, np.repeat(np.arange(run.texts), counts)
+    place = np.arange(len(token)) - np.repeat(last - counts + 1, counts)
+    histories: list[np.ndarray] = []
+    for back in range(1, order):
+        before = np.full(len(token), START)
+        inside = np.flatnonzero(place >= back)
+        before[inside] = token[inside - back]
+        histories.insert(0, pair_key(before, histories[0]) if histories else before)
+    return histories, token, np.repeat(np.arange(run.texts), counts)
 
 
 def pair_key(before: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -67,97 +71,58 @@ def shard_of(word: np.ndarray, shards: int) -> np.ndarray:
     return (word % np.uint64(shards)).astype(np.int64)
 
 
-def _reduced(v: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs, in the order of their keys, with summed counts."""
+def _reduced(v: np.ndarray, w: np.ndarray, n: np.ndarray, *short: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct pairs, in the order of their keys, with summed counts, and the shorter histories of each."""
     key = pair_key(v, w)
     order = np.argsort(key)
     key = key[order]
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, dtype=np.int64)
     at = order[new]
-    return v[at], w[at], np.add.reduceat(n[order], new) if len(new) else n[:0]
+    return v[at], w[at], np.add.reduceat(n[order], new) if len(new) else n[:0], *[h[at] for h in short]
 
 
-def _packed(v: np.ndarray, w: np.ndarray, n: np.ndarray, shards: int) -> Iterator[tuple[int, bytes]]:
-    """(shard, its pairs): each first word once with its number of pairs, then second words, then counts."""
+def _packed(v: np.ndarray, w: np.ndarray, n: np.ndarray, *short: np.ndarray, shards: int) -> Iterator[tuple[int, bytes, int]]:
+    """(shard, its pairs, their bytes): each history once with its shorter ones and number of pairs, then tokens, then counts."""
     shard = shard_of(v, shards)
     order = np.lexsort((v, shard))
     v, w, n, shard = v[order], w[order], n[order].astype(np.uint32), shard[order]
+    short = [h[order] for h in short]
     for s in np.unique(shard):
         low, high = np.searchsorted(shard, [s, s + 1])
-        first, times = np.unique(v[low:high], return_counts=True)
+        first, at, times = np.unique(v[low:high], return_index=True, return_counts=True)
         head = np.array([len(first), high - low], dtype=np.int64)
-        body = [head, first, times.astype(np.uint32), w[low:high], n[low:high]]
+        body = [head, first, *[h[low:high][at] for h in short], times.astype(np.uint32), w[low:high], n[low:high]]
         yield int(s), pa.compress(b"".join(x.tobytes() for x in body), codec="lz4_raw", asbytes=True), sum(x.nbytes for x in body)
 
 
-def _unpacked(pack: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(pack: bytes, size: int, shorter: int) -> tuple[np.ndarray, ...]:
     raw = pa.decompress(pack, size, codec="lz4_raw", asbytes=True)
-    words, pairs = np.frombuffer(raw, np.int64, 2)
+    words, pairs = np.frombuffer(raw, np.int64, 2).tolist()
     at = 16
-    first = np.frombuffer(raw, np.uint64, words, at)
-    times = np.frombuffer(raw, np.uint32, words, at := at + 8 * words)
+    first, *short = (np.frombuffer(raw, np.uint64, words, at + 8 * words * k) for k in range(1 + shorter))
+    at += 8 * words * (1 + shorter)
+    times = np.frombuffer(raw, np.uint32, words, at)
     w = np.frombuffer(raw, np.uint64, pairs, at := at + 4 * words)
-    return np.repeat(first, times), w, np.frombuffer(raw, np.uint32, pairs, at + 8 * pairs).astype(np.int64)
-
-
-def _place(folder: str) -> tuple[fs.FileSystem, str]:
-    if folder.startswith("file:"):
-        folder = "/" + folder.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(folder)
-
-
-def _write(folder: str, name: str, arrays: list[np.ndarray]) -> None:
-    system, path = _place(folder)
-    system.create_dir(path, recursive=True)
-    half = f"{path}/_{name}-{uuid.uuid4().hex}"
-    with system.open_output_stream(half) as out:
-        out.write(np.array([len(arrays[0])], dtype=np.int64).tobytes())
-        for values in arrays:
-            out.write(np.ascontiguousarray(values).tobytes())
-    system.move(half, f"{path}/{name}")
-
-
-_open: dict[str, dict[str, np.ndarray]] = {}
-
-
-def _arrays(folder: str, name: str, layout: list[tuple[str, type]]) -> dict[str, np.ndarray]:
-    """A file's arrays, mapped into memory."""
-    if f"{folder}/{name}" not in _open:
-        if len(_open) > 20_000:
-            _open.clear()
-        system, path = _place(folder)
-        path = f"{path}/{name}"
-        if isinstance(system, fs.LocalFileSystem):
-            data = np.memmap(path, dtype=np.uint8, mode="r")
-        else:
-            with tempfile.TemporaryFile() as own, system.open_input_stream(path) as stream:
-                while part := stream.read(1 << 24):
-                    own.write(part)
-                own.flush()
-                data = np.memmap(own, dtype=np.uint8, mode="r")
-        size, at, found = int(data[:8].view(np.int64)[0]), 8, {}
-        for column, kind in layout:
-            found[column] = data[at : at + size * np.dtype(kind).itemsize].view(kind)
-            at += size * np.dtype(kind).itemsize
-        _open[f"{folder}/{name}"] = found
-    return _open[f"{folder}/{name}"]
-
-
-def _pair_packs(text: str, shards: int):
+    n = np.frombuffer(raw, np.uint32, pairs, at + 8 * pairs).astype(np.int64)
+    return np.repeat(first, times), w, n, *[np.repeat(h, times) for h in short]
+
+
+def _pair_packs(text: str, shards: int, order: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple[np.ndarray, np.ndarray]] = []
+        kept: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> pa.RecordBatch:
-            v, w = (np.concatenate(x) for x in zip(*kept))
-            packs = list(_packed(*_reduced(v, w, np.ones(len(v), dtype=np.int64)), shards))
+            w, v, *short = (np.concatenate(x) for x in zip(*kept))
+            packs = list(_packed(*_reduced(v, w, np.ones(len(v), dtype=np.int64), *short), shards=shards))
             kept.clear()
             kinds = (pa.int32(), pa.binary(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*packs), kinds)], ["shard", "pack", "size"])
 
         for batch in batches:
             for run in W.runs(batch.column(text)):
-                kept.append(tokens(run)[:2])
-                if sum(len(v) for v, _ in kept) >= PACK:
+                histories, token, _ = tokens(run, order)
+                kept.append((token, *histories))
+                if sum(len(x[0]) for x in kept) >= PACK:
                     yield flush()
         if kept:
             yield flush()
@@ -165,11 +130,43 @@ def _pair_packs(text: str, shards: int):
     return work
 
 
-def _write_pairs(folder: str):
-    """Writes the shards of a partition; gives (kind, word, a, b) rows.
-
-    kind 0: a word with its continuation count and count in the shard; 1 to 4: pairs that occur that often.
-    """
+#: What a shard tells. kind 0: a word, how many histories it follows there (of one token, else 0) and its count (of the
+#: highest order, else 0); 1 to 4: how many pairs occur that often; 5: a pair of the next lower order (`history`, `word`) with how
+#: many of the shard's histories precede it, and its own shorter histories.
+ROWS = "kind int, word bigint, a bigint, b bigint, history bigint, short array<bigint>"
+
+
+def _told(folder: str, s: int, level: int, top: bool, v: np.ndarray, w: np.ndarray, n: np.ndarray, *short: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Writes a shard's distinct pairs, sorted by their keys; gives its ROWS."""
+    stores.write(folder, f"pairs{level}-{s}", {"key": pair_key(v, w), "count": np.minimum(n, 2**32 - 1).astype(np.uint32)})
+    order = np.argsort(v)
+    word, start = np.unique(v[order], return_index=True)
+    total = lambda x: np.add.reduceat(x[order], start)
+    of = [total((n == k).astype(np.int64)).astype(np.uint32) for k in (1, 2)] + [total((n > 2).astype(np.int64)).astype(np.uint32)]
+    stores.write(folder, f"contexts{level}-{s}", dict(zip(("key", "total", "n1", "n2", "n3"), (word, total(n).astype(np.uint64), *of))))
+    often = [int((n == k).sum()) for k in (1, 2, 3, 4)]
+    yield _rows(np.arange(1, 5), np.zeros(4, np.uint64), np.array(often), np.zeros(4, np.int64))
+    if top or level == 2:
+        order = np.argsort(w)
+        word, start, before = np.unique(w[order], return_index=True, return_counts=True)
+        count = np.add.reduceat(n[order], start) if top else np.zeros(len(word), np.int64)
+        yield _rows(np.zeros(len(word)), word, before if level == 2 else np.zeros(len(word)), count)
+    if level > 2:
+        low_v, low_w, before, *rest = _reduced(short[0], w, np.ones(len(w), dtype=np.int64), *short[1:])
+        yield _rows(np.full(len(low_w), 5), low_w, before, np.zeros(len(low_w)), low_v, rest)
+
+
+def _rows(kind, word, a, b, history=None, short=()) -> pa.RecordBatch:
+    size = len(kind)
+    history = np.zeros(size, np.uint64) if history is None else history
+    flat = np.column_stack(short).ravel() if short else np.empty(0, np.uint64)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * len(short)), pa.array(flat.view(np.int64)))
+    arrays = [pa.array(kind.astype(np.int32)), pa.array(word.view(np.int64)), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)), pa.array(history.view(np.int64)), lists]
+    return pa.RecordBatch.from_arrays(arrays, ["kind", "word", "a", "b", "history", "short"])
+
+
+def _write_packs(folder: str, order: int):
+    """Sums the packs of each shard of a partition and writes it; gives ROWS."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packs: dict[int, list[tuple[bytes, int]]] = {}
@@ -177,22 +174,28 @@ def _write_pairs(folder: str):
             for s, pack, size in zip(*(batch.column(c).to_pylist() for c in ("shard", "pack", "size"))):
                 packs.setdefault(s, []).append((pack, size))
         for s in sorted(packs):
-            v, w, n = _reduced(*(np.concatenate(x) for x in zip(*(_unpacked(*p) for p in packs.pop(s)))))
-            _write(folder, f"pairs-{s}", [pair_key(v, w), np.minimum(n, 2**32 - 1).astype(np.uint32)])
-            order = np.argsort(v)
-            word, start = np.unique(v[order], return_index=True)
-            total = lambda x: np.add.reduceat(x[order], start)
-            of = [total((n == k).astype(np.int64)).astype(np.uint32) for k in (1, 2)] + [total((n > 2).astype(np.int64)).astype(np.uint32)]
-            _write(folder, f"contexts-{s}", [word, total(n).astype(np.uint64), *of])
-            order = np.argsort(w)
-            word, start, before = np.unique(w[order], return_index=True, return_counts=True)
-            often = [int((n == k).sum()) for k in (1, 2, 3, 4)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([np.zeros(len(word), np.int32), np.arange(1, 5, dtype=np.int32)])),
-                pa.array(np.concatenate([word, np.zeros(4, np.uint64)]).view(np.int64)),
-                pa.array(np.concatenate([before, often]).astype(np.int64)),
-                pa.array(np.concatenate([np.add.reduceat(n[order], start), np.zeros(4, np.int64)])),
-            ], ["kind", "word", "a", "b"])
+            whole = (np.concatenate(x) for x in zip(*(_unpacked(*p, order - 2) for p in packs.pop(s))))
+            yield from _told(folder, s, order, True, *_reduced(*whole))
+
+    return work
+
+
+def _write_lower(folder: str, shards: int, level: int):
+    """Writes the shards of lower pairs, each of which is summed already; gives ROWS."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[batch.column(c) for c in ("history", "word", "a", "short")] for batch in batches if batch.num_rows]
+        if not parts:
+            return
+        v, w, n = (np.concatenate([p[k].to_numpy() for p in parts]) for k in range(3))
+        short = np.concatenate([p[3].flatten().to_numpy() for p in parts]).reshape(len(v), level - 2)
+        v, w, short = v.view(np.uint64), w.view(np.uint64), short.astype(np.int64).view(np.uint64)
+        order = np.argsort(pair_key(v, w))
+        v, w, n, short = v[order], w[order], n[order], short[order]
+        shard = shard_of(v, shards)
+        for s in np.unique(shard).tolist():
+            own = shard == s
+            yield from _told(folder, s, level, False, v[own], w[own], n[own], *short[own].T)
 
     return work
 
@@ -208,7 +211,7 @@ def _write_words(folder: str, shards: int):
             shard = shard_of(word, shards)
             for s in np.unique(shard):
                 low, high = np.searchsorted(shard, [s, s + 1])
-                _write(folder, f"words-{s}", [word[low:high], count[low:high].astype(np.uint64), before[low:high].astype(np.uint32)])
+                stores.write(folder, f"words-{s}", dict(zip(("key", "count", "before"), (word[low:high], count[low:high].astype(np.uint64), before[low:high].astype(np.uint32)))))
                 yield pa.RecordBatch.from_arrays([pa.array([int(s)], pa.int32())], ["shard"])
 
     return work
@@ -230,82 +233,105 @@ class Model:
 
     folder: str
     shards: int
-    pairs: frozenset[int]  # shards that have a file
+    order: int
+    pairs: dict[int, frozenset[int]]  # by level, from `order` down to 2: shards that have files
     words: frozenset[int]
     tokens: int
     vocabulary: int
-    types: int  # distinct pairs
-    pair_discounts: tuple[float, float, float]
+    types: int  # distinct pairs of the lowest level
+    pair_discounts: dict[int, tuple[float, float, float]]
     word_discounts: tuple[float, float, float]
     word_often: tuple[int, int, int]  # words with a continuation count of one, two, more
 
-    def _find(self, kind: str, layout, shard_key: np.ndarray, key: np.ndarray, have: frozenset[int]) -> list[np.ndarray]:
+    def _find(self, kind: str, columns: tuple[str, ...], shard_key: np.ndarray, key: np.ndarray, have: frozenset[int]) -> list[np.ndarray]:
         """The columns of each key's entry, 0 where there is none."""
         shard = shard_of(shard_key, self.shards)
         order = np.lexsort((key, shard))
         bounds = np.searchsorted(shard[order], np.arange(self.shards + 1))
-        out = [np.zeros(len(key)) for _ in layout[1:]]
-        for s in np.flatnonzero(np.diff(bounds)):
-            if int(s) not in have:
+        out = [np.zeros(len(key)) for _ in columns]
+        for s in np.flatnonzero(np.diff(bounds)).tolist():
+            if s not in have:
                 continue
             own = order[bounds[s] : bounds[s + 1]]
-            found = _arrays(self.folder, f"{kind}-{s}", layout)
+            found = stores.read(self.folder, f"{kind}-{s}")
             at = np.searchsorted(found["key"], key[own])
             at[at == len(found["key"])] = 0
             same = found["key"][at] == key[own]
-            for values, (column, _) in zip(out, layout[1:]):
+            for values, column in zip(out, columns):
                 values[own[same]] = found[column][at[same]]
         return out
 
     def score(self, run: W.Words) -> list[np.ndarray]:
         """By text: tokens, known tokens, base score and log10 probability."""
-        v, w, owner = tokens(run)
-        key, first, back = np.unique(pair_key(v, w), return_index=True, return_inverse=True)
-        word, word_first, word_back = np.unique(np.concatenate([v[first], w[first]]), return_index=True, return_inverse=True)
-        seen, before = self._find("words", WORDS, word, word, self.words)
-        total, n1, n2, n3 = self._find("contexts", CONTEXTS, word, word, self.pairs)
-        (count,) = self._find("pairs", PAIRS, v[first], key, self.pairs)
-        at_v, at_w = np.split(word_back, 2)
-
+        histories, w, owner = tokens(run, self.order)
+        _, first, back = np.unique(pair_key(histories[0], w), return_index=True, return_inverse=True)
+        word, at_w = np.unique(w[first], return_inverse=True)
+        seen, before = self._find("words", ("count", "before"), word, word, self.words)
         d = np.array([0.0, *self.word_discounts])
         types, uniform = max(self.types, 1), 1 / (self.vocabulary + 1)
         spare = sum(x * k for x, k in zip(self.word_discounts, self.word_often)) / types if self.types else 1.0
-        low = (before - d[np.minimum(before, 3).astype(int)]) / types + spare * uniform
-        d = np.array([0.0, *self.pair_discounts])
-        whole = np.maximum(total, 1)
-        d1, d2, d3 = self.pair_discounts
-        back_off = np.where(total > 0, (d1 * n1 + d2 * n2 + d3 * n3) / whole, 1.0)
-        p = (count - d[np.minimum(count, 3).astype(int)]) / whole[at_v] + back_off[at_v] * low[at_w]
+        p = ((before - d[np.minimum(before, 3).astype(int)]) / types + spare * uniform)[at_w]
+        for level in range(2, self.order + 1):
+            v = histories[self.order - level][first]
+            history, at_v = np.unique(v, return_inverse=True)
+            total, n1, n2, n3 = self._find(f"contexts{level}", ("total", "n1", "n2", "n3"), history, history, self.pairs[level])
+            (count,) = self._find(f"pairs{level}", ("count",), v, pair_key(v, w[first]), self.pairs[level])
+            d1, d2, d3 = self.pair_discounts[level]
+            d = np.array([0.0, d1, d2, d3])
+            whole = np.maximum(total, 1)
+            back_off = np.where(total > 0, (d1 * n1 + d2 * n2 + d3 * n3) / whole, 1.0)
+            p = (count - d[np.minimum(count, 3).astype(int)]) / whole[at_v] + back_off[at_v] * p
         base = np.log10((seen[at_w] + 1) / (self.tokens + self.vocabulary + 1))
         add = lambda x: np.bincount(owner, x[back], run.texts)
         return [np.bincount(owner, minlength=run.texts), add((seen[at_w] > 0).astype(float)).astype(np.int64), add(base), add(np.log10(p))]
 
 
-def train(docs: DataFrame, *, text: str = "text", shards: int | None = None) -> Model:
-    """Counts the documents. `shards` (the session's shuffle partitions by default) should grow with the input."""
+def _shard_column(name: str, shards: int) -> Column:
+    """The unsigned modulo of a signed hash column, as shard_of takes it."""
+    return F.pmod(F.shiftrightunsigned(name, 32) % shards * (2**32 % shards) + F.col(name).bitwiseAND(2**32 - 1), F.lit(shards))
+
+
+def train(docs: DataFrame, *, text: str = "text", shards: int | None = None, order: int = 2) -> Model:
+    """Counts the documents. `shards` is by default one for each SHARD bytes of text, and at least the
+    session's shuffle partitions. The model's files take some 25 bytes a distinct pair and order."""
+    if order < 2:
+        raise ValueError(f"an order of {order}; at least 2")
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if shards is None:
+        size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD))
     folder = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
-    packs = docs.select(text).mapInArrow(_pair_packs(text, shards), "shard int, pack binary, size bigint")
-    rows = packs.repartition(shards, "shard").mapInArrow(_write_pairs(folder), "kind int, word bigint, a bigint, b bigint")
-    stats = cut(rows.groupBy("kind", "word").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
-    words = stats.where("kind = 0")
+    packs = docs.select(text).mapInArrow(_pair_packs(text, shards, order), "shard int, pack binary, size bigint")
+    rows = packs.repartition(shards, "shard").mapInArrow(_write_packs(folder, order), ROWS)
+    summed = lambda frame, level: cut(frame.where("kind < 5").groupBy(F.lit(level).alias("level"), "kind", "word").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    kept = []
+    for level in range(order, 1, -1):
+        if level > 2:
+            rows = cut(rows)  # read again for the next level
+        kept.append(summed(rows, level))
+        if level > 2:
+            lower = rows.where("kind = 5").groupBy("history", "word").agg(F.sum("a").alias("a"), F.any_value("short").alias("short"))
+            lower = lower.withColumn("shard", _shard_column("history", shards)).repartition(shards, "shard").drop("shard")
+            rows = lower.select("history", "word", "a", "short").mapInArrow(_write_lower(folder, shards, level - 1), ROWS)
+    stats = kept[0]
+    for more in kept[1:]:
+        stats = stats.unionByName(more)
+    words = stats.where("kind = 0").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b")) if order > 2 else stats.where("kind = 0")
     tall = lambda c, k: F.sum(F.when(F.col(c) == k, 1).otherwise(0))
     n, v, types, *often = words.agg(F.sum("b"), F.count("*"), F.sum("a"), *[tall("a", k) for k in (1, 2, 3, 4)]).first()
-    pair_often = {r.kind: r.a for r in stats.where("kind > 0").collect()}
-    # unsigned modulo of the signed hash, as shard_of takes it
-    high = F.pmod(F.shiftrightunsigned("word", 32) % shards * (2**32 % shards) + F.col("word").bitwiseAND(2**32 - 1), F.lit(shards))
-    sharded = words.withColumn("shard", high).repartition(shards, "shard").drop("shard")
+    pair_often = {(r.level, r.kind): r.a for r in stats.where("kind > 0").collect()}
+    sharded = words.withColumn("shard", _shard_column("word", shards)).repartition(shards, "shard").select("word", "a", "b")
     written = sharded.mapInArrow(_write_words(folder, shards), "shard int").collect()
     often = [k or 0 for k in often]
+    levels = range(2, order + 1)
     return Model(
-        folder, shards, frozenset(_listed(folder, "contexts-")), frozenset(r.shard for r in written), n or 0, v, types or 0,
-        discounts([pair_often.get(k, 0) for k in (1, 2, 3, 4)]), discounts(often), (often[0], often[1], v - often[0] - often[1]),
+        folder, shards, order, {k: frozenset(_listed(folder, f"contexts{k}-")) for k in levels}, frozenset(r.shard for r in written), n or 0, v, types or 0,
+        {k: discounts([pair_often.get((k, i), 0) for i in (1, 2, 3, 4)]) for k in levels}, discounts(often), (often[0], often[1], v - often[0] - often[1]),
     )
 
 
 def _listed(folder: str, start: str) -> list[int]:
-    system, path = _place(folder)
+    system, path = stores.place(folder)
     names = [x.base_name for x in system.get_file_info(fs.FileSelector(path, allow_not_found=True))]
     return [int(x.removeprefix(start)) for x in names if x.startswith(start)]
 

@@ -517,12 +517,13 @@ def test_token_counts_of_odd_rows(odd_docs, no_docs):
     assert token_counts.count(no_docs, pieces).count() == 0
 
 
-def test_language_model_of_odd_rows(odd_docs, no_docs):
-    model = language_model.train(odd_docs, shards=3)
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_of_odd_rows(odd_docs, no_docs, order):
+    model = language_model.train(odd_docs, shards=3, order=order)
     found = language_model.score(odd_docs, model, added="_o").select("doc_id", "_o.*").collect()
     assert len(found) == odd_docs.count() and all(r.score < 0 for r in found)
     assert {r.n_tokens for r in found if r.doc_id in (1, 2, 3)} == {1}
-    nothing = language_model.train(no_docs, shards=2)
+    nothing = language_model.train(no_docs, shards=2, order=order)
     assert (nothing.tokens, nothing.vocabulary) == (0, 0)
     assert {r.s for r in language_model.score(odd_docs, nothing, added="_o").select(F.col("_o.score").alias("s")).collect()} == {0.0}
     assert language_model.score(no_docs, model).count() == 0

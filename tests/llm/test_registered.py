@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from gondola.llm import chat, language_model
 from gondola.llm.oracles import ORACLES
@@ -185,41 +186,58 @@ def test_trie_shared_counts_equal_one_by_one(texts):
     assert alone[words.index("\u2581zz")] == 3 and alone[words.index("\u2581a中")] == 4
 
 
-def test_language_model_equals_brute_force(spark, texts):
-    found = by_id(REGISTRY["op10_kneser_ney"](spark, SF))
+def brute_model(tokens, order):
+    """P(token | the `order` - 1 tokens before it) by dictionaries, from lists of tokens without their starts."""
+    grams = [None, *[Counter() for _ in range(order)]]
+    for own in tokens:
+        padded = [1] * (order - 1) + own
+        grams[order].update(tuple(padded[k : k + order]) for k in range(len(own)))
+    for k in range(order - 1, 0, -1):
+        grams[k].update(g[1:] for g in grams[k + 1])  # each longer one once
+    often = lambda counts: [sum(n == k for n in counts.values()) for k in (1, 2, 3, 4)]
+    d = [None, *[language_model.discounts(often(grams[k])) for k in range(1, order + 1)]]
+    context = defaultdict(lambda: [0, 0, 0, 0])
+    for k in range(1, order + 1):
+        for g, n in grams[k].items():
+            context[g[:-1]][0] += n
+            context[g[:-1]][min(n, 3)] += 1
+
+    def p(history, w):
+        k = len(history) + 1
+        lower = p(history[1:], w) if history else 1 / (len(grams[1]) + 1)
+        if history not in context:
+            return lower
+        whole, *kinds = context[history]
+        n = grams[k].get((*history, w), 0)
+        return (n - d[k][min(n, 3) - 1] if n else 0) / whole + sum(a * b for a, b in zip(d[k], kinds)) / whole * lower
+
+    return p
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_language_model_equals_brute_force(spark, texts, order):
     tokens = {i: [*WORD.findall((t or "").translate(LOWER)), 0] for i, t in texts.items()}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
-    one, two = Counter(), Counter()
-    for i, own in tokens.items():
-        if not held[i]:
-            one.update(own)
-            two.update(zip([1, *own], own))
-    before, context = Counter(w for _, w in two), defaultdict(lambda: [0, 0, 0, 0])
-    for (v, _), n in two.items():
-        context[v][0] += n
-        context[v][min(n, 3)] += 1
-    often = lambda counts: [sum(n == k for n in counts.values()) for k in (1, 2, 3, 4)]
-    d1, d2 = language_model.discounts(often(before)), language_model.discounts(often(two))
+    if order == 2:
+        found = by_id(REGISTRY["op10_kneser_ney"](spark, SF))
+    else:
+        docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+        known = spark.createDataFrame([(i, h) for i, h in held.items()], "doc_id bigint, held_out boolean")
+        docs = docs.join(known, "doc_id")
+        model = language_model.train(docs.where("not held_out"), order=order, shards=5)
+        found = by_id(language_model.score(docs, model).select("doc_id", "held_out", "lm.*", F.lit(model.tokens).alias("train_tokens")))
+    training = [own for i, own in tokens.items() if not held[i]]
+    one = Counter(w for own in training for w in own)
     total, vocabulary = sum(one.values()), len(one)
-    spare = sum(d1[min(n, 3) - 1] for n in before.values()) / len(two)
-
-    def low(w):
-        n = before.get(w, 0)
-        return (n - d1[min(n, 3) - 1] if n else 0) / len(two) + spare / (vocabulary + 1)
-
-    def p(v, w):
-        if v not in context:
-            return low(w)
-        whole, *kinds = context[v]
-        n = two.get((v, w), 0)
-        return (n - d2[min(n, 3) - 1] if n else 0) / whole + sum(a * b for a, b in zip(d2, kinds)) / whole * low(w)
-
-    for v in ("the", 1, "never seen"):
-        assert sum(p(v, w) for w in one) + p(v, "unknown") == pytest.approx(1)
+    p = brute_model(training, order)
+    for history in (("the",), (1,), ("never seen",)):
+        history = (1,) * (order - 2) + history
+        assert sum(p(history, w) for w in one) + p(history, "unknown") == pytest.approx(1)
     for i, own in tokens.items():
         r = found[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(own), sum(w in one for w in own), total)
         assert r.base_score == pytest.approx(sum(math.log10((one.get(w, 0) + 1) / (total + vocabulary + 1)) for w in own))
-        assert r.score == pytest.approx(sum(math.log10(p(v, w)) for v, w in zip([1, *own], own)))
+        padded = [1] * (order - 1) + own
+        assert r.score == pytest.approx(sum(math.log10(p(tuple(padded[k : k + order - 1]), w)) for k, w in enumerate(own)))
     unseen = [r for i, r in found.items() if held[i]]
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
