@@ -65,11 +65,18 @@ def _stored(spark: SparkSession, base: str, table: str) -> DataFrame | None:
         return None
 
 
+def _timed(rows: DataFrame) -> DataFrame:
+    """The rows with the time of their source; one that was not recorded is that of the stored file."""
+    stored = F.col("_metadata.file_modification_time")
+    return rows.withColumn(WRITTEN, F.coalesce(WRITTEN, stored) if WRITTEN in rows.columns else stored)
+
+
 def _sources(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame | None]:
     """The batch load, and each arrived file once."""
-    loaded, arrived = Lake(spark, base).read("raw", "precios"), _stored(spark, base, TABLE)
+    loaded, arrived = _timed(Lake(spark, base).read("raw", "precios")), _stored(spark, base, TABLE)
     if arrived is None:
         return loaded, None
+    arrived = _timed(arrived)
     one = arrived.groupBy(FILE).agg(F.min("lote").alias("lote"))
     return loaded, arrived.join(one, [FILE, "lote"], "left_semi")
 
