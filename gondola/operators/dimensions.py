@@ -1,4 +1,7 @@
-"""The four dimensions of the star schema."""
+"""The four dimensions of the star schema.
+
+Fixed values: column names and the two default texts are those of the published schema.
+"""
 
 from __future__ import annotations
 
